@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
@@ -30,6 +30,15 @@ def build_session(app: str = "lorefield", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core on a table that comes in fewer files than there are cores.
+
+    Larger tables are returned as they are, so no large table is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores <= 64 else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
