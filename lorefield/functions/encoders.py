@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
-from functools import lru_cache
 
 import numpy as np
 
+REMEMBERED_WORDS = 1 << 16
+
 
 class HashingEncoder:
     """Counts of lower-cased words in ``dim`` buckets (MD5), scaled to length 1.
@@ -17,15 +18,24 @@ class HashingEncoder:
 
     def __init__(self, dim: int = 64):
         self.dim = dim
+        self._seen: dict[str, int] = {}
+
+    def __getstate__(self):
+        return {"dim": self.dim, "_seen": {}}
 
     def __call__(self, texts: list[str]) -> np.ndarray:
-        bucket = lru_cache(maxsize=1 << 16)(self._bucket)
         out = np.zeros((len(texts), self.dim))
         for row, text in zip(out, texts):
             for word, n in Counter(text.lower().split()).items():
-                row[bucket(word)] += n
+                row[self._bucket(word)] += n
         length = np.sqrt((out ** 2).sum(axis=1, keepdims=True))
         return out / np.where(length == 0, 1.0, length)
 
     def _bucket(self, word: str) -> int:
-        return int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % self.dim
+        known = self._seen.get(word)
+        if known is None:
+            known = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % self.dim
+            if len(self._seen) >= REMEMBERED_WORDS:
+                self._seen.clear()
+            self._seen[word] = known
+        return known

@@ -13,7 +13,6 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql import types as T
 
 from lorefield.functions.answers import extract_answer, parse_judgement, parse_qa
 from lorefield.functions.strings import as_column
@@ -83,10 +82,6 @@ def call_model(df: DataFrame, prompt: str, fn: Model, out: str = "response", rou
     rounds stay in the row, so choosing among them needs no shuffle.
     """
     entry = "array<struct<response:string,error:string,calls:int>>"
-    schema = T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(T.StructType.fromDDL(
-        "response string, error string, calls int")))])
-    if out in df.columns:
-        raise ValueError(f"column {out!r} already exists")
 
     @F.pandas_udf(entry)
     def respond(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -96,7 +91,7 @@ def call_model(df: DataFrame, prompt: str, fn: Model, out: str = "response", rou
                                        for _ in range(rounds)])
 
     # The call is asked for once even where its result is read several times.
-    return df.withColumn(out, respond.asNondeterministic()(F.col(prompt))).to(schema)
+    return df.withColumn(out, respond.asNondeterministic()(F.col(prompt)))
 
 
 def best_of_responses(responses: Column | str) -> Column:
