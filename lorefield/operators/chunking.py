@@ -21,7 +21,7 @@ HEADINGS = (
     (r"^\p{Nd}+\. ", 6), (r"^- ", 6), (r"^\* ", 6), (r"(?d)^\*\*.*\*\*$", 6),
 )
 # Underlines turn the line before them into a heading of this priority.
-UNDERLINES = ((r"^=+$", 0), (r"^-+$", F.lit(1)))
+UNDERLINES = ((r"^=+$", 0), (r"^-+$", 1))
 # Any heading or underline starts like this; chunks without one skip the line work.
 CANDIDATE = r"(?mU)^[\s\x1c-\x1f]*[#*=\p{Nd}-]"
 LEVELS = range(7)

@@ -57,7 +57,7 @@ def quality_rate(pairs: DataFrame, *keys: str, valid: Column | None = None) -> D
 
 def throughput(events: DataFrame, *keys: str, start: str = "ts", end: str | None = None) -> DataFrame:
     """Items, seconds between first start and last end, and items per second (null without duration)."""
-    seconds = F.unix_micros(F.max(end or start)) - F.unix_micros(F.min(start))
+    seconds = F.unix_micros(F.max(end or start).cast("timestamp")) - F.unix_micros(F.min(start).cast("timestamp"))
     aggs = [F.count(F.lit(1)).alias("items_processed"), (seconds / 1e6).alias("duration_seconds")]
     rates = events.groupBy(*keys).agg(*aggs) if keys else events.agg(*aggs)
     per = F.when(F.col("duration_seconds") > 0, F.col("items_processed") / F.col("duration_seconds"))

@@ -19,6 +19,9 @@ DEFAULTS = {
 }
 
 
+SMALL_SCAN = 32
+
+
 def build_session(app: str = "lorefield", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the defaults above; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -31,12 +34,12 @@ def build_session(app: str = "lorefield", master: str | None = None, **conf: str
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core on a table that comes in fewer files than there are cores.
+    """Use every core on a table that is read in fewer partitions than there are cores.
 
-    Larger tables are returned as they are, so no large table is shuffled.
+    Only scans of less than ``SMALL_SCAN`` partitions (some GB) are moved.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores <= 64 else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, SMALL_SCAN) else df
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -55,7 +55,8 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "err
     writer = df.write.mode(mode)
     if fmt in ("csv", "tsv"):
         writer.options(header=True, sep="\t" if fmt == "tsv" else ",", quote='"', escape='"',
-                       quoteAll=True, emptyValue="", nullValue="").csv(path)
+                       quoteAll=True, emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False,
+                       ignoreTrailingWhiteSpace=False).csv(path)
     elif fmt in ("parquet", "json"):
         writer.format(fmt).save(path)
     else:
