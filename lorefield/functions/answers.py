@@ -30,11 +30,21 @@ def extract_answer(response: Column | str) -> Column:
     return F.when(error.isNotNull(), F.concat(F.lit(CALL_FAILED), error)).otherwise(unescape_text(answer))
 
 
-def _judged(doc: Column) -> Column:
+def _parsed(text: Column) -> Column:
+    """One JSON value and nothing else, as the only element of an array.
+
+    The brackets make text after the value an error, which it is not by itself.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    single = F.try_variant_get(listed, "$[0]", "variant").isNotNull() & F.try_variant_get(listed, "$[1]", "variant").isNull()
+    return F.when(single, listed)
+
+
+def _judged(listed: Column) -> Column:
     """Score and reason of a parsed response, with the defaults for absent keys."""
-    score = F.try_variant_get(doc, "$.score", "double")
-    reason = F.try_variant_get(doc, "$.reason", "string")
-    return F.when(doc.isNotNull(), F.struct(
+    score = F.try_variant_get(listed, "$[0].score", "double")
+    reason = F.try_variant_get(listed, "$[0].reason", "string")
+    return F.when(listed.isNotNull(), F.struct(
         F.coalesce(score, F.lit(0.0)).alias("score"),
         F.coalesce(unescape_text(reason), F.lit(NO_REASON)).alias("reason"),
     ))
@@ -48,10 +58,9 @@ def parse_judgement(response: Column | str) -> Column:
     """
     raw = as_column(response)
     text = unescape_text(raw)
-    whole = F.try_parse_json(strip(text))
-    fenced = F.try_parse_json(F.nullif(F.regexp_extract(text, FENCED_JSON, 1), F.lit("")))
-    braced = F.filter(F.regexp_extract_all(text, F.lit(BRACED_JSON), F.lit(0)),
-                      lambda part: F.try_parse_json(part).isNotNull())
+    whole = _parsed(strip(text))
+    fenced = _parsed(F.regexp_extract(text, FENCED_JSON, 1))
+    braced = F.filter(F.regexp_extract_all(text, F.lit(BRACED_JSON), F.lit(0)), lambda part: _parsed(part).isNotNull())
     number = F.regexp_extract(text, BARE_SCORE, 1)
     reason = F.when(text.rlike(BARE_REASON), unescape_text(F.regexp_extract(text, BARE_REASON, 1)))
     bare = F.when(number != "", F.struct(
@@ -61,7 +70,7 @@ def parse_judgement(response: Column | str) -> Column:
     quoted = F.concat(F.lit(UNREADABLE), F.substring(text, 1, 100), F.lit("..."))
     unread = F.struct(F.lit(0.0).alias("score"), unescape_text(quoted).alias("reason"))
     silent = F.struct(F.lit(0.0).alias("score"), F.lit(NO_RESPONSE).alias("reason"))
-    found = F.coalesce(_judged(whole), _judged(fenced), _judged(F.try_parse_json(F.get(braced, F.lit(0)))), bare, unread)
+    found = F.coalesce(_judged(whole), _judged(fenced), _judged(_parsed(F.get(braced, F.lit(0)))), bare, unread)
     return F.when(raw.isNull() | (raw == ""), silent).otherwise(found)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from lorefield.functions.strings import as_column
+from lorefield.functions.strings import as_column, plain_text
 
 # Columns that are never metadata.
 SYSTEM_FIELDS = ("id", "document", "embedding", "dense_vector")
@@ -21,7 +21,7 @@ def _quoted(name: str) -> Column:
 def _text(df: DataFrame, name: str) -> Column:
     """Stored form of a metadata value: null and NaN become ''."""
     col = _quoted(name)
-    text = F.coalesce(col.cast("string"), F.lit(""))
+    text = F.coalesce(plain_text(df, name), F.lit(""))
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
         return F.when(F.isnan(col), F.lit("")).otherwise(text)
     return text

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 # Fixed value: the white space that Python's str.strip() and str.split() know,
 # as a Java character class (needs the (?U) flag).
@@ -13,6 +14,35 @@ def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def plain_text(df: DataFrame, name: str) -> Column:
+    """A column as text the way Python writes it: ``True``, ``12345678.0``, ``1e-05``.
+
+    Spark would write ``true``, ``1.2345678E7`` and ``1.0E-5``.
+    """
+    col = F.col(f"`{name}`")
+    kind = df.schema[name].dataType
+    text = col.cast("string")
+    if isinstance(kind, T.BooleanType):
+        return F.when(col.isNotNull(), F.initcap(text))
+    if not isinstance(kind, (T.DoubleType, T.FloatType)):
+        return text
+    form = r"^(-?)(\d)\.(\d+)E(-?\d+)$"
+    part = lambda i: F.regexp_extract(text, form, i)
+    power = part(4).try_cast("int")
+    digits = F.concat(part(2), F.regexp_replace(part(3), r"^0$", ""))
+    whole = F.rpad(F.substring(digits, F.lit(1), power + 1), power + 1, F.lit("0"))
+    rest = F.coalesce(F.nullif(F.substring(digits, power + 2, F.lit(40)), F.lit("")), F.lit("0"))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    mantissa = F.regexp_replace(F.concat(part(2), F.lit("."), part(3)), r"\.0$", "")
+    sign = F.when(power < 0, F.lit("-")).otherwise(F.lit("+"))
+    raised = F.concat(mantissa, F.lit("e"), sign, F.lpad(F.abs(power).cast("string"), F.greatest(
+        F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")))
+    return (F.when(power.isNull(), text)
+            .when(power.between(0, 15), F.concat(part(1), whole, F.lit("."), rest))
+            .when(power.between(-4, -1), F.concat(part(1), small))
+            .otherwise(F.concat(part(1), raised)))
+
+
 def strip(col: Column | str) -> Column:
     """Remove leading and trailing white space of any kind."""
     return F.regexp_replace(as_column(col), rf"(?U)^{WHITESPACE}+|{WHITESPACE}+\z", "")

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from lorefield.functions.strings import strip
+from lorefield.functions.strings import plain_text, strip
 
 # Texts that count as missing.
 MISSING_WORDS = ("nan", "NaN", "None")
@@ -35,7 +35,7 @@ def clean_value(df: DataFrame, name: str, infinity: str = "blank") -> Column:
     if infinity not in ("blank", "symbol"):
         raise ValueError(f"infinity must be 'blank' or 'symbol', got {infinity!r}")
     col = F.col(f"`{name}`")
-    text = col.cast("string")
+    text = plain_text(df, name)
     if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
         plus, minus = ("∞", "-∞") if infinity == "symbol" else ("", "")
         text = (
@@ -76,9 +76,9 @@ def render_prompt(df: DataFrame, prompt: str, variables: Mapping[str, Column] |
     """
     aliases = {"input": "input", "generated_output": "model_output",
                "reference_output": "reference_output", "group": "group"}
-    known = {c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns}
+    known = {c: F.coalesce(plain_text(df, c), F.lit("")) for c in df.columns}
     for name, source in aliases.items():
-        known[name] = F.coalesce(F.col(source).cast("string"), F.lit("")) if source in df.columns else F.lit("")
+        known[name] = known[source] if source in df.columns else F.lit("")
     known.update(variables or {})
     names = sorted(known, key=len, reverse=True)
     pattern = re.compile(r"\{\{(" + "|".join(map(re.escape, names)) + r")\}\}")

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lorefield.functions.records import SYSTEM_FIELDS, VECTOR_FIELDS, coerce_metadata, fallback_document
+from lorefield.functions.strings import plain_text
 from lorefield.functions.templates import clean_values
 
 # Columns an export leaves out.
@@ -122,7 +123,7 @@ def preview_counts(df: DataFrame, n: int = 5) -> DataFrame:
 def export_rows(flat: DataFrame) -> DataFrame:
     """Everything but ids, upload times and vectors, as text with null as ''."""
     names = [c for c in flat.columns if c not in EXPORT_SKIPS]
-    return flat.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in names])
+    return flat.select(*[F.coalesce(plain_text(flat, c), F.lit("")).alias(c) for c in names])
 
 
 def order_id(df: DataFrame, key: str = "id", out: str = "order_id", parts: int | None = None) -> DataFrame:
