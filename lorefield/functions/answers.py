@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from lorefield.functions.strings import as_column, strip, unescape_text
+from lorefield.functions.strings import as_column, once, strip, unescape_text
 
 # Texts stored for responses that cannot be used.
 CALL_FAILED = "API调用失败: "
@@ -30,14 +30,15 @@ def extract_answer(response: Column | str) -> Column:
     return F.when(error.isNotNull(), F.concat(F.lit(CALL_FAILED), error)).otherwise(unescape_text(answer))
 
 
-def _parsed(text: Column) -> Column:
-    """One JSON value and nothing else, as the only element of an array.
+def _first_json(texts: Column) -> Column:
+    """The first text that is one JSON value and nothing else, as the only element of an array.
 
     The brackets make text after the value an error, which it is not by itself.
     """
-    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    single = F.try_variant_get(listed, "$[0]", "variant").isNotNull() & F.try_variant_get(listed, "$[1]", "variant").isNull()
-    return F.when(single, listed)
+    listed = F.transform(texts, lambda t: F.try_parse_json(F.concat(F.lit("["), t, F.lit("]"))))
+    single = lambda v: (F.try_variant_get(v, "$[0]", "variant").isNotNull()
+                        & F.try_variant_get(v, "$[1]", "variant").isNull())
+    return F.get(F.filter(listed, single), F.lit(0))
 
 
 def _judged(listed: Column) -> Column:
@@ -57,10 +58,14 @@ def parse_judgement(response: Column | str) -> Column:
     part, the bare patterns. What remains scores 0 and quotes the response.
     """
     raw = as_column(response)
-    text = unescape_text(raw)
-    whole = _parsed(strip(text))
-    fenced = _parsed(F.regexp_extract(text, FENCED_JSON, 1))
-    braced = F.filter(F.regexp_extract_all(text, F.lit(BRACED_JSON), F.lit(0)), lambda part: _parsed(part).isNotNull())
+    silent = F.struct(F.lit(0.0).alias("score"), F.lit(NO_RESPONSE).alias("reason"))
+    return F.when(raw.isNull() | (raw == ""), silent).otherwise(once(unescape_text(raw), _verdict))
+
+
+def _verdict(text: Column) -> Column:
+    fenced = F.regexp_extract(text, FENCED_JSON, 1)
+    braced = F.regexp_extract_all(text, F.lit(BRACED_JSON), F.lit(0))
+    found = _first_json(F.concat(F.array(strip(text), fenced), braced))
     number = F.regexp_extract(text, BARE_SCORE, 1)
     reason = F.when(text.rlike(BARE_REASON), unescape_text(F.regexp_extract(text, BARE_REASON, 1)))
     bare = F.when(number != "", F.struct(
@@ -69,9 +74,7 @@ def parse_judgement(response: Column | str) -> Column:
     ))
     quoted = F.concat(F.lit(UNREADABLE), F.substring(text, 1, 100), F.lit("..."))
     unread = F.struct(F.lit(0.0).alias("score"), unescape_text(quoted).alias("reason"))
-    silent = F.struct(F.lit(0.0).alias("score"), F.lit(NO_RESPONSE).alias("reason"))
-    found = F.coalesce(_judged(whole), _judged(fenced), _judged(_parsed(F.get(braced, F.lit(0)))), bare, unread)
-    return F.when(raw.isNull() | (raw == ""), silent).otherwise(found)
+    return F.coalesce(once(found, _judged), bare, unread)
 
 
 def parse_qa(response: Column | str) -> Column:

@@ -15,6 +15,12 @@ TARGET = r"(?d)\((.*?)\)"
 _ENTRY = "array<struct<key:string,value:string>>"
 
 
+def _found(text: Column, pattern: str) -> Column:
+    """All matches; texts without any link skip the pattern."""
+    return F.when(text.contains("]("), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(
+        F.array().cast("array<string>"))
+
+
 def _fold(text: Column, entries: Column, old: str, new: str) -> Column:
     return F.aggregate(entries, text, lambda t, e: F.replace(t, e[old], e[new]))
 
@@ -37,11 +43,10 @@ def mask_links(df: DataFrame, text: str, masked: str = "masked", link_map: str =
     and original in the order they were found.
     """
     step = df.withColumn("_img", F.transform(
-        F.regexp_extract_all(F.col(text), F.lit(IMAGE), F.lit(0)),
-        lambda m, i: F.struct(F.concat(F.lit("<img"), (i + 1).cast("string"), F.lit(">")).alias("key"), m.alias("value"))))
+        _found(F.col(text), IMAGE), lambda m, i: F.struct(F.concat(F.lit("<img"), (i + 1).cast("string"), F.lit(">")).alias("key"), m.alias("value"))))
     step = step.withColumn("_t", _fold(F.col(text), F.col("_img"), "value", "key"))
-    step = step.withColumn("_links", F.regexp_extract_all(F.col("_t"), F.lit(LINK), F.lit(0)))
-    step = step.withColumn("_labels", F.regexp_extract_all(F.col("_t"), F.lit(LINK), F.lit(1)))
+    step = step.withColumn("_links", _found(F.col("_t"), LINK))
+    step = step.withColumn("_labels", F.transform("_links", lambda m: F.regexp_extract(m, LINK, 1)))
 
     def link_entry(label: Column, i: Column) -> Column:
         nth = F.size(F.filter(F.slice(F.col("_labels"), 1, i + 1), lambda z: z == label))

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-# Fixed value: the white space that Python's str.strip() and str.split() know,
-# as a Java character class (needs the (?U) flag).
+# The white space that Python's str.strip() and str.split() know, as a
+# Java character class (needs the (?U) flag) and as characters.
 WHITESPACE = r"[\s\x1c-\x1f]"
+SPACE_CHARACTERS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+                    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def as_column(value: Column | str) -> Column:
@@ -43,9 +47,14 @@ def plain_text(df: DataFrame, name: str) -> Column:
             .otherwise(F.concat(part(1), raised)))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once however often ``use`` mentions it."""
+    return F.try_element_at(F.transform(F.array(value), use), F.lit(1))
+
+
 def strip(col: Column | str) -> Column:
     """Remove leading and trailing white space of any kind."""
-    return F.regexp_replace(as_column(col), rf"(?U)^{WHITESPACE}+|{WHITESPACE}+\z", "")
+    return F.btrim(as_column(col), F.lit(SPACE_CHARACTERS))
 
 
 def stem(file_name: Column | str) -> Column:
@@ -65,8 +74,9 @@ def unescape_text(col: Column | str) -> Column:
 def collapse_markdown_runs(col: Column | str) -> Column:
     """Shorten over-long runs of ``*``, ``-`` and ``=``."""
     out = as_column(col)
-    for pattern, short in ((r"\*{3,}", "**"), (r"-{4,}", "---"), (r"={4,}", "===")):
-        out = F.regexp_replace(out, pattern, short)
+    for run, pattern, short in (("***", r"\*{3,}", "**"), ("----", r"-{4,}", "---"), ("====", r"={4,}", "===")):
+        # Texts without a long run, most of them, are not rewritten.
+        out = F.when(out.contains(run), F.regexp_replace(out, pattern, short)).otherwise(out)
     return out
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lorefield.functions.links import image_urls, mask_links, restore_links
 from lorefield.functions.splitting import split_text
-from lorefield.functions.strings import collapse_markdown_runs, stem, strip
+from lorefield.functions.strings import collapse_markdown_runs, once, stem, strip
 
 # Priorities of heading-like lines; the first match counts.
 HEADINGS = (
@@ -26,6 +26,7 @@ UNDERLINES = ((r"^=+$", 0), (r"^-+$", 1))
 CANDIDATE = r"(?mU)^[\s\x1c-\x1f]*[#*=\p{Nd}-]"
 LEVELS = range(7)
 JOINT = " > "
+PIECE = 65_536   # chunks of one document that share a window
 
 
 def _first_match(line: Column, rules) -> Column:
@@ -48,8 +49,7 @@ def _headings(text: Column) -> Column:
                 F.coalesce(line["u"], line["p"]).alias("p"),
                 F.when(line["u"].isNull(), line["t"]).otherwise(F.coalesce(before, F.lit(""))).alias("t"))
         return F.filter(F.transform(lines, heading), lambda h: h["p"].isNotNull())
-    # A one-element transform names the line array once for both uses.
-    found = F.try_element_at(F.transform(F.array(_lines(text)), on_line), F.lit(1))
+    found = once(_lines(text), on_line)
     return F.when(text.rlike(CANDIDATE), found).otherwise(F.array().cast("array<struct<p:int,t:string>>"))
 
 
@@ -74,7 +74,7 @@ def _positions(headings: Column, root: Column) -> Column:
                 path.alias("last"), n.alias("n"),
                 F.concat(state["out"], F.array(F.struct(path.alias("path"), n.alias("n")))).alias("out"))
         path = F.array_join(F.transform(state["stack"], lambda s: s["t"]), JOINT)
-        return F.try_element_at(F.transform(F.array(path), with_path), F.lit(1))
+        return once(path, with_path)
 
     def labelled(out: Column) -> Column:
         return F.transform(out, lambda o, i: F.when(
@@ -82,7 +82,7 @@ def _positions(headings: Column, root: Column) -> Column:
             F.concat(o["path"], F.lit(" (part "), o["n"].cast("string"), F.lit(")"))).otherwise(o["path"]))
 
     paths = F.aggregate(headings, start, step, lambda s: s["out"])
-    return F.try_element_at(F.transform(F.array(paths), labelled), F.lit(1))
+    return once(paths, labelled)
 
 
 def chunk_documents(df: DataFrame, text: str = "text", name: str = "file_name", strategy: str = "large_context",
@@ -106,39 +106,88 @@ def chunk_documents(df: DataFrame, text: str = "text", name: str = "file_name",
                     F.col("_c.position").alias("position")))
 
 
+def _pieces_of(doc: str, order: str, span: int) -> tuple[Column, Window, Window]:
+    """Documents are cut into pieces of ``span`` order values: the piece, and windows in it.
+
+    One document may hold most rows of a table; its pieces are worked on in
+    parallel, and only one row per piece is looked at per document.
+    """
+    inside = Window.partitionBy(doc, "_piece").orderBy(order)
+    return F.floor(F.col(order) / span), inside, Window.partitionBy(doc).orderBy("_piece")
+
+
+def _only_cut(rows: DataFrame, doc: str) -> DataFrame:
+    """Rows of documents that have several pieces; usually there are none."""
+    several = rows.groupBy(doc).agg((F.min("_piece") != F.max("_piece")).alias("_cut")).where("_cut")
+    return rows.join(several.select(doc), doc, "left_semi")
+
+
 def heading_paths(chunks: DataFrame, doc: str = "file_name", order: str = "chunk_no", text: str = "text",
-                  out: str = "path") -> DataFrame:
-    """Heading path before each row of a chunk table.
+                  out: str = "path", span: int = PIECE) -> DataFrame:
+    """Heading path before each row of a chunk table; ``order`` is a number.
 
     A chunk decides level p if it holds a heading of level p or above: then the
     level is what its own stack has there, possibly nothing. So each level is
-    the latest decision among earlier chunks of the document. Only a document,
-    never a source or other large group, shares a window.
+    the latest decision among earlier chunks of the document, in the chunk's
+    own piece or else in the pieces before it.
     """
-    chunks = chunks.withColumn("_own", F.aggregate(
-        _headings(F.col(text)), F.array().cast("array<struct<p:int,t:string>>"), _push))
-    # The top of what a chunk pops is its smallest priority, which its own stack keeps first.
-    chunks = chunks.withColumn("_min", F.get("_own", F.lit(0))["p"])
-    before = Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-
-    def level(p: int) -> Column:
-        entry = F.get(F.filter(F.col("_own"), lambda s: s["p"] == p), F.lit(0))["t"]
-        decided = F.when(F.col("_min") <= p, F.struct(entry.alias("t")))
-        return F.last(decided, ignorenulls=True).over(before)["t"]
-
-    root = stem(F.col(doc).cast("string"))
-    return chunks.withColumn(out, F.concat_ws(JOINT, root, *[level(p) for p in LEVELS])).drop("_own", "_min")
+    piece, inside, across = _pieces_of(doc, order, span)
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    names = [f"_p{p}" for p in LEVELS]
+
+    def decided(rows: DataFrame) -> DataFrame:
+        own = F.aggregate(_headings(F.col(text)), F.array().cast("array<struct<p:int,t:string>>"), _push)
+        rows = rows.withColumn("_own", own)
+        # What a chunk pops reaches up to its smallest priority, which its own stack keeps first.
+        entry = lambda p: F.get(F.filter(F.col("_own"), lambda s: s["p"] == p), F.lit(0))["t"]
+        top = F.get("_own", F.lit(0))["p"]
+        return rows.withColumns({n: F.when(top <= p, F.struct(entry(p).alias("t"))) for n, p in zip(names, LEVELS)}).drop("_own")
+
+    cut = chunks.withColumn("_piece", piece)
+    ends = decided(_only_cut(cut, doc)).groupBy(doc, "_piece").agg(
+        *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col(order))).alias(n) for n in names])
+    carried = ends.select(doc, "_piece", *[F.last(n, ignorenulls=True).over(earlier).alias(f"{n}_c") for n in names])
+    near = decided(cut).withColumns({n: F.last(n, ignorenulls=True).over(before) for n in names})
+    levels = [F.coalesce(n, f"{n}_c")["t"] for n in names]
+    joined = near.join(carried, [doc, "_piece"], "left")
+    path = F.concat_ws(JOINT, stem(F.col(doc).cast("string")), *levels)
+    return joined.withColumn(out, path).select(*[c for c in chunks.columns if c != out], out)
 
 
 def part_suffix(chunks: DataFrame, doc: str = "file_name", order: str = "chunk_no", path: str = "path",
-                out: str = "position") -> DataFrame:
+                out: str = "position", span: int = PIECE) -> DataFrame:
     """Number runs of equal consecutive paths: `` (part n)`` where a run is longer than 1."""
-    ordered = Window.partitionBy(doc).orderBy(order)
-    fresh = F.when(F.lag(path).over(ordered) == F.col(path), F.lit(0)).otherwise(F.lit(1))
-    runs = chunks.withColumn("_new", fresh).withColumn("_run", F.sum("_new").over(ordered))
-    run = Window.partitionBy(doc, "_run")
-    n, total = F.row_number().over(run.orderBy(order)), F.count(F.lit(1)).over(run)
+    piece, inside, across = _pieces_of(doc, order, span)
+
+    def in_piece(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumns({"_rn": F.row_number().over(inside), "_next": F.lead(path).over(inside),
+                                 "_new": F.lag(path).over(inside) != F.col(path)})
+        # Where the run of a row began, unless it is the first run of the piece.
+        begun = F.last(F.when(F.col("_new"), F.col("_rn")), ignorenulls=True)
+        return rows.withColumn("_start", begun.over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+
+    cut = chunks.withColumn("_piece", piece)
+    pieces = in_piece(_only_cut(cut, doc)).groupBy(doc, "_piece").agg(
+        F.count(F.lit(1)).alias("_n"), F.min_by(path, order).alias("_first"), F.max_by(path, order).alias("_last"),
+        F.max("_start").alias("_tail"))
+    pieces = pieces.withColumns({
+        "_prev": F.lag("_last").over(across), "_follow": F.lead("_first").over(across),
+        "_sum": F.sum("_n").over(across.rowsBetween(Window.unboundedPreceding, 0))})
+    # The run at the end of a piece began in the latest piece that holds a change or starts one.
+    fresh = F.when(F.col("_tail").isNotNull(), F.col("_n") - F.col("_tail") + 1).when(
+        F.col("_prev").isNull() | (F.col("_prev") != F.col("_first")), F.col("_n"))
+    anchor = F.last(F.when(fresh.isNotNull(), F.struct(fresh.alias("n"), F.col("_sum").alias("s"))), ignorenulls=True)
+    pieces = pieces.withColumn("_anchor", anchor.over(across.rowsBetween(Window.unboundedPreceding, 0)))
+    pieces = pieces.withColumn("_run", F.col("_anchor.n") + F.col("_sum") - F.col("_anchor.s"))
+    going = F.when(F.col("_prev") == F.col("_first"), F.lag("_run").over(across))
+    edges = pieces.select(doc, "_piece", "_follow", going.alias("_before"))
+
+    joined = in_piece(cut).join(edges, [doc, "_piece"], "left")
+    n = F.when(F.col("_start").isNull(), F.col("_rn") + F.coalesce("_before", F.lit(0))).otherwise(
+        F.col("_rn") - F.col("_start") + 1)
+    joined = joined.withColumn("_n", n)
+    longer = (F.col("_n") > 1) | F.coalesce(F.coalesce("_next", "_follow") == F.col(path), F.lit(False))
     label = F.concat(F.col(path), F.lit(" (part "), F.col("_n").cast("string"), F.lit(")"))
-    return (runs.withColumn("_n", n).withColumn("_total", total)
-            .withColumn(out, F.when(F.col("_total") > 1, label).otherwise(F.col(path)))
-            .drop("_new", "_run", "_n", "_total"))
+    return joined.withColumn(out, F.when(longer, label).otherwise(F.col(path))).select(
+        *[c for c in chunks.columns if c != out], out)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -56,7 +57,8 @@ def embed(col: Column | str, encoder: Model | None = None, batch: int = 20,
                 rows.extend(out)
             yield pd.Series(rows)
 
-    return vectors(as_column(col))
+    # Without this mark Spark may encode once more to test a filter on the vectors.
+    return vectors.asNondeterministic()(as_column(col))
 
 
 def embed_texts(df: DataFrame, col: str, encoder: Model | None = None, out: str = "embedding", **options) -> DataFrame:
@@ -75,20 +77,25 @@ def _attempt(fn: Model, text: str, retries: int, delay: float, backoff: float):
 
 
 def call_model(df: DataFrame, prompt: str, fn: Model, out: str = "response", rounds: int = 1, retries: int = 0,
-               delay: float = 0.0, backoff: float = 2.0) -> DataFrame:
+               delay: float = 0.0, backoff: float = 2.0, workers: int = 1) -> DataFrame:
     """Add the model's responses to each row, never dropping one.
 
     ``out`` is ``array<struct<response, error, calls>>`` with one entry per round:
-    rounds stay in the row, so choosing among them needs no shuffle.
+    rounds stay in the row, so choosing among them needs no shuffle. Rows run in
+    parallel by partition, and ``workers`` of a partition at a time, which pays
+    when the model is a remote endpoint.
     """
     entry = "array<struct<response:string,error:string,calls:int>>"
 
     @F.pandas_udf(entry)
     def respond(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in parts:
-            yield texts.map(lambda t: [dict(zip(("response", "error", "calls"),
-                                                _attempt(fn, t or "", retries, delay, backoff)))
-                                       for _ in range(rounds)])
+        def one(text: str | None) -> list[dict]:
+            tries = [_attempt(fn, text or "", retries, delay, backoff) for _ in range(rounds)]
+            return [dict(zip(("response", "error", "calls"), t)) for t in tries]
+
+        with ThreadPoolExecutor(workers) as pool:
+            for texts in parts:
+                yield pd.Series(list(pool.map(one, texts)), dtype=object)
 
     # The call is asked for once even where its result is read several times.
     return df.withColumn(out, respond.asNondeterministic()(F.col(prompt)))
@@ -103,9 +110,9 @@ def best_of_responses(responses: Column | str) -> Column:
 
 
 def generate(df: DataFrame, prompt: str, fn: Model, rounds: int = 3, retries: int = 3, delay: float = 5.0,
-             backoff: float = 2.0) -> DataFrame:
+             backoff: float = 2.0, workers: int = 1) -> DataFrame:
     """Question and answer per row from ``rounds`` generations, with call counters."""
-    asked = call_model(df, prompt, fn, "_responses", rounds, retries, delay, backoff)
+    asked = call_model(df, prompt, fn, "_responses", rounds, retries, delay, backoff, workers)
     counted = F.aggregate("_responses", F.lit(0), lambda n, r: n + r["calls"])
     return (asked.withColumn("_best", best_of_responses("_responses"))
             .select(*df.columns, F.col("_best.question").alias("question"), F.col("_best.answer").alias("answer"),
@@ -124,7 +131,7 @@ def best_of_rounds(rounds: DataFrame, *keys: str, response: str = "response", nu
 
 
 def run_model_test(dataset: DataFrame, fn: Callable[[list[dict]], Sequence[str]], model_name: str,
-                   retries: int = 2, delay: float = 1.0) -> DataFrame:
+                   retries: int = 2, delay: float = 1.0, workers: int = 1) -> DataFrame:
     """Run a dataset through a model: + ``model_output, workflow_name, timestamp``.
 
     The dataset needs ``input``; ``fn`` gets dicts ``{query, inputs}`` and returns
@@ -143,7 +150,7 @@ def run_model_test(dataset: DataFrame, fn: Callable[[list[dict]], Sequence[str]]
             d["inputs"] = json.loads(d["inputs"])
         return list(fn(decoded))
 
-    called = call_model(dataset.withColumn("_request", request), "_request", ask, "_r", 1, retries, delay, 1.0)
+    called = call_model(dataset.withColumn("_request", request), "_request", ask, "_r", 1, retries, delay, 1.0, workers)
     one = F.get("_r", F.lit(0))
     output = F.when(one["error"].isNotNull(), F.concat(F.lit(TEST_FAILED), one["error"])).otherwise(
         extract_answer(one["response"]))
@@ -151,7 +158,8 @@ def run_model_test(dataset: DataFrame, fn: Callable[[list[dict]], Sequence[str]]
                          F.current_timestamp().alias("timestamp"))
 
 
-def judge(results: DataFrame, rule: Mapping, fn: Model, retries: int = 0, delay: float = 1.0) -> DataFrame:
+def judge(results: DataFrame, rule: Mapping, fn: Model, retries: int = 0, delay: float = 1.0,
+          workers: int = 1) -> DataFrame:
     """Score model outputs with a rule: + ``evaluation_score, _reason, _rule, _timestamp``.
 
     ``rule`` is ``{evaluation_rule: {name, prompt: {role: {description}}}}``.
@@ -160,7 +168,7 @@ def judge(results: DataFrame, rule: Mapping, fn: Model, retries: int = 0, delay:
     if body is None or "prompt" not in body:
         raise ValueError("the rule lacks 'evaluation_rule' or its 'prompt'")
     asked = results.withColumn("_prompt", render_prompt(results, body["prompt"]["role"]["description"]))
-    called = call_model(asked, "_prompt", fn, "_r", 1, retries, delay)
+    called = call_model(asked, "_prompt", fn, "_r", 1, retries, delay, workers=workers)
     one = F.get("_r", F.lit(0))
     failed = F.struct(F.lit(0.0).alias("score"), F.concat(F.lit(JUDGE_FAILED), one["error"]).alias("reason"))
     verdict = F.when(one["error"].isNotNull(), failed).otherwise(parse_judgement(one["response"]))

@@ -150,10 +150,22 @@ def test_positions_match_stack_model(spark):
     docs = {f"d{i}.md": ["\n".join(rng.choice(lines) for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(1, 12))] for i in range(60)}
     rows = [(d, n, t) for d, chunks in docs.items() for n, t in enumerate(chunks)]
     df = spark.createDataFrame(rows, "file_name string, chunk_no int, text string")
-    got = part_suffix(heading_paths(df)).collect()
     want = {d: _paths_model(c, d[:-3]) for d, c in docs.items()}
-    for r in got:
-        assert r["position"] == want[r["file_name"]][r["chunk_no"]], (docs[r["file_name"]], r)
+    # Small pieces: documents are cut, and runs and headings cross the cuts.
+    for span in (65536, 1, 3):
+        got = part_suffix(heading_paths(df, span=span), span=span).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert r["position"] == want[r["file_name"]][r["chunk_no"]], (span, docs[r["file_name"]], r)
+
+
+def test_runs_in_one_hot_document(spark):
+    rng = random.Random(4)
+    paths = [rng.choice("aab") for _ in range(300)]
+    rows = [("hot", 10 * i, p) for i, p in enumerate(paths)] + [(f"d{i}", 0, "a") for i in range(50)]
+    df = spark.createDataFrame(rows, "file_name string, chunk_no int, path string")
+    whole, cut = (part_suffix(df, span=s).select("file_name", "chunk_no", "position") for s in (10**6, 40))
+    assert whole.exceptAll(cut).count() == 0 and cut.count() == 350
 
 
 def test_chunk_documents_agrees_with_chunk_table(spark):

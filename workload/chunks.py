@@ -81,11 +81,11 @@ HEADED_SQL = """WITH m AS (SELECT doc_id, '# '||source||chr(10)||chr(10)||'intro
 
 
 def _headed(spark, d):
-    docs = documents(spark, d)
+    docs = texts(spark, d)
     md = F.concat(F.lit("# "), F.col("source"), F.lit("\n\nintro\n\n"), F.col("lang"), F.lit("\n---\n\n"),
                   F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n### ")), F.lit("\n\n- end\n\nlast\n\nAppendix\n===\n\nmore"))
     rows = docs.select("doc_id", F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("file_name"),
-                       F.posexplode(F.split(md, "\n\n")).alias("chunk_no", "text"))
+                       F.posexplode_outer(F.split(md, "\n\n")).alias("chunk_no", "text"))
     return heading_paths(rows)
 
 
