@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 << 20   # largest side sent to every executor
 STRIPE_BYTES = 64 << 20      # size of one stripe in a task
+CELL_STRIPE_ROWS = 1024      # rows of a stripe where every cell is returned
 TILE_CELLS = 1 << 20         # cells computed at once in a task
 DECIMALS = 12                # equal vectors score equally whatever the kernel
 
@@ -255,9 +256,11 @@ def _measure(side: DataFrame, limit: int) -> tuple[int, int | None]:
     return rows, side.agg(F.coalesce(F.sum(F.size("embedding") * 8), F.lit(0))).first()[0]
 
 
-def _stripes(side: DataFrame, rows: int, stripe_bytes: int) -> int:
-    first = side.select(F.size("embedding")).first()
-    return max(1, -(-rows * 8 * max(1, first[0] if first else 1) // stripe_bytes))
+def _stripes(side: DataFrame, rows: int, stripe_bytes: int, stripe_rows: int | None) -> int:
+    """Number of stripes so that none exceeds the given size, by the longest vector."""
+    longest = side.agg(F.max(F.size("embedding"))).first()[0]
+    most = max(1, stripe_bytes // (8 * max(1, longest)))
+    return -(-rows // (min(most, stripe_rows) if stripe_rows else most))
 
 
 def _id_type(side: DataFrame) -> str:
@@ -283,7 +286,10 @@ def pair_up(x: DataFrame, y: DataFrame, fold: Cells | Moments | Best, strict: bo
             cores = x.sparkSession.sparkContext.defaultParallelism
             x, y = (x, y.repartition(cores, "id")) if held == "x" else (x.repartition(cores, "id"), y)
         return _broadcast_side(x, y, fold, strict, held, schema)
-    return _striped(x, y, fold, strict, schema, _stripes(x, x_rows, stripe_bytes), _stripes(y, y_rows, stripe_bytes))
+    # A group returns its result at once, so a matrix needs small groups.
+    most = CELL_STRIPE_ROWS if isinstance(fold, Cells) else None
+    nx, ny = _stripes(x, x_rows, stripe_bytes, most), _stripes(y, y_rows, stripe_bytes, most)
+    return _striped(x, y, fold, strict, schema, nx, ny)
 
 
 def _broadcast_side(x: DataFrame, y: DataFrame, fold, strict: bool, held: str, schema: str) -> DataFrame:
