@@ -46,10 +46,11 @@ class Block:
 
 
 def _blocks(table: pa.Table) -> list[Block]:
-    """Unit-length blocks of a ``(collection, id, vector)`` table."""
+    """Unit-length blocks, in id order, of a ``(collection, id, vector)`` table."""
     if table.num_rows == 0:
         return []
     table = table.combine_chunks()
+    table = table.take(pc.sort_indices(table.column(1))).combine_chunks()
     names, ids, vectors = (_flat(table.column(i)) for i in range(3))
     if vectors.null_count:
         raise ValueError("a row has no embedding")
@@ -76,8 +77,9 @@ def _flat(column) -> pa.Array:
 
 def _scores(y: np.ndarray, x: np.ndarray, floor0: bool) -> np.ndarray:
     raw = y @ x.T
+    # A vector with NaN: like itself and all others in a matrix, never found in a search.
+    raw[np.isnan(raw)] = 1.0 if floor0 else -1.0
     if floor0:
-        raw[np.isnan(raw)] = 1.0
         return np.clip(raw, 0.0, 1.0, out=raw)
     return np.clip(raw, -1.0, 1.0, out=raw)
 
@@ -200,22 +202,33 @@ class Best:
         return table.filter(pa.array(position < self.k))
 
     def _candidates(self, sim: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions that may be among the k best of their row, ties included."""
-        if self.k >= sim.shape[1]:
+        """Positions of the k best of each row; columns are in id order.
+
+        Of values equal to the k-th only the first ones are taken, so a large
+        group of copies costs no more than any other rows.
+        """
+        n = sim.shape[1]
+        if self.k >= n:
             return np.nonzero(np.ones_like(sim, dtype=bool))
-        bound = np.partition(sim, sim.shape[1] - self.k, axis=1)[:, sim.shape[1] - self.k]
-        return np.nonzero(sim >= bound[:, None] - 10.0 ** -(DECIMALS - 1))
+        bound = np.partition(sim, n - self.k, axis=1)[:, n - self.k, None]
+        chosen = sim >= bound
+        crowded = np.flatnonzero(chosen.sum(axis=1) > self.k)
+        if len(crowded):
+            tied = sim[crowded] == bound[crowded]
+            left = self.k - (sim[crowded] > bound[crowded]).sum(axis=1, keepdims=True)
+            chosen[crowded] &= ~tied | (np.cumsum(tied, axis=1, dtype=np.int32) <= left)
+        return np.nonzero(chosen)
 
     def add(self, x: Block, y: Block) -> Iterator[pa.RecordBatch]:
         fixed, moving = (y, x) if self.axis == "x" else (x, y)
         for a, b in _tiles(moving, fixed):
-            sim = _scores(fixed.rows[a:b], moving.rows, self.floor0)
+            sim = np.round(_scores(fixed.rows[a:b], moving.rows, self.floor0), DECIMALS) + 0.0
             rows, cols = self._candidates(sim)
             fixed_ids, moving_ids = fixed.ids.take(pa.array(rows + a)), moving.ids.take(pa.array(cols))
             y_ids, x_ids = (fixed_ids, moving_ids) if self.axis == "x" else (moving_ids, fixed_ids)
             part = pa.table({
                 "x_collection": _constant(x.collection, len(rows)), "y_collection": _constant(y.collection, len(rows)),
-                "y_id": y_ids, "x_id": x_ids, "sim": pa.array(np.round(sim[rows, cols], DECIMALS) + 0.0)})
+                "y_id": y_ids, "x_id": x_ids, "sim": pa.array(sim[rows, cols])})
             self.kept = part if self.kept is None else pa.concat_tables([self.kept, part])
             if self.kept.num_rows > max(2 * self.rows_kept, TILE_CELLS):
                 self.kept = self._trim(self.kept)

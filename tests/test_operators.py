@@ -77,6 +77,15 @@ def test_string_ids_and_hot_collection(spark):
     assert a == b and len(a) == 1600
 
 
+@pytest.mark.parametrize("limits", LIMITS)
+def test_copies_tie_by_id(spark, limits):
+    rows = [(i, [1.0, 0.1 * (i % 7)] if i % 3 else [0.3, 0.4]) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, embedding array<double>").repartition(4)
+    q = spark.createDataFrame([(1, [3.0, 4.0])], "query_id int, embedding array<double>")
+    got = search.vector_search(df, q, 5, **limits).orderBy("rank").collect()
+    assert [r["id"] for r in got] == [0, 3, 6, 9, 12] and {r["score"] for r in got} == {1.0}
+
+
 def test_topk_mask_golden(spark):
     m = spark.createDataFrame([(0, 0, 0.2), (0, 1, 0.9), (0, 2, 0.9), (0, 3, None)], "y_id int, x_id int, sim double")
     assert [r["x_id"] for r in masks.topk_mask(m, 1).where("keep").collect()] == [1]

@@ -23,7 +23,7 @@ HASHED = """WITH w AS (SELECT {key}, unnest(regexp_split_to_array(lower(trim({te
  e AS (SELECT {key}, bucket, n / sqrt(sum(n * n) OVER (PARTITION BY {key})) AS value FROM b)"""
 
 
-@query("embed_texts", HASHED.format(key="doc_id", text="text", table="documents") + " SELECT doc_id, bucket, round(value, 4) AS value FROM e")
+@query("embed_texts", HASHED.format(key="doc_id", text="text", table="documents") + " SELECT doc_id, bucket, round(value::FLOAT::DOUBLE, 4) AS value FROM e")
 def _(spark, d):
     out = G.embed_texts(texts(spark, d).select("doc_id", "text"), "text", HashingEncoder(DIM))
     cells = out.select("doc_id", F.posexplode("embedding").alias("bucket", "v")).where("v > 0")

@@ -240,7 +240,7 @@ def _(spark, d):
     return html.convert_pages(load(spark, d, "pages").repartition(8, "page_id"))
 
 
-@query("html_headings", """SELECT page_id, replace(trim(regexp_replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '\\s+', ' ', 'g')), '&amp;', '&') AS heading,
+@query("html_headings", """SELECT page_id, regexp_replace(replace(trim(regexp_replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '\\s+', ' ', 'g')), '&quot;', '"'), '&amp;?', '&', 'g') AS heading,
  octet_length(encode(html))::INTEGER AS file_size FROM pages""")
 def _(spark, d):
     out = html.convert_pages(load(spark, d, "pages"))
