@@ -11,6 +11,8 @@ IMAGE = r"(?d)!\[.*?\]\(.*?\)"
 LINK = r"(?d)\[(.*?)\]\(.*?\)"
 IMAGE_KEY = r"<img\d+>"
 TARGET = r"(?d)\((.*?)\)"
+ANY_KEY = r"<[^<>]*>"
+PLAIN_KEY = r"^<[^<>\[\]]*>$"
 
 _ENTRY = "array<struct<key:string,value:string>>"
 
@@ -25,6 +27,20 @@ def _fold(text: Column, entries: Column, old: str, new: str) -> Column:
     return F.aggregate(entries, text, lambda t, e: F.replace(t, e[old], e[new]))
 
 
+def _mask(text: Column, found: Column, entries: Column, pattern: str, opener: str) -> Column:
+    """Replace each match by the key of its first equal, everywhere in the text.
+
+    If no match holds a second opener, no match can be part of another one, and
+    putting keys between the pieces of the split text is the same in one pass.
+    """
+    alone = F.forall(found, lambda m: F.length(F.replace(m, F.lit(opener), F.lit(""))) == F.length(m) - len(opener))
+    keys = F.transform(entries, lambda e: e["key"])
+    key_of = lambda m: F.coalesce(F.get(keys, (F.array_position(found, m) - 1).cast("int")), F.lit(""))
+    pieces = F.zip_with(F.split(text, pattern), found, lambda piece, m: F.concat(piece, key_of(m)))
+    return F.when(F.size(found) == 0, text).when(alone, F.array_join(pieces, "")).otherwise(
+        _fold(text, entries, "value", "key"))
+
+
 def _unique(entries: Column) -> Column:
     """One entry per key, at the place of its first and with the value of its last use."""
     keys = F.transform(entries, lambda e: e["key"])
@@ -44,33 +60,53 @@ def mask_links(df: DataFrame, text: str, masked: str = "masked", link_map: str =
     """
     step = df.withColumn("_img", F.transform(
         _found(F.col(text), IMAGE), lambda m, i: F.struct(F.concat(F.lit("<img"), (i + 1).cast("string"), F.lit(">")).alias("key"), m.alias("value"))))
-    step = step.withColumn("_t", _fold(F.col(text), F.col("_img"), "value", "key"))
+    step = step.withColumn("_images", F.transform("_img", lambda e: e["value"]))
+    step = step.withColumn("_t", _mask(F.col(text), F.col("_images"), F.col("_img"), IMAGE, "!["))
     step = step.withColumn("_links", _found(F.col("_t"), LINK))
     step = step.withColumn("_labels", F.transform("_links", lambda m: F.regexp_extract(m, LINK, 1)))
 
     def link_entry(label: Column, i: Column) -> Column:
-        nth = F.size(F.filter(F.slice(F.col("_labels"), 1, i + 1), lambda z: z == label))
+        seen = F.slice(F.col("_labels"), 1, i + 1)
+        nth = F.size(seen) - F.size(F.array_remove(seen, label))
         number = F.when(nth > 1, nth.cast("string")).otherwise(F.lit(""))
         return F.struct(F.concat(F.lit("<"), label, number, F.lit(">")).alias("key"),
                         F.get(F.col("_links"), i).alias("value"))
 
     step = step.withColumn("_link", F.transform("_labels", link_entry))
-    step = step.withColumn(masked, _fold(F.col("_t"), F.col("_link"), "value", "key"))
+    step = step.withColumn(masked, _mask(F.col("_t"), F.col("_links"), F.col("_link"), LINK, "["))
     step = step.withColumn(link_map, _unique(F.concat(F.col("_img").cast(_ENTRY), F.col("_link").cast(_ENTRY))))
-    return step.drop("_img", "_t", "_links", "_labels", "_link")
+    return step.drop("_img", "_images", "_t", "_links", "_labels", "_link")
 
 
-def restore_links(text: Column | str, link_map: Column | str) -> Column:
-    """Put every original back, in the order of the map."""
-    return _fold(as_column(text), as_column(link_map), "key", "value")
+def plain_keys(link_map: Column | str) -> Column:
+    """The keys of a map if putting one original back cannot make another key appear, else null."""
+    entries = as_column(link_map)
+    plain = F.forall(entries, lambda e: e["key"].rlike(PLAIN_KEY) & ~e["value"].contains("<"))
+    return F.when(plain, F.transform(entries, lambda e: e["key"]))
+
+
+def restore_links(text: Column | str, link_map: Column | str, keys: Column | None = None) -> Column:
+    """Put every original back, in the order of the map.
+
+    With ``plain_keys`` of the map only the keys that the text shows are looked
+    at, which matters where one map serves many chunks.
+    """
+    col, entries = as_column(text), as_column(link_map)
+    every = _fold(col, entries, "key", "value")
+    if keys is None:
+        return every
+    shown = F.array_distinct(F.regexp_extract_all(col, F.lit(ANY_KEY), F.lit(0)))
+    places = F.array_sort(F.filter(F.transform(shown, lambda k: F.array_position(keys, k)), lambda i: i > 0))
+    present = F.transform(places, lambda i: F.get(entries, (i - 1).cast("int")))
+    return F.when(~col.contains("<"), col).when(keys.isNotNull(), _fold(col, present, "key", "value")).otherwise(every)
 
 
 def image_urls(text: Column | str, link_map: Column | str) -> Column:
     """Targets of the image keys in a masked text, in order, joined with ``;``."""
     entries = as_column(link_map)
-    urls = F.transform(
+    found = F.transform(
         F.regexp_extract_all(as_column(text), F.lit(IMAGE_KEY), F.lit(0)),
         lambda k: F.try_element_at(F.transform(
             F.filter(entries, lambda e: (e["key"] == k) & e["value"].rlike(TARGET)),
             lambda e: F.regexp_extract(e["value"], TARGET, 1)), F.lit(1)))
-    return F.array_join(urls, ";")
+    return F.when(as_column(text).contains("<img"), F.array_join(found, ";")).otherwise(F.lit(""))

@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lorefield.functions.links import image_urls, mask_links, restore_links
+from lorefield.functions.links import image_urls, mask_links, plain_keys, restore_links
 from lorefield.functions.splitting import split_text
 from lorefield.functions.strings import collapse_markdown_runs, once, stem, strip
 
@@ -26,6 +26,7 @@ UNDERLINES = ((r"^=+$", 0), (r"^-+$", 1))
 CANDIDATE = r"(?mU)^[\s\x1c-\x1f]*[#*=\p{Nd}-]"
 LEVELS = range(7)
 JOINT = " > "
+RUN = 512         # chunks of a document whose positions are gathered at a time
 PIECE = 65_536   # chunks of one document that share a window
 
 
@@ -64,7 +65,8 @@ def _positions(headings: Column, root: Column) -> Column:
     start = F.struct(
         F.array(F.struct(F.lit(-1).alias("p"), root.alias("t"))).cast(stack_type).alias("stack"),
         F.lit(None).cast("string").alias("last"), F.lit(0).alias("n"),
-        F.array().cast("array<struct<path:string,n:int>>").alias("out"))
+        F.array().cast("array<array<struct<path:string,n:int>>>").alias("out"))
+    nothing = F.array().cast("array<struct<path:string,n:int>>")
 
     def step(state: Column, found: Column) -> Column:
         def with_path(path: Column) -> Column:
@@ -81,8 +83,13 @@ def _positions(headings: Column, root: Column) -> Column:
             (o["n"] > 1) | (F.coalesce(F.get(out, i + 1)["n"], F.lit(0)) > 1),
             F.concat(o["path"], F.lit(" (part "), o["n"].cast("string"), F.lit(")"))).otherwise(o["path"]))
 
-    paths = F.aggregate(headings, start, step, lambda s: s["out"])
-    return once(paths, labelled)
+    def block(state: Column, at: Column) -> Column:
+        part = F.aggregate(F.slice(headings, at + 1, RUN), state.withField("out", nothing), step)
+        return once(part, lambda s: s.withField("out", F.concat(state["out"], F.array(s["out"]))))
+
+    # Results are gathered run by run, so a document of very many chunks costs little more per chunk.
+    runs = F.aggregate(F.sequence(F.lit(0), F.size(headings) - 1, F.lit(RUN)), start, block, lambda s: F.flatten(s["out"]))
+    return F.when(F.size(headings) == 0, F.array().cast("array<string>")).otherwise(once(runs, labelled))
 
 
 def chunk_documents(df: DataFrame, text: str = "text", name: str = "file_name", strategy: str = "large_context",
@@ -96,7 +103,8 @@ def chunk_documents(df: DataFrame, text: str = "text", name: str = "file_name",
     cleaned = df.withColumn("_clean", collapse_markdown_runs(F.col(text)))
     masked = mask_links(cleaned, "_clean", "_masked", "_map").select(*others, "_masked", "_map")
     split = masked.withColumn("_pure", split_text("_masked", strategy, size, overlap, minimum))
-    restored = split.withColumn("_full", F.transform("_pure", lambda c: restore_links(c, "_map")))
+    keyed = split.withColumn("_keys", plain_keys("_map"))
+    restored = keyed.withColumn("_full", F.transform("_pure", lambda c: restore_links(c, "_map", F.col("_keys"))))
     found = restored.withColumn("_heads", F.transform("_full", _headings))
     placed = found.withColumn("_pos", _positions(F.col("_heads"), stem(F.col(name))))
     rows = F.arrays_zip(F.col("_full").alias("text"), F.col("_pure").alias("text_pure"), F.col("_pos").alias("position"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lorefield.functions import answers, strings
 from lorefield.functions.conditions import metadata_condition
-from lorefield.functions.links import image_urls, mask_links, restore_links
+from lorefield.functions.links import image_urls, mask_links, plain_keys, restore_links
 from lorefield.functions.records import coerce_metadata, fallback_document, record_content, record_title
 from lorefield.functions.splitting import SEPARATORS, _pack, _pieces, check_chunking, merge_small, split_one
 from lorefield.functions.templates import check_template, clean_values, render_prompt, render_template
@@ -205,8 +205,13 @@ def test_links_match_model(spark):
     bits = ["![a](u1)", "![a](u1)", "![b](u2)", "[x](l1)", "[x](l2)", "[y](l1)", "[img1](l9)", "[x2](l3)", "[![a](u1)](l4)", "<img1>", "<x>", "[", "](", "!", " ", "\n", "![\n](", "z"]
     texts = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(400)]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(8)
-    out = mask_links(df, "t").select("i", "masked", "link_map", restore_links("masked", "link_map").alias("r"), image_urls("masked", "link_map").alias("u"))
-    for row in out.collect():
+    out = mask_links(df, "t").withColumn("keys", plain_keys("link_map")).select(
+        "i", "masked", "link_map", restore_links("masked", "link_map").alias("r"), image_urls("masked", "link_map").alias("u"),
+        restore_links("masked", "link_map", F.col("keys")).alias("quick"), F.col("keys").isNotNull().alias("plain"))
+    rows = out.collect()
+    assert 50 < sum(r["plain"] for r in rows) < 400
+    for row in rows:
+        assert row["quick"] == row["r"], texts[row["i"]]
         got = (row["masked"], [tuple(e) for e in row["link_map"]], row["r"], row["u"])
         assert got == _links_model(texts[row["i"]]), texts[row["i"]]
 

@@ -177,7 +177,9 @@ def test_runs_in_one_hot_document(spark):
     assert whole.exceptAll(cut).count() == 0 and cut.count() == 350
 
 
-def test_chunk_documents_agrees_with_chunk_table(spark):
+@pytest.mark.parametrize("run", [512, 3])
+def test_chunk_documents_agrees_with_chunk_table(spark, monkeypatch, run):
+    monkeypatch.setattr("lorefield.operators.chunking.RUN", run)
     rng = random.Random(2)
     bits = ["# T", "## U", "some words here", "[l](u)", "![i](v)", "- x", "", "x\n===", "*****", "------"]
     docs = [(f"f{i}.md", "\n".join(rng.choice(bits) for _ in range(40))) for i in range(30)] + [("empty.md", ""), ("blank.md", " \n")]
