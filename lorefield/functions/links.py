@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lorefield.functions.strings import as_column
+from lorefield.functions.strings import as_column, once
 
 # The link and image patterns; (?d) lets '.' stop at '\n' only.
 IMAGE = r"(?d)!\[.*?\]\(.*?\)"
@@ -27,28 +27,30 @@ def _fold(text: Column, entries: Column, old: str, new: str) -> Column:
     return F.aggregate(entries, text, lambda t, e: F.replace(t, e[old], e[new]))
 
 
-def _mask(text: Column, found: Column, entries: Column, pattern: str, opener: str) -> Column:
+def _mask(text: Column, found: Column, keys: Column, entries: Column, pattern: str, opener: str) -> Column:
     """Replace each match by the key of its first equal, everywhere in the text.
 
     If no match holds a second opener, no match can be part of another one, and
     putting keys between the pieces of the split text is the same in one pass.
     """
     alone = F.forall(found, lambda m: F.length(F.replace(m, F.lit(opener), F.lit(""))) == F.length(m) - len(opener))
-    keys = F.transform(entries, lambda e: e["key"])
     key_of = lambda m: F.coalesce(F.get(keys, (F.array_position(found, m) - 1).cast("int")), F.lit(""))
     pieces = F.zip_with(F.split(text, pattern), found, lambda piece, m: F.concat(piece, key_of(m)))
-    return F.when(F.size(found) == 0, text).when(alone, F.array_join(pieces, "")).otherwise(
+    return F.when(F.size(keys) == 0, text).when(alone, F.array_join(pieces, "")).otherwise(
         _fold(text, entries, "value", "key"))
 
 
-def _unique(entries: Column) -> Column:
+def _unique(every: Column, keys: Column) -> Column:
     """One entry per key, at the place of its first and with the value of its last use."""
-    keys = F.transform(entries, lambda e: e["key"])
-    firsts = F.filter(entries, lambda e, i: F.array_position(keys, e["key"]) == i + 1)
-    merged = F.transform(firsts, lambda e: F.struct(
-        e["key"].alias("key"),
-        F.try_element_at(F.filter(entries, lambda z: z["key"] == e["key"]), F.lit(-1))["value"].alias("value")))
-    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(merged)
+    firsts = F.filter(every, lambda e, i: F.array_position(keys, e["key"]) == i + 1)
+
+    def last_values(backwards: Column, back: Column) -> Column:
+        return F.transform(firsts, lambda e: F.struct(
+            e["key"].alias("key"),
+            F.get(backwards, (F.array_position(back, e["key"]) - 1).cast("int"))["value"].alias("value")))
+
+    repeated = F.size(F.array_distinct(keys)) < F.size(keys)
+    return F.when(repeated, once(F.reverse(every), lambda b: once(F.reverse(keys), lambda k: last_values(b, k)))).otherwise(every)
 
 
 def mask_links(df: DataFrame, text: str, masked: str = "masked", link_map: str = "link_map") -> DataFrame:
@@ -60,8 +62,10 @@ def mask_links(df: DataFrame, text: str, masked: str = "masked", link_map: str =
     """
     step = df.withColumn("_img", F.transform(
         _found(F.col(text), IMAGE), lambda m, i: F.struct(F.concat(F.lit("<img"), (i + 1).cast("string"), F.lit(">")).alias("key"), m.alias("value"))))
-    step = step.withColumn("_images", F.transform("_img", lambda e: e["value"]))
-    step = step.withColumn("_t", _mask(F.col(text), F.col("_images"), F.col("_img"), IMAGE, "!["))
+    # Keys and values are columns of their own, so lambdas read them instead of making them again.
+    step = step.withColumns({"_images": F.transform("_img", lambda e: e["value"]),
+                             "_img_keys": F.transform("_img", lambda e: e["key"])})
+    step = step.withColumn("_t", _mask(F.col(text), F.col("_images"), F.col("_img_keys"), F.col("_img"), IMAGE, "!["))
     step = step.withColumn("_links", _found(F.col("_t"), LINK))
     step = step.withColumn("_labels", F.transform("_links", lambda m: F.regexp_extract(m, LINK, 1)))
 
@@ -73,9 +77,12 @@ def mask_links(df: DataFrame, text: str, masked: str = "masked", link_map: str =
                         F.get(F.col("_links"), i).alias("value"))
 
     step = step.withColumn("_link", F.transform("_labels", link_entry))
-    step = step.withColumn(masked, _mask(F.col("_t"), F.col("_links"), F.col("_link"), LINK, "["))
-    step = step.withColumn(link_map, _unique(F.concat(F.col("_img").cast(_ENTRY), F.col("_link").cast(_ENTRY))))
-    return step.drop("_img", "_images", "_t", "_links", "_labels", "_link")
+    step = step.withColumn("_link_keys", F.transform("_link", lambda e: e["key"]))
+    step = step.withColumn(masked, _mask(F.col("_t"), F.col("_links"), F.col("_link_keys"), F.col("_link"), LINK, "["))
+    step = step.withColumns({"_all": F.concat(F.col("_img").cast(_ENTRY), F.col("_link").cast(_ENTRY)),
+                             "_all_keys": F.concat("_img_keys", "_link_keys")})
+    step = step.withColumn(link_map, _unique(F.col("_all"), F.col("_all_keys")))
+    return step.drop("_img", "_images", "_img_keys", "_t", "_links", "_labels", "_link", "_link_keys", "_all", "_all_keys")
 
 
 def plain_keys(link_map: Column | str) -> Column:

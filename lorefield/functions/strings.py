@@ -48,7 +48,10 @@ def plain_text(df: DataFrame, name: str) -> Column:
 
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once however often ``use`` mentions it."""
+    """``use(value)`` with ``value`` computed once however often ``use`` mentions it.
+
+    Not for arguments of a Python UDF: Spark does not find the UDF around it.
+    """
     return F.try_element_at(F.transform(F.array(value), use), F.lit(1))
 
 
