@@ -307,15 +307,18 @@ def pair_up(x: DataFrame, y: DataFrame, fold: Cells | Moments | Best, strict: bo
 
 def _broadcast_side(x: DataFrame, y: DataFrame, fold, strict: bool, held: str, schema: str) -> DataFrame:
     spark = x.sparkSession
-    sent = spark.sparkContext.broadcast(_blocks((x if held == "x" else y).toArrow()))
+    # Plain tuples: a broadcast is unpickled without the classes of this package.
+    blocks = _blocks((x if held == "x" else y).toArrow())
+    sent = spark.sparkContext.broadcast([(b.collection, b.ids, b.rows) for b in blocks])
     if isinstance(fold, Best) and (held == "x") == (fold.axis == "x"):
         fold = BestStreamed(fold.floor0, fold.k, fold.axis)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = fold.start()
+        fixed = [Block(*parts) for parts in sent.value]
         for batch in batches:
             moving = _blocks(pa.Table.from_batches([batch]))
-            xs, ys = (sent.value, moving) if held == "x" else (moving, sent.value)
+            xs, ys = (fixed, moving) if held == "x" else (moving, fixed)
             for xb, yb in _meet(xs, ys, strict):
                 yield from state.add(xb, yb)
             if isinstance(state, BestStreamed):
