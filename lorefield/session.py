@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,9 +53,12 @@ def shared_dir(spark: SparkSession) -> str:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    base = tempfile.mkdtemp(prefix="lorefield-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    return _local_dir()
+
+
+@lru_cache(maxsize=1)
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="lorefield-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

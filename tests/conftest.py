@@ -13,8 +13,6 @@ from lorefield.session import build_session  # noqa: E402
 def spark():
     session = build_session("tests", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
                             spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="lorefield-warehouse-"))
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lorefield-"))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

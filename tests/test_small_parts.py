@@ -92,5 +92,19 @@ def test_pages_and_masks(spark):
 
 def test_session_helpers(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark) + "/x-")
+
+    class Bare:
+        """A session without the setting."""
+
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "local[2]"
+
+    assert shared_dir(Bare) == shared_dir(Bare) and os.path.isdir(shared_dir(Bare))
+    Bare.sparkContext.master = "yarn"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Bare)
     assert spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == 8
     assert spread(spark.range(10).repartition(40)).rdd.getNumPartitions() == 40
