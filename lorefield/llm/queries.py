@@ -4,10 +4,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lorefield.llm.common import read
 from lorefield.llm.decontaminate import benchmark_overlaps
+from lorefield.llm.packing import pack_documents
 from lorefield.llm.simhash import simhash_components
 from lorefield.llm.toxicity import score_toxicity
 
 QUERIES = {}
+#: Tokenizer file of the packing queries, by name; see ``tokenizer_path``.
+TOKENIZER = "word_bpe_49k.json"
 ORACLES: dict[str, str] = {}
 
 
@@ -21,6 +24,17 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+@_query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 @_query
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
