@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lorefield.llm.common import read
 from lorefield.llm.decontaminate import benchmark_overlaps
 from lorefield.llm.packing import pack_documents
+from lorefield.llm.pii import find_pii
 from lorefield.llm.simhash import simhash_components
 from lorefield.llm.toxicity import score_toxicity
 
@@ -43,3 +44,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(read(spark, sf_dir, "documents"))
