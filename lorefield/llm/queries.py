@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lorefield.llm.common import read
 from lorefield.llm.decontaminate import benchmark_overlaps
+from lorefield.llm.fingerprints import fingerprint_documents
 from lorefield.llm.packing import pack_documents
 from lorefield.llm.pii import find_pii
 from lorefield.llm.simhash import simhash_components
@@ -20,6 +21,11 @@ def _query(fn):
     return fn
 
 
+@_query
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(read(spark, sf_dir, "documents"))
+
+
 @_query
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
