@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lorefield.llm.common import read
 from lorefield.llm.decontaminate import benchmark_overlaps
 from lorefield.llm.fingerprints import fingerprint_documents
+from lorefield.llm.language import identify_language
 from lorefield.llm.packing import pack_documents
 from lorefield.llm.pii import find_pii
 from lorefield.llm.simhash import simhash_components
@@ -31,6 +32,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@_query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(read(spark, sf_dir, "documents"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
