@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lorefield.llm.common import read
 from lorefield.llm.decontaminate import benchmark_overlaps
+from lorefield.llm.extraction import extract_pages
 from lorefield.llm.fingerprints import fingerprint_documents
 from lorefield.llm.language import identify_language
 from lorefield.llm.packing import pack_documents
@@ -32,6 +33,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@_query
+def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(read(spark, sf_dir, "pages"))
+
+
 @_query
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(read(spark, sf_dir, "documents"))
