@@ -1,6 +1,6 @@
 """The queries of this package over the test tables, and their SQL where SQL can say it."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lorefield.llm.common import read
 from lorefield.llm.decontaminate import benchmark_overlaps
@@ -9,6 +9,7 @@ from lorefield.llm.fingerprints import fingerprint_documents
 from lorefield.llm.language import identify_language
 from lorefield.llm.packing import pack_documents
 from lorefield.llm.pii import find_pii
+from lorefield.llm.revisits import FIXED_HEADERS, URL, resolve_revisits
 from lorefield.llm.simhash import simhash_components
 from lorefield.llm.toxicity import score_toxicity
 
@@ -59,6 +60,78 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """Web captures made of the pages: a full response each, a revisit before it and two after it.
+
+    Later revisits write the URL in another way; every fifth page has changed by
+    its last revisit, every third sends no etag, every seventh has no validator.
+    """
+    p = F.col("page_id")
+    etag = F.when(p % 3 != 0, F.md5("html"))
+    kinds = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(s).alias("seconds")) for k, s in ((0, 0), (1, 3600), (2, 7200), (3, -3600))])
+    rows = pages.select("page_id", "url", "html", F.explode(kinds).alias("kind")).select("page_id", "url", "html", "kind.*")
+    again = F.col("k") > 0
+    stale = (F.col("k") == 2) & (p % 5 == 0)
+    bare = again & (p % 7 == 0)
+    other = F.regexp_replace(F.regexp_replace("url", "^http:", "HTTP:"), "#.*$", "")
+    return rows.select(
+        (p * 4 + F.col("k")).alias("record_id"), F.when(again, F.concat(other, F.lit("#r"))).otherwise(F.col("url")).alias("url"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + p * 60 + F.col("seconds")).alias("captured_at"), again.alias("is_revisit"),
+        F.when(bare, None).when(stale, "changed").otherwise(etag).alias("etag"),
+        F.when(bare, None).when(stale, "later").otherwise(F.concat(F.lit("day "), (p % 28).cast("string"))).alias("last_modified"),
+        F.when(bare, None).otherwise(F.md5("html")).alias("digest"),
+        F.create_map(F.lit("Date"), F.col("seconds").cast("string"), F.lit("Content-Length"), F.when(again, "0").otherwise(F.length("html").cast("string")),
+                     F.when(again, "Age").otherwise("Server"), F.lit("x")).alias("headers"))
+
+
+@_query
+def op8_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resolve_revisits(captures(read(spark, sf_dir, "pages")))
+    fields = F.array_join(F.transform("headers", lambda h: F.concat_ws(": ", h["name"], h["value"])), "; ")
+    return found.select("record_id", "canonical_url", "status", "response_id", "response_digest", fields.alias("headers"))
+
+
+_FIXED = ", ".join(f"'{h}'" for h in FIXED_HEADERS)
+ORACLES["op8_revisits"] = rf"""
+WITH kinds(k, seconds) AS (VALUES (0, 0), (1, 3600), (2, 7200), (3, -3600)),
+captures AS (
+  SELECT page_id * 4 + k AS record_id,
+    CASE WHEN k > 0 THEN regexp_replace(regexp_replace(url, '^http:', 'HTTP:'), '#.*$', '') || '#r' ELSE url END AS url,
+    1700000000 + page_id * 60 + seconds AS ts, k > 0 AS is_revisit,
+    CASE WHEN k > 0 AND page_id % 7 = 0 THEN NULL WHEN k = 2 AND page_id % 5 = 0 THEN 'changed' WHEN page_id % 3 <> 0 THEN md5(html) END AS etag,
+    CASE WHEN k > 0 AND page_id % 7 = 0 THEN NULL WHEN k = 2 AND page_id % 5 = 0 THEN 'later' ELSE 'day ' || (page_id % 28) END AS last_modified,
+    CASE WHEN k > 0 AND page_id % 7 = 0 THEN NULL ELSE md5(html) END AS digest,
+    CASE WHEN k > 0 THEN [('age', 'x'), ('content-length', '0'), ('date', seconds::VARCHAR)]
+         ELSE [('content-length', length(html)::VARCHAR), ('date', seconds::VARCHAR), ('server', 'x')] END AS fields
+  FROM pages, kinds),
+parts AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(url, '{URL}', 1)), '^.*@', ''), ':(80|443)?$', '') AS host,
+    regexp_extract(url, '{URL}', 2) AS path,
+    array_to_string(list_sort(list_filter(string_split(substr(regexp_extract(url, '{URL}', 3), 2), '&'), lambda x: x <> '')), '&') AS query
+  FROM captures),
+named AS (
+  SELECT * EXCLUDE (host, path, query), CASE WHEN host <> '' THEN
+    host || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN query = '' THEN '' ELSE '?' || query END END AS canonical_url
+  FROM parts),
+full_ AS (SELECT canonical_url, ts, arg_max(struct_pack(record_id := record_id, etag := etag, last_modified := last_modified, digest := digest, fields := fields), record_id) AS hit
+  FROM named WHERE NOT is_revisit GROUP BY ALL),
+found AS (SELECT r.*, f.hit FROM (SELECT * FROM named WHERE is_revisit) r
+  ASOF LEFT JOIN full_ f ON r.canonical_url = f.canonical_url AND r.ts > f.ts),
+judged AS (
+  SELECT *, CASE WHEN hit IS NULL THEN 'no_response'
+    WHEN CASE WHEN etag IS NOT NULL AND hit.etag IS NOT NULL THEN etag = hit.etag
+              WHEN last_modified IS NOT NULL AND hit.last_modified IS NOT NULL THEN last_modified = hit.last_modified
+              WHEN digest IS NOT NULL AND hit.digest IS NOT NULL THEN digest = hit.digest ELSE false END THEN 'resolved'
+    ELSE 'mismatch' END AS status
+  FROM found),
+changing AS (SELECT *, list_filter(fields, lambda f: f[1] NOT IN ({_FIXED})) AS fresh FROM judged)
+SELECT record_id, canonical_url, status, hit.record_id AS response_id, hit.digest AS response_digest,
+  CASE WHEN status = 'resolved' THEN array_to_string(list_transform(list_sort(list_concat(
+    list_filter(hit.fields, lambda f: NOT list_contains(list_transform(fresh, lambda g: g[1]), f[1])), fresh)), lambda f: f[1] || ': ' || f[2]), '; ') END AS headers
+FROM changing
+"""
+
+
 @_query
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(read(spark, sf_dir, "documents"))
