@@ -11,6 +11,7 @@ from lorefield.llm.packing import pack_documents
 from lorefield.llm.pii import find_pii
 from lorefield.llm.revisits import FIXED_HEADERS, URL, resolve_revisits
 from lorefield.llm.simhash import simhash_components
+from lorefield.llm.substrings import remove_repeats
 from lorefield.llm.toxicity import score_toxicity
 
 QUERIES = {}
@@ -55,6 +56,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@_query
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents")).drop("spans")
+
+
 @_query
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
