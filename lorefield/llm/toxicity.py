@@ -59,9 +59,14 @@ class ToxicityModel:
                 for t in texts]
 
 
-def fit_nnpu(positive: list, unlabelled: list, prior: float, epochs: int = 250, rate: float = 0.03,
-             ridge: float = 1e-4, rare: int = 5) -> ToxicityModel:
-    """Fit from lists of feature arrays; features of fewer than ``rare`` rows are left out."""
+def fit_nnpu(positive: list, unlabelled: list, prior: float, epochs: int = 250, rate: float = 0.05,
+             ridge: float = 1e-4, apart: float = 4.0) -> ToxicityModel:
+    """Fit from lists of feature arrays.
+
+    Only features take part whose share among positives and unlabelled rows
+    differs by ``apart`` standard errors: chance features are what the risk
+    overfits to.
+    """
     weights = np.zeros(1 << BITS)
     if not positive or not unlabelled:
         return ToxicityModel(weights.astype(np.float32), float(np.log(max(prior, 1e-6) / (1 - min(prior, 1 - 1e-6)))) if prior > 0 else -30.0)
@@ -69,13 +74,17 @@ def fit_nnpu(positive: list, unlabelled: list, prior: float, epochs: int = 250,
     rows = positive + unlabelled
     flat = np.concatenate(rows)
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    often = np.bincount(flat, minlength=1 << BITS) >= min(rare, max(1, len(rows) // 20))
-    flat, owner = flat[often[flat]], owner[often[flat]]
-    used, flat = np.unique(flat, return_inverse=True)
     n_pos, n_unl = len(positive), len(unlabelled)
+    split = sum(map(len, positive))
+    p, u = (np.bincount(x, minlength=1 << BITS) / n for x, n in ((flat[:split], n_pos), (flat[split:], n_unl)))
+    both = (p * n_pos + u * n_unl + 1) / len(rows)
+    telling = np.abs(p - u) >= apart * np.sqrt(both * (1 / n_pos + 1 / n_unl))
+    flat, owner = flat[telling[flat]], owner[telling[flat]]
+    used, flat = np.unique(flat, return_inverse=True)
     w, bias = np.zeros(len(used)), np.log(prior / (1 - prior))
     m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     pos = np.arange(len(rows)) < n_pos
+    mean_w, mean_bias, last = np.zeros(len(used)), 0.0, epochs // 3  # the steps turn around at the bound: the last ones are averaged
     for step in range(1, epochs + 1):
         z = np.clip(bias + np.bincount(owner, w[flat], len(rows)), -30, 30)
         p = 1 / (1 + np.exp(-z))
@@ -87,8 +96,10 @@ def fit_nnpu(positive: list, unlabelled: list, prior: float, epochs: int = 250,
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         move = rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
         w, bias = w - move[:-1], bias - move[-1]
-    weights[used] = w
-    return ToxicityModel(weights.astype(np.float32), float(bias))
+        if step > epochs - last:
+            mean_w, mean_bias = mean_w + w / last, mean_bias + bias / last
+    weights[used] = mean_w
+    return ToxicityModel(weights.astype(np.float32), float(mean_bias))
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES,
