@@ -229,8 +229,8 @@ def drop_near_duplicates(docs: DataFrame, words: int = WORDS, similar: float = S
 
     A link is a Jaccard similarity of at least ``similar`` of the sets of
     ``words``-word shingles; groups are connected. The row with the least
-    ``doc_id`` stays (null ids last, one of repeated rows). Null and empty texts
-    are equal. Texts are told apart by a 64-bit hash. Pairs meet in at least one
+    ``doc_id`` stays (null ids last, one of repeated rows). Texts without
+    a word (null, empty, blank) are equal. Texts are told apart by a 64-bit hash. Pairs meet in at least one
     of twelve posting lists with a probability of 0.998 at similarity 0.8 and
     nearer 1 above; in a list every member is compared with the least one and
     with its neighbours in one more order, so a link between other members of a

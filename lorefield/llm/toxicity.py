@@ -68,9 +68,9 @@ def fit_nnpu(positive: list, unlabelled: list, prior: float, epochs: int = 250,
     overfits to.
     """
     weights = np.zeros(1 << BITS)
-    if not positive or not unlabelled:
-        return ToxicityModel(weights.astype(np.float32), float(np.log(max(prior, 1e-6) / (1 - min(prior, 1 - 1e-6)))) if prior > 0 else -30.0)
     prior = min(max(prior, 1e-4), 1 - 1e-4)
+    if not positive or not unlabelled:
+        return ToxicityModel(weights.astype(np.float32), float(np.log(prior / (1 - prior))))
     rows = positive + unlabelled
     flat = np.concatenate(rows)
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
@@ -109,11 +109,12 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, positives: int = POSITIVE
     Labels are read of the rows outside the held-out fold only. At most
     ``positives`` toxic ids (least hashes) and about ``unlabelled`` random rows
     take part: a documented bound of the fit. The class prior is the toxic share
-    of all labelled rows outside the held-out fold. Without positives every text
-    scores 0.
+    of all labelled rows outside the held-out fold, drawn towards a tenth by ten
+    rows. Without positives every text scores the prior.
     """
     rows = labels.where((fold_of("doc_id", FOLDS) != HELD_OUT) & F.col("toxic").isNotNull()).select("doc_id", "toxic")
-    prior = rows.agg(F.avg(F.col("toxic").cast("double"))).first()[0] or 0.0
+    toxic_rows, all_rows = rows.agg(F.coalesce(F.sum(F.col("toxic").cast("int")), F.lit(0)), F.count("*")).first()
+    prior = (toxic_rows + 1) / (all_rows + 10)  # as if ten more rows, one of them toxic, had been seen
     toxic = (rows.where("toxic = 1").select(F.col("doc_id").alias("toxic_id")).distinct()
              .orderBy(F.xxhash64("toxic_id"), "toxic_id").limit(positives))
     n = docs.count()
