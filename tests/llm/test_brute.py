@@ -339,7 +339,7 @@ def test_written_out_data_is_found(table):
     examples = [e for t in table.values() for e in pii._examples(t)]
     texts = [f"word{i} mail to user{i}@mail{i % 7}.example.com for more words" for i in range(80)]
     texts += [f"call +1 ({200 + i}) 555-{1000 + i} or not, from {i}.{i}.7.{i} it came" for i in range(80)]
-    model = pii.fit_spans((examples + [e for t in texts for e in pii._examples(t)])[:900])
+    model = pii.fit_spans(examples + [e for t in texts for e in pii._examples(t)])
     text = "write john.doe (at) mail dot example dot com or call 0044 20 7946 0958 from 10[.]0[.]0[.]7 today"
     found = {(k, text[a:b]) for k, a, b in model.spans(text, pii.base_spans(text))}
     assert ("email", "john.doe (at) mail dot example dot com") in found and ("ip", "10[.]0[.]0[.]7") in found
