@@ -15,7 +15,8 @@ UNREADABLE = "无法解析评测结果: "
 
 # The patterns of a judge's response and of a QA pair.
 FENCED_JSON = r"(?is)```(?:json)?\s*(\{.*?\})\s*```"
-BRACED_JSON = r"\{[^{}]*(?:\{[^{}]*\}[^{}]*)*\}"
+# (Possessive repeats: the Java engine recurses for a repeated group that may be given back.)
+BRACED_JSON = r"\{[^{}]*(?:\{[^{}]*\}[^{}]*)*+\}"
 BARE_SCORE = r'"?score"?\s*:\s*([0-9.]+)'
 BARE_REASON = r'"?reason"?\s*:\s*"([^"]*)"'
 QA_PAIR = r"(?s)-?\s*question: (.*?)\s*-?\s*answer: (.+)"

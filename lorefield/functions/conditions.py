@@ -15,8 +15,8 @@ NUMBER_OPERATORS = ("=", "≠", ">", "<", "≥", "≤")
 DATE_OPERATORS = ("before", "after")
 
 # What Python's float() accepts, lower-cased and stripped.
-_FLOAT = (r"^[+-]?(?:(?:\d+(?:_\d+)*\.?(?:\d+(?:_\d+)*)?|\.\d+(?:_\d+)*)"
-          r"(?:e[+-]?\d+(?:_\d+)*)?|inf|infinity|nan)$")
+_FLOAT = (r"^[+-]?(?:(?:\d++(?:_\d++)*+\.?(?:\d++(?:_\d++)*+)?|\.\d++(?:_\d++)*+)"
+          r"(?:e[+-]?\d++(?:_\d++)*+)?|inf|infinity|nan)$")
 
 
 def _number(text: Column) -> Column:

@@ -128,7 +128,7 @@ def split_one(text: str, separators: Sequence[str], size: int, overlap: int) ->
     yield from _pack(run, size, overlap)
 
 
-def merge_small(chunks: list[str], minimum: int, passes: int = 100) -> list[str]:
+def merge_small(chunks: list[str], minimum: int) -> list[str]:
     """Join chunks shorter than ``minimum`` with their right neighbour, pass by pass.
 
     A pass treats a joined pair as done, so results differ from one greedy scan.
@@ -136,7 +136,7 @@ def merge_small(chunks: list[str], minimum: int, passes: int = 100) -> list[str]
     """
     if minimum <= 0:
         return chunks
-    for _ in range(passes):
+    while True:
         out: list[str] = []
         joined = False
         queue = iter(chunks)
@@ -152,8 +152,7 @@ def merge_small(chunks: list[str], minimum: int, passes: int = 100) -> list[str]
         shrunk = len(out) < len(chunks)
         chunks = out
         if not joined or not shrunk:
-            break
-    return chunks
+            return chunks
 
 
 def split_text(col: Column | str, strategy: str = "large_context", size: int = 5000,

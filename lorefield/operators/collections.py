@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from lorefield.functions.records import SYSTEM_FIELDS, VECTOR_FIELDS, coerce_metadata, fallback_document
 from lorefield.functions.strings import plain_text
 from lorefield.functions.templates import clean_values
+from lorefield.session import scratch_path
 
 # Columns an export leaves out.
 EXPORT_SKIPS = ("id", "upload_time", *VECTOR_FIELDS)
@@ -23,22 +24,48 @@ def to_collection(df: DataFrame) -> DataFrame:
     """Canonical form of a flat table.
 
     ``embedding`` may be called ``dense_vector``; a missing ``id`` is derived from
-    the whole row, so a repeated run gives the same ids; a missing ``document`` is
-    built from the text columns.
+    the whole row (see ``with_ids``); a missing ``document`` is built from the
+    text columns.
     """
     vector = next((c for c in VECTOR_FIELDS if c in df.columns), None)
     if vector is None:
         raise ValueError("the data has neither an 'embedding' nor a 'dense_vector' column")
-    if "id" in df.columns:
-        row_id = F.col("id").cast("string")
-    else:
-        row_id = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])), 256)
+    df = with_ids(df)
+    row_id = F.col("id").cast("string")
     document = F.col("document") if "document" in df.columns else fallback_document(df)
     return df.select(row_id.alias("id"), document.alias("document"),
                      F.col(vector).cast("array<float>").alias("embedding"),
                      coerce_metadata(df).alias("metadata"))
 
 
+def with_ids(df: DataFrame, salt: str = "") -> DataFrame:
+    """``df`` with an ``id``; a missing one is a digest of the row and of ``salt``.
+
+    A repeated run over the same rows gives the same ids. Equal rows keep their
+    own: the second is ``<digest>-1`` and so on. Only a table with equal rows is
+    stored for that: its rows are numbered within the task that read them and
+    then by one row per digest and task, so a row that is repeated very often is
+    not gathered anywhere.
+    """
+    if "id" in df.columns:
+        return df
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    digest = F.sha2(F.concat(F.lit(salt), F.to_json(F.struct(*columns))), 256)
+    if df.groupBy(digest.alias("_digest")).count().where("count > 1").isEmpty():
+        return df.select(digest.alias("id"), *columns)
+    path = scratch_path(df.sparkSession, "equal-rows")
+    df.select(*columns, digest.alias("_digest"), F.spark_partition_id().alias("_task"),
+              F.monotonically_increasing_id().alias("_turn")).write.parquet(path)
+    rows = df.sparkSession.read.parquet(path)
+    counts = rows.groupBy("_digest", "_task").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy("_digest").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_digest", "_task", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_digest", "_task").orderBy("_turn")) - 1
+    number = F.col("_start") + F.col("_place")
+    return rows.withColumn("_place", place).join(starts, ["_digest", "_task"]).select(
+        F.when(number == 0, F.col("_digest")).otherwise(F.concat_ws("-", "_digest", number.cast("string"))).alias("id"), *columns)
+
+
 def flatten(collection: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Metadata entries as columns; system columns are never overwritten."""
     extra = [F.col("metadata")[f].alias(f) for f in fields if f not in SYSTEM_FIELDS]
@@ -53,8 +80,8 @@ def metadata_fields(collection: DataFrame) -> DataFrame:
     return collection.select(F.explode(F.map_keys("metadata")).alias("field")).distinct()
 
 
-def scan(collection: DataFrame, limit: int | None = 1000, ordered: bool = True) -> DataFrame:
-    """Rows up to a limit, by id when ``ordered``."""
+def scan(collection: DataFrame, limit: int | None = None, ordered: bool = True) -> DataFrame:
+    """All rows, or the first ``limit``; by id when ``ordered``."""
     rows = collection.orderBy("id") if ordered else collection
     return rows if limit is None else rows.limit(limit)
 
@@ -163,7 +190,8 @@ def _cuts(df: DataFrame, key: str, parts: int) -> list:
     if rows <= 10_000 or parts < 2:
         return []
     keys = df.select(key)
-    sample = (keys.sample(min(1.0, wanted / rows), seed=7) if rows > wanted else keys).limit(4 * wanted)
+    # The fraction bounds the sample; a limit would take it from the first partitions only.
+    sample = keys.sample(min(1.0, wanted / rows), seed=7) if rows > wanted else keys
     values = sorted(r[0] for r in sample.collect() if r[0] is not None)
     step = max(1, len(values) // parts)
     return sorted(set(values[step::step]))[:parts - 1]

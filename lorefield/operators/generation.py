@@ -21,6 +21,9 @@ from lorefield.functions.templates import render_prompt
 
 Model = Callable[[list[str]], Sequence]
 
+#: Prompts of one model call.
+BATCH = 16
+
 # Notes stored for rows whose call failed.
 TEST_FAILED = "处理失败: "
 JUDGE_FAILED = "评测过程出错: "
@@ -76,26 +79,42 @@ def _attempt(fn: Model, text: str, retries: int, delay: float, backoff: float):
             time.sleep(delay * backoff ** attempt)
 
 
+def _attempt_list(fn: Model, prompts: list[str], retries: int, delay: float, backoff: float) -> list[tuple]:
+    """The same for a list of prompts, in one call if it succeeds."""
+    if len(prompts) > 1:
+        try:
+            answers = list(fn(prompts))
+            if len(answers) == len(prompts):
+                return [(a, None, 1) for a in answers]
+        except Exception:  # some prompt of the list cannot be answered: each is asked alone
+            pass
+    return [_attempt(fn, p, retries, delay, backoff) for p in prompts]
+
+
 def call_model(df: DataFrame, prompt: str, fn: Model, out: str = "response", rounds: int = 1, retries: int = 0,
-               delay: float = 0.0, backoff: float = 2.0, workers: int = 1) -> DataFrame:
+               delay: float = 0.0, backoff: float = 2.0, workers: int = 1, batch: int = BATCH) -> DataFrame:
     """Add the model's responses to each row, never dropping one.
 
     ``out`` is ``array<struct<response, error, calls>>`` with one entry per round:
-    rounds stay in the row, so choosing among them needs no shuffle. Rows run in
-    parallel by partition, and ``workers`` of a partition at a time, which pays
-    when the model is a remote endpoint.
+    rounds stay in the row, so choosing among them needs no shuffle. The model
+    gets lists of ``batch`` prompts; the prompts of a list that fails are asked
+    one by one, with their own retries. Rows run in parallel by partition, and
+    ``workers`` lists of a partition at a time, which pays when the model is a
+    remote endpoint.
     """
     entry = "array<struct<response:string,error:string,calls:int>>"
 
     @F.pandas_udf(entry)
     def respond(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        def one(text: str | None) -> list[dict]:
-            tries = [_attempt(fn, text or "", retries, delay, backoff) for _ in range(rounds)]
-            return [dict(zip(("response", "error", "calls"), t)) for t in tries]
+        def ask(prompts: list[str]) -> list[list[dict]]:
+            answers = [_attempt_list(fn, prompts, retries, delay, backoff) for _ in range(rounds)]
+            return [[dict(zip(("response", "error", "calls"), t)) for t in row] for row in zip(*answers)]
 
         with ThreadPoolExecutor(workers) as pool:
             for texts in parts:
-                yield pd.Series(list(pool.map(one, texts)), dtype=object)
+                prompts = ["" if t is None else t for t in texts]
+                lists = [prompts[at:at + batch] for at in range(0, len(prompts), batch)]
+                yield pd.Series([row for rows in pool.map(ask, lists) for row in rows], dtype=object)
 
     # The call is asked for once even where its result is read several times.
     return df.withColumn(out, respond.asNondeterministic()(F.col(prompt)))

@@ -25,12 +25,14 @@ def current_state(log: DataFrame) -> DataFrame:
     at = F.col("processed_at")
     flag = lambda s: F.coalesce(F.bool_or(F.col("step") == s), F.lit(False)).alias(f"step{s}_completed")
     given = lambda c, held: F.max_by(F.when(held, F.col(c)), F.when(held, at)).alias(c)
+    # One struct, so that all parts come from one event when several have the same time.
+    latest = F.max(F.struct(at, "step", "status", "checksum"))
     return log.groupBy("file").agg(
-        F.max_by("checksum", at).alias("checksum"), F.max(at).alias("processed_at"),
-        F.max_by("status", at).alias("status"),
+        latest.alias("_latest"),
         given("error", F.col("error").isNotNull() & (F.col("error") != "")),
         *[flag(s) for s in STEPS],
-        given("output_files", F.size("output_files") > 0))
+        given("output_files", F.size("output_files") > 0)).select(
+        "file", "_latest.checksum", "_latest.processed_at", "_latest.status", "error", *[f"step{s}_completed" for s in STEPS], "output_files")
 
 
 def classify_files(corpus: DataFrame, state: DataFrame) -> DataFrame:

@@ -26,5 +26,7 @@ def corpus_to_qa(corpus: DataFrame, fn: Model, done: DataFrame | None = None, ro
     chunks = chunk_documents(corpus, **chunking)
     if done is not None:
         chunks = pending_rows(chunks, done)
+    # Chunks of one document are spread: a long document's model calls do not run one after another.
+    chunks = chunks.repartition("file_name", "chunk_no")
     asked = generate(chunks.withColumn("_prompt", qa_prompt(template)), "_prompt", fn, rounds, retries, delay)
     return asked.drop("_prompt").withColumn("valid", valid_qa("question", "answer"))

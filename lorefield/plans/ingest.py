@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lorefield.functions.templates import check_template, render_template
-from lorefield.operators.collections import to_collection
+from lorefield.operators.collections import to_collection, with_ids
 from lorefield.operators.generation import Model, embed
 from lorefield.sources.collections import append_collection
 
 
 def ingest_rows(df: DataFrame, embedding_template: str, document_template: str, encoder: Model,
-                source_file: str, **options) -> DataFrame:
+                source_file: str, id_salt: str = "", **options) -> DataFrame:
     """Collection rows of a table: rendered texts, vectors, metadata, source and time.
 
     Templates are checked against the columns before any job runs.
     """
     for template in (embedding_template, document_template):
         check_template(template, df.columns)
+    # Ids come from the uploaded columns alone, so they are the same in every run.
+    df = with_ids(df, id_salt)
     texts = df.withColumn("_embed", render_template(df, embedding_template)).withColumn(
         "document", render_template(df, document_template))
     rows = (texts.withColumn("embedding", embed("_embed", encoder, **options)).drop("_embed")

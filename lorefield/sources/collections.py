@@ -43,7 +43,7 @@ def open_collection(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
-def scan_collection(spark: SparkSession, name: str, limit: int | None = 1000, ordered: bool = True) -> DataFrame:
+def scan_collection(spark: SparkSession, name: str, limit: int | None = None, ordered: bool = True) -> DataFrame:
     return scan(open_collection(spark, name), limit, ordered)
 
 

@@ -21,11 +21,16 @@ def detect_encoding(spark: SparkSession, path: str) -> str:
     if raw.where(~F.is_valid_utf8("value")).isEmpty():
         return "utf-8"
     # Charsets beyond Spark's own list need this switch.
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    for name in FALLBACK_ENCODINGS:
-        lines = spark.read.csv(path, encoding=name, sep="\0", quote="", schema="value string")
-        if lines.where(F.col("value").contains("�")).isEmpty():
-            return name
+    setting = "spark.sql.legacy.javaCharsets"
+    before = spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        for name in FALLBACK_ENCODINGS:
+            lines = spark.read.csv(path, encoding=name, sep="\0", quote="", schema="value string")
+            if lines.where(F.col("value").contains("�")).isEmpty():
+                return name
+    finally:
+        spark.conf.set(setting, before)
     raise ValueError(f"cannot decode {path}; tried utf-8, {', '.join(FALLBACK_ENCODINGS)}")
 
 

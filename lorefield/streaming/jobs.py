@@ -12,19 +12,19 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lorefield.operators.chunking import chunk_documents
-from lorefield.operators.collections import to_collection
+from lorefield.operators.collections import to_collection, with_ids
 from lorefield.operators.generation import Model
 from lorefield.plans.ingest import ingest_rows
 
 
-def write_batches(stream: DataFrame, build: Callable[[DataFrame], dict[str, DataFrame]], checkpoint: str,
+def write_batches(stream: DataFrame, build: Callable[[DataFrame, int], dict[str, DataFrame]], checkpoint: str,
                   available_now: bool = True) -> StreamingQuery:
     """Run ``build`` on each micro-batch and write each ``{folder: rows}`` it returns."""
     def write(batch: DataFrame, batch_id: int) -> None:
         # Each output is written from the source files again only if it is not kept here.
         batch.persist()
         try:
-            for folder, rows in build(batch).items():
+            for folder, rows in build(batch, batch_id).items():
                 rows.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
         finally:
             batch.unpersist()
@@ -40,7 +40,7 @@ def incremental_chunks(files: DataFrame, out: str, log: str, checkpoint: str, av
     ``files`` is a stream ``file_name, text, checksum``; chunks go to ``out`` and one
     state event per file to ``log``.
     """
-    def build(batch: DataFrame) -> dict[str, DataFrame]:
+    def build(batch: DataFrame, batch_id: int) -> dict[str, DataFrame]:
         chunks = chunk_documents(batch.select("file_name", "text"), **chunking)
         events = batch.select(
             F.col("file_name").alias("file"), "checksum", F.current_timestamp().alias("processed_at"),
@@ -57,17 +57,34 @@ def streaming_ingest(rows: DataFrame, out: str, checkpoint: str, embedding_templ
     """Append arriving rows to a collection folder.
 
     Rows with templates are rendered and embedded; without, they must carry a
-    vector. Repeated ids within a batch are stored once.
+    vector. A repeated id is stored once, whether its copies arrive in one batch
+    or in several: each batch leaves out the ids of earlier batches, of which it
+    reads the id column only. Rows without an id all stay; their derived ids hold
+    the number of the batch.
     """
-    def build(batch: DataFrame) -> dict[str, DataFrame]:
-        made = (to_collection(batch) if embedding_template is None else
+    given = "id" in rows.columns
+
+    def build(batch: DataFrame, batch_id: int) -> dict[str, DataFrame]:
+        salt = "" if given else f"{batch_id}:"
+        if given:
+            batch = batch.dropDuplicates(["id"])
+            earlier = stored_ids(batch.sparkSession, batch_id)
+            if earlier is not None:
+                batch = batch.join(earlier, batch["id"].cast("string") == earlier["_stored"], "left_anti")
+        made = (to_collection(with_ids(batch, salt)) if embedding_template is None else
                 ingest_rows(batch, embedding_template, document_template or embedding_template, encoder,
-                            source_file, **options))
-        return {out: made.dropDuplicates(["id"])}
+                            source_file, id_salt=salt, **options))
+        return {out: made}
+
+    def stored_ids(spark, batch_id: int) -> DataFrame | None:
+        if batch_id == 0:
+            return None
+        kept = spark.read.schema("id string, batch long").parquet(out)
+        return kept.where(F.col("batch") < batch_id).select(F.col("id").alias("_stored"))
 
     return write_batches(rows, build, checkpoint, available_now)
 
 
 def log_state(events: DataFrame, log: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Append a stream of file-state events to the log that ``current_state`` reads."""
-    return write_batches(events, lambda batch: {log: batch}, checkpoint, available_now)
+    return write_batches(events, lambda batch, batch_id: {log: batch}, checkpoint, available_now)

@@ -204,7 +204,7 @@ def test_retrieve_modes(spark):
     assert [r["id"] for r in search.retrieve(df, q, 1, 0.9, odd, "post").collect()] == []
     assert [r["id"] for r in search.retrieve(df, q, 1, 0.0, odd, "pre").collect()] == [1]
     with pytest.raises(ValueError):
-        search.retrieve(df, q, 101)
+        search.retrieve(df, q, 0)
 
 
 def test_updates_and_deletes(spark):

@@ -34,9 +34,21 @@ def _(spark, d):
     return out
 
 
-@query("scan_collection", """SELECT doc_id::VARCHAR AS id, text AS document, lang, source FROM documents ORDER BY doc_id::VARCHAR LIMIT 1000""")
+@query("scan_collection", """SELECT doc_id::VARCHAR AS id, text AS document, lang, source FROM documents""")
 def _(spark, d):
-    return C.scan(C.flatten(doc_collection(spark, d), ["lang", "source", "id"]), 1000)
+    return C.scan(C.flatten(doc_collection(spark, d), ["lang", "source", "id"]))
+
+
+@query("scan_collection_first", """SELECT doc_id::VARCHAR AS id, text AS document, lang, source FROM documents ORDER BY doc_id::VARCHAR LIMIT 150""")
+def _(spark, d):
+    return C.scan(C.flatten(doc_collection(spark, d), ["lang", "source", "id"]), 150)
+
+
+# Every row twice and without an id: each keeps its own.
+@query("equal_rows_keep_ids", "SELECT text AS document, (count(*) * 2)::BIGINT AS n_rows, (count(*) * 2)::BIGINT AS n_ids FROM documents GROUP BY text")
+def _(spark, d):
+    df = documents(spark, d).select(F.col("text").alias("document"), F.array(F.lit(1.0)).alias("embedding"))
+    return C.to_collection(df.unionByName(df)).groupBy("document").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("id").alias("n_ids"))
 
 
 @query("derived_ids", "SELECT doc_id::VARCHAR AS doc_id, 1::BIGINT AS n, 'text: '||text||' | lang: '||lang AS document FROM documents")
@@ -124,6 +136,11 @@ def _(spark, d):
     return C.preview(load(spark, d, "region").select("r_regionkey", "r_name"), 5)
 
 
+@query("preview_ordered", "SELECT p_partkey::VARCHAR AS p_partkey, p_name FROM part ORDER BY part.p_partkey DESC LIMIT 7")
+def _(spark, d):
+    return C.preview(load(spark, d, "part").select("p_partkey", "p_name").orderBy(F.desc("p_partkey")), 7)
+
+
 @query("preview_counts", "SELECT count(*) AS total_rows, least(count(*), 5)::BIGINT AS preview_rows, 5 AS n_columns FROM documents")
 def _(spark, d):
     return C.preview_counts(documents(spark, d))

@@ -112,6 +112,17 @@ def _(spark, d):
     return rows.select(meta["text"].alias("title"), "document", meta["source"].alias("source"), meta["source_file"].alias("source_file"))
 
 
+# Two runs over the same rows give the same ids.
+@query("ingest_ids_stable", "SELECT count(*) AS n_rows, count(*) AS n_common, count(*) AS n_ids FROM documents")
+def _(spark, d):
+    rows = documents(spark, d).select("text", "lang")
+    first, again = (ingest_rows(rows, "{text}", "{lang}: {text}", HashingEncoder(DIM), name).select("id").alias(a)
+                    for name, a in (("one.csv", "a"), ("two.csv", "b")))
+    both = first.join(again, F.col("a.id") == F.col("b.id"), "full_outer")
+    return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("a.id").isNotNull() & F.col("b.id").isNotNull()).alias("n_common"),
+                    F.count_distinct("a.id").alias("n_ids"))
+
+
 @query("retrieve_texts", HASHED.format(key="doc_id", text="text", table="documents") +
        ", " + HASHED.format(key="item_id", text="text", table="benchmark")[5:].replace("w AS", "qw AS").replace("b AS", "qb AS").replace("e AS", "qe AS").replace("FROM w ", "FROM qw ").replace("FROM b)", "FROM qb)") +
        """, s AS (SELECT item_id AS query_id, doc_id::VARCHAR AS id, sum(e.value * qe.value) AS score FROM e JOIN qe ON e.bucket = qe.bucket GROUP BY 1, 2)

@@ -58,11 +58,11 @@ def _(spark, d):
         "vec_id", cosine(a, b).alias("floored"), cosine(a, b, floor0=False).alias("signed")), "floored", "signed")
 
 
-@query("l2_normalize", """SELECT vec_id, round(list_sum(list_transform(embedding[1:16]::DOUBLE[], lambda x: x * x)), 6) AS squared,
- round(embedding[1]::DOUBLE / sqrt(list_sum(list_transform(embedding[1:16]::DOUBLE[], lambda x: x * x))), 6) + 0.0 AS first_part,
+@query("l2_normalize", """SELECT vec_id, round(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x)), 6) AS squared,
+ round(embedding[1]::DOUBLE / sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda x: x * x))), 6) + 0.0 AS first_part,
  1.0::DOUBLE AS length FROM embeddings""")
 def _(spark, d):
-    part = F.slice("embedding", 1, 16)
+    part = F.col("embedding")
     unit = load(spark, d, "embeddings").select("vec_id", (norm(part) * norm(part)).alias("squared"), l2_normalize(part).alias("u"))
     return rounded(unit.select("vec_id", "squared", F.col("u")[0].alias("first_part"), norm("u").alias("length")),
                    "squared", "first_part", "length")

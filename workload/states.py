@@ -8,8 +8,12 @@ from lorefield.operators import reports as R
 from lorefield.operators import states as S
 from lorefield.operators.chunking import chunk_documents
 from lorefield.session import scratch_path
+from lorefield.plans.refresh import refresh_chunks
 from lorefield.streaming.jobs import incremental_chunks, log_state, streaming_ingest
-from workload.base import documents, load, markdown, query, texts
+from workload.base import MD_SQL, documents, load, markdown, query, texts
+
+# Long runs of these marks are shortened before chunking.
+CLEAN_SQL = r"regexp_replace(regexp_replace(regexp_replace(md, '\*{3,}', '**', 'g'), '-{4,}', '---', 'g'), '={4,}', '===', 'g')"
 
 # The corpus is the documents, its state comes from the labels: quality 1 has
 # finished two steps with the content of today, quality 0 failed or is older.
@@ -207,11 +211,47 @@ def _(spark, d):
     return both.agg(F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("differences")).withColumn("n_files", n.scalar())
 
 
+# Two runs: in the second one every third document has changed, every fifth can no longer be read and every seventh
+# is gone. Only these are worked on again, and the chunks are those of the corpus as it can be read.
+MD_TRIM = r"regexp_replace({md}, '\s+', '', 'g')"
+
+
+@query("incremental_modified", f"""WITH d AS (SELECT doc_id, {MD_SQL} AS md FROM documents WHERE doc_id % 7 <> 0),
+ now AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 AND doc_id % 5 <> 0 THEN md||'changed' ELSE md END AS md FROM d)
+ SELECT 'doc'||doc_id||'.md' AS file_name, length({MD_TRIM.format(md=CLEAN_SQL)})::BIGINT AS n_chars,
+ CASE WHEN doc_id % 5 = 0 THEN 'failed' ELSE 'complete' END AS status, (doc_id % 3 = 0 OR doc_id % 5 = 0) AS again,
+ CASE WHEN doc_id % 5 = 0 THEN 1 ELSE 0 END::BIGINT AS n_errors FROM now""")
+def _(spark, d):
+    base = scratch_path(spark, "refreshed")
+    args = dict(strategy="recursive", size=350, overlap=0, minimum=100)
+    first = markdown(texts(spark, d)).select("doc_id", "file_name", F.col("md").alias("text"))
+    changed = F.when(F.col("doc_id") % 5 == 0, F.lit(None)).when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit("changed"))).otherwise(F.col("text"))
+    second = first.where("doc_id % 7 <> 0").withColumn("text", changed)
+    chunks = None
+    for run, files in enumerate((first, second)):
+        now = files.select("file_name", "text", F.coalesce(F.md5("text"), F.lit("?")).alias("checksum"))
+        log = spark.read.parquet(f"{base}/log-0") if run else spark.createDataFrame([], S.LOG_SCHEMA)
+        done = refresh_chunks(now, chunks, S.current_state(log), **args)
+        done.chunks.write.parquet(f"{base}/chunks-{run}")
+        done.events.write.parquet(f"{base}/log-{run}")
+        done.errors.write.parquet(f"{base}/errors-{run}")
+        chunks = spark.read.parquet(f"{base}/chunks-{run}")
+    log = spark.read.parquet(f"{base}/log-0", f"{base}/log-1")
+    sizes = chunks.groupBy("file_name").agg(F.sum(F.length(F.regexp_replace("text", r"\s+", ""))).alias("n_chars"))
+    again = log.groupBy(F.col("file").alias("file_name")).agg((F.count(F.lit(1)) > 1).alias("again"))
+    errors = spark.read.parquet(f"{base}/errors-1").groupBy(F.col("file").alias("file_name")).agg(F.count(F.lit(1)).alias("n_errors"))
+    state = S.current_state(log).select(F.col("file").alias("file_name"), "status")
+    return (sizes.join(state, "file_name").join(again, "file_name").join(errors, "file_name", "left")
+            .select("file_name", "n_chars", "status", "again", F.coalesce("n_errors", F.lit(0)).cast("bigint").alias("n_errors")))
+
+
 @query("streaming_ingest", "SELECT vec_id::VARCHAR AS id, 'v'||vec_id AS document, label::VARCHAR AS label FROM embeddings")
 def _(spark, d):
     source, base = scratch_path(spark, "vectors"), scratch_path(spark, "ingested")
     rows = load(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.concat(F.lit("v"), "vec_id").alias("document"), "embedding", "label")
-    rows.unionByName(rows).repartition(6, "id").write.parquet(source)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(source)
+    # The copies lie in other files than the rows, so they arrive in other batches.
+    rows.write.parquet(source)
+    rows.withColumn("document", F.concat(F.lit("v"), "id")).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(source)
     streaming_ingest(stream, f"{base}/collection", f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/collection").select("id", "document", F.col("metadata")["label"].alias("label"))

@@ -10,7 +10,7 @@ from lorefield.functions.links import image_urls, mask_links, restore_links
 from lorefield.functions.records import (clamp_score, coerce_metadata, fallback_document, record_content, record_title,
                                          resolve_score, strip_system_fields)
 from lorefield.functions.templates import clean_values, render_prompt, render_template
-from lorefield.session import scratch_path
+from lorefield.session import scratch_path, spread
 from lorefield.sources import corpus, html, tables
 from workload.base import MD_SQL, documents, load, markdown, query, texts
 
@@ -237,7 +237,7 @@ def _(spark, d):
 
 @query("html_to_markdown")
 def _(spark, d):
-    return html.convert_pages(load(spark, d, "pages").repartition(8, "page_id"))
+    return html.convert_pages(spread(load(spark, d, "pages")))
 
 
 @query("html_headings", """SELECT page_id, regexp_replace(replace(trim(regexp_replace(regexp_extract(html, '<h1>(.*?)</h1>', 1), '\\s+', ' ', 'g')), '&quot;', '"'), '&amp;?', '&', 'g') AS heading,
