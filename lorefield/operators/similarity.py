@@ -165,6 +165,52 @@ class Moments:
             yield pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows)], names=names)
 
 
+class Within(Cells):
+    """One output row per pair whose value lies in an inclusive range; the others never leave the tile."""
+
+    def __init__(self, floor0: bool, low: float, high: float):
+        super().__init__(floor0)
+        self.low, self.high = low, high
+
+    def start(self):
+        return self
+
+    def add(self, x: Block, y: Block) -> Iterator[pa.RecordBatch]:
+        for a, b in _tiles(x, y):
+            sim = np.round(_scores(y.rows[a:b], x.rows, self.floor0), DECIMALS) + 0.0
+            rows, cols = np.nonzero((sim >= self.low) & (sim <= self.high))
+            yield pa.RecordBatch.from_arrays(
+                [_constant(x.collection, len(rows)), _constant(y.collection, len(rows)),
+                 y.ids.take(pa.array(rows + a)), x.ids.take(pa.array(cols)), pa.array(sim[rows, cols])],
+                names=["x_collection", "y_collection", "y_id", "x_id", "sim"])
+
+
+class Counted:
+    """Per y of a block pair: cells, cells in an inclusive range, and whether the cell with itself is one."""
+
+    fields = "y_id {y}, cells bigint, kept bigint, diagonal bigint"
+
+    def __init__(self, floor0: bool, low: float, high: float):
+        self.floor0, self.low, self.high = floor0, low, high
+
+    def start(self):
+        return self
+
+    def add(self, x: Block, y: Block) -> Iterator[pa.RecordBatch]:
+        for a, b in _tiles(x, y):
+            sim = np.round(_scores(y.rows[a:b], x.rows, self.floor0), DECIMALS)
+            held = (sim >= self.low) & (sim <= self.high)
+            ids = y.ids.slice(a, b - a)
+            own = pc.fill_null(pc.index_in(ids, value_set=x.ids), -1).to_numpy(zero_copy_only=False)
+            diagonal = (own >= 0) & held[np.arange(len(own)), np.maximum(own, 0)]
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(np.full(len(ids), held.shape[1], np.int64)), pa.array(held.sum(1, dtype=np.int64)),
+                 pa.array(diagonal.astype(np.int64))], names=["y_id", "cells", "kept", "diagonal"])
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        return iter(())
+
+
 @dataclass
 class Best:
     """The k best partners of each y (``axis='x'``) or of each x (``axis='y'``).
@@ -280,7 +326,7 @@ def _id_type(side: DataFrame) -> str:
     return side.schema["id"].dataType.simpleString()
 
 
-def pair_up(x: DataFrame, y: DataFrame, fold: Cells | Moments | Best, strict: bool,
+def pair_up(x: DataFrame, y: DataFrame, fold: Cells | Counted | Moments | Best, strict: bool,
             broadcast_bytes: int = BROADCAST_BYTES, stripe_bytes: int = STRIPE_BYTES) -> DataFrame:
     """Run ``fold`` over every pair of blocks of two sides from :func:`vectors`."""
     schema = fold.fields.format(x=_id_type(x), y=_id_type(y))
@@ -367,6 +413,32 @@ def similarity_matrix(x: DataFrame, y: DataFrame, id_col: str = "id", vec_col: s
     return pair_up(xs, ys, Cells(floor0), True, **limits).select("y_id", "x_id", "sim")
 
 
+def similarity_within(x: DataFrame, y: DataFrame, low: float = 0.0, high: float = 1.0, id_col: str = "id",
+                      vec_col: str = "embedding", floor0: bool = True, **limits: int) -> DataFrame:
+    """The cells ``y_id, x_id, sim`` of a matrix whose value is in an inclusive range."""
+    xs = vectors(x, id_col, vec_col)
+    ys = xs if y is x else vectors(y, id_col, vec_col)
+    return pair_up(xs, ys, Within(floor0, low, high), True, **limits).select("y_id", "x_id", "sim")
+
+
+def items_within(x: DataFrame, y: DataFrame, low: float = 0.0, high: float = 1.0, id_col: str = "id",
+                 vec_col: str = "embedding", floor0: bool = True, **limits: int) -> DataFrame:
+    """Per y: ``y_id, cells, kept, diagonal`` of the range mask, without forming the matrix."""
+    xs = vectors(x, id_col, vec_col)
+    ys = xs if y is x else vectors(y, id_col, vec_col)
+    parts = pair_up(xs, ys, Counted(floor0, low, high), True, **limits)
+    return parts.groupBy("y_id").agg(*[F.sum(c).alias(c) for c in ("cells", "kept", "diagonal")])
+
+
+def collection_similarity(x: DataFrame, y: DataFrame, id_col: str = "id", vec_col: str = "embedding", floor0: bool = True,
+                          **limits: int) -> DataFrame:
+    """Statistics of one matrix, without forming it."""
+    one = lambda d: d.select(F.lit("").alias("_all"), F.col(id_col).alias("id"), F.col(vec_col).alias("embedding"))
+    xs = one(x)
+    ys = xs if y is x else one(y)
+    return sweep_stats(xs, ys, "_all", floor0=floor0, **limits).drop("x_collection", "y_collection")
+
+
 def matrix_sweep(x: DataFrame, y: DataFrame, collection: str = "collection", id_col: str = "id",
                  vec_col: str = "embedding", floor0: bool = True, **limits: int) -> DataFrame:
     """Matrices of every collection of ``x`` with every collection of ``y``.

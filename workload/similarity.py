@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lorefield.functions.vectors import cosine, l2_normalize, norm
-from lorefield.operators import evaluation, masks, search, similarity
+from lorefield.operators import evaluation, kept, masks, search, similarity
 from lorefield.operators.collections import order_id
 from lorefield.session import scratch_path
 from lorefield.sources import matrices
@@ -31,14 +31,22 @@ def rounded(df, *names):
     return df.select(*[(F.round(c, 6) + F.lit(0.0)).alias(c) if c in names else F.col(c) for c in df.columns])
 
 
-def matrix_a(spark, d):
+def side_a(spark, d):
     e = embeddings(spark, d)
-    return similarity.similarity_matrix(e, e)
+    return e, e
 
 
-def matrix_b(spark, d):
+def side_b(spark, d):
     e = embeddings(spark, d).withColumn("embedding", F.slice("embedding", 1, 32))
-    return similarity.similarity_matrix(e, e)
+    return e, e
+
+
+def matrix_a(spark, d):
+    return similarity.similarity_matrix(*side_a(spark, d))
+
+
+def matrix_b(spark, d):
+    return similarity.similarity_matrix(*side_b(spark, d))
 
 
 STAT_COLUMNS = ("avg_similarity", "min_similarity", "max_similarity", "std_similarity")
@@ -70,7 +78,7 @@ def _(spark, d):
 
 @query("similarity_stats", PAIRS + f"SELECT {STATS_SQL} FROM p")
 def _(spark, d):
-    return rounded(similarity.similarity_stats(matrix_a(spark, d)), *STAT_COLUMNS)
+    return rounded(similarity.collection_similarity(*side_a(spark, d)), *STAT_COLUMNS)
 
 
 @query("matrix_sweep", PAIRS + """SELECT 'label'||x_label AS x_collection, 'label'||y_label AS y_collection, y_id, x_id,
@@ -89,23 +97,23 @@ def _(spark, d):
     return rounded(similarity.sweep_stats(e, e), *STAT_COLUMNS)
 
 
-@query("threshold_mask", PAIRS + "SELECT y_id, x_id, round(a, 6) + 0.0 AS sim, a BETWEEN 0.2 AND 0.9 AS keep FROM p")
+@query("threshold_mask", PAIRS + "SELECT y_id, x_id, round(a, 6) + 0.0 AS sim FROM p WHERE a BETWEEN 0.2 AND 0.9")
 def _(spark, d):
-    return rounded(masks.threshold_mask(matrix_a(spark, d), 0.2, 0.9), "sim")
+    return rounded(kept.kept_cells(*side_a(spark, d), 0.2, 0.9), "sim")
 
 
 TOPK = """, rx AS (SELECT *, row_number() OVER (PARTITION BY y_id ORDER BY {0} DESC, x_id) AS rnk_x,
  row_number() OVER (PARTITION BY x_id ORDER BY {0} DESC, y_id) AS rnk_y FROM p)"""
 
 
-@query("topk_mask_x", PAIRS + TOPK.format("a") + "SELECT y_id, x_id, round(a, 6) + 0.0 AS sim, rnk_x <= 5 AS keep FROM rx")
+@query("topk_mask_x", PAIRS + TOPK.format("a") + "SELECT y_id, x_id, round(a, 6) + 0.0 AS sim FROM rx WHERE rnk_x <= 5")
 def _(spark, d):
-    return rounded(masks.topk_mask(matrix_a(spark, d), 5, "x"), "sim")
+    return rounded(kept.kept_cells(*side_a(spark, d), k=5), "sim")
 
 
-@query("topk_mask_y", PAIRS + TOPK.format("a") + "SELECT y_id, x_id, round(a, 6) + 0.0 AS sim, rnk_y <= 3 AS keep FROM rx")
+@query("topk_mask_y", PAIRS + TOPK.format("a") + "SELECT y_id, x_id, round(a, 6) + 0.0 AS sim FROM rx WHERE rnk_y <= 3")
 def _(spark, d):
-    return rounded(masks.topk_mask(matrix_a(spark, d), 3, "y"), "sim")
+    return rounded(kept.kept_cells(*side_a(spark, d), k=3, axis="y"), "sim")
 
 
 @query("similarity_topk", PAIRS + TOPK.format("a") + """SELECT y_id, x_id, round(a, 6) + 0.0 AS sim, rnk_y::INTEGER AS rank
@@ -115,42 +123,41 @@ def _(spark, d):
     return rounded(similarity.similarity_topk(e, e, 10, axis="y"), "sim")
 
 
-@query("mask_and", PAIRS + TOPK.format("a") + "SELECT y_id, x_id, rnk_x <= 5 AND a BETWEEN 0.2 AND 0.9 AS keep FROM rx")
+@query("mask_and", PAIRS + TOPK.format("a") + "SELECT y_id, x_id FROM rx WHERE rnk_x <= 5 AND a BETWEEN 0.2 AND 0.9")
 def _(spark, d):
-    m = matrix_a(spark, d)
-    return masks.mask_and([masks.topk_mask(m, 5), masks.threshold_mask(m, 0.2, 0.9)])
+    return kept.kept_and([kept.kept_cells(*side_a(spark, d), k=5), kept.kept_cells(*side_a(spark, d), 0.2, 0.9)])
 
 
-@query("mask_or", PAIRS + TOPK.format("a") + "SELECT y_id, x_id, rnk_y <= 2 OR b BETWEEN 0.5 AND 1 AS keep FROM rx")
+@query("mask_or", PAIRS + TOPK.format("a") + "SELECT y_id, x_id FROM rx WHERE rnk_y <= 2 OR b BETWEEN 0.5 AND 1")
 def _(spark, d):
-    return masks.mask_or([masks.topk_mask(matrix_a(spark, d), 2, "y"), masks.threshold_mask(matrix_b(spark, d), 0.5, 1.0)])
+    return kept.kept_or([kept.kept_cells(*side_a(spark, d), k=2, axis="y"), kept.kept_cells(*side_b(spark, d), 0.5)])
 
 
-@query("apply_mask", PAIRS + "SELECT y_id, x_id, CASE WHEN a BETWEEN 0.1 AND 0.6 THEN round(a, 6) + 0.0 END AS sim FROM p")
+@query("apply_mask", PAIRS + "SELECT y_id, x_id, round(a, 6) + 0.0 AS sim FROM p WHERE a BETWEEN 0.1 AND 0.6")
 def _(spark, d):
-    return rounded(masks.apply_mask(masks.threshold_mask(matrix_a(spark, d), 0.1, 0.6)), "sim")
+    return rounded(kept.kept_cells(*side_a(spark, d), 0.1, 0.6), "sim")
 
 
 COMPOSED = """, ra AS (SELECT *, row_number() OVER (PARTITION BY y_id ORDER BY a DESC, x_id) AS ax,
- row_number() OVER (PARTITION BY y_id ORDER BY b DESC, x_id) AS bx FROM p) SELECT y_id, x_id, """
+ row_number() OVER (PARTITION BY y_id ORDER BY b DESC, x_id) AS bx FROM p) SELECT y_id, x_id FROM ra WHERE """
 CONFIGS = {"a": {"low": 0.1, "k": 8}, "b": {"low": 0.2, "high": 0.95, "k": 5}}
 
 
 @query("compose_mask_filters", PAIRS + COMPOSED +
-       "((a BETWEEN 0.1 AND 1 AND ax <= 8) OR (b BETWEEN 0.2 AND 0.95 AND bx <= 5)) AND a BETWEEN 0.15 AND 0.8 AS keep FROM ra")
+       "((a BETWEEN 0.1 AND 1 AND ax <= 8) OR (b BETWEEN 0.2 AND 0.95 AND bx <= 5)) AND a BETWEEN 0.15 AND 0.8")
 def _(spark, d):
-    a, b = matrix_a(spark, d), matrix_b(spark, d)
-    return masks.compose_mask(a, {"a": a, "b": b}, CONFIGS, filters=["a", "b"], temporary={"low": 0.15, "high": 0.8})
+    a, b = side_a(spark, d), side_b(spark, d)
+    return kept.compose_kept(a, {"a": a, "b": b}, CONFIGS, filters=["a", "b"], temporary={"low": 0.15, "high": 0.8})
 
 
-@query("compose_mask_exclusive", PAIRS + COMPOSED + "b BETWEEN 0.2 AND 0.95 AND bx <= 5 AS keep FROM ra")
+@query("compose_mask_exclusive", PAIRS + COMPOSED + "b BETWEEN 0.2 AND 0.95 AND bx <= 5")
 def _(spark, d):
-    return masks.compose_mask(matrix_a(spark, d), {"b": matrix_b(spark, d)}, CONFIGS, exclusive="b")
+    return kept.compose_kept(side_a(spark, d), {"b": side_b(spark, d)}, CONFIGS, exclusive="b")
 
 
-@query("compose_mask_default", PAIRS + COMPOSED + "a BETWEEN 0.3 AND 1 AND ax <= 4 AS keep FROM ra")
+@query("compose_mask_default", PAIRS + COMPOSED + "a BETWEEN 0.3 AND 1 AND ax <= 4")
 def _(spark, d):
-    return masks.compose_mask(matrix_a(spark, d), default={"low": 0.3, "k": 4})
+    return kept.compose_kept(side_a(spark, d), default={"low": 0.3, "k": 4})
 
 
 @query("mask_stats", PAIRS + """, m AS (SELECT *, a BETWEEN 0.3 AND 0.99 AS keep FROM p),
@@ -159,7 +166,7 @@ def _(spark, d):
  (SELECT count(*) FROM m WHERE keep AND y_id = x_id) AS diagonal_kept,
  (SELECT count(*) FROM r) AS diagonal_total, (SELECT count(*) FROM r WHERE NOT any_kept) AS missing_count""")
 def _(spark, d):
-    return masks.mask_stats(masks.threshold_mask(matrix_a(spark, d), 0.3, 0.99), "x")
+    return kept.range_stats(*side_a(spark, d), 0.3, 0.99, "x")
 
 
 @query("matrix_difference", PAIRS + "SELECT y_id, x_id, round(a - b, 6) + 0.0 AS sim FROM p")
@@ -176,8 +183,17 @@ COUNTS = """, c AS (SELECT count(*) FILTER (g AND k) AS true_positive, count(*)
 
 @query("confusion", PAIRS + ", f AS (SELECT a BETWEEN 0.3 AND 1 AS g, b BETWEEN 0.35 AND 1 AS k FROM p)" + COUNTS + RATIOS)
 def _(spark, d):
-    out = evaluation.difference_confusion(masks.threshold_mask(matrix_a(spark, d), 0.3),
-                                          masks.threshold_mask(matrix_b(spark, d), 0.35))
+    out = evaluation.confusion_from_kept(kept.kept_cells(*side_a(spark, d), 0.3), kept.kept_cells(*side_b(spark, d), 0.35),
+                                         kept.cell_count(*side_a(spark, d)))
+    return rounded(out, "context_recall", "context_precision")
+
+
+# A temporary range on the difference matrix judges the minuend's mask. The difference needs every cell of both.
+@query("difference_confusion", PAIRS + ", f AS (SELECT a BETWEEN 0.3 AND 1 AS g, round(a - b, 12) BETWEEN 0.05 AND 1 AS k FROM p)" + COUNTS + RATIOS)
+def _(spark, d):
+    a, b = matrix_a(spark, d), matrix_b(spark, d)
+    difference = evaluation.matrix_difference(a, b).withColumn("sim", F.round("sim", 12))
+    out = evaluation.difference_confusion(masks.threshold_mask(a, 0.3), masks.threshold_mask(b, 0.35), masks.threshold_mask(difference, 0.05))
     return rounded(out, "context_recall", "context_precision")
 
 
@@ -207,8 +223,8 @@ def _(spark, d):
 @query("score_threshold", PAIRS + "SELECT y_id, x_id, round(s, 6) + 0.0 AS score FROM p WHERE s >= 0.25")
 def _(spark, d):
     e = embeddings(spark, d)
-    cells = similarity.similarity_matrix(e, e, floor0=False).withColumnRenamed("sim", "score")
-    return rounded(search.score_threshold(cells, 0.25), "score")
+    cells = similarity.similarity_within(e, e, 0.25, floor0=False).withColumnRenamed("sim", "score")
+    return rounded(cells, "score")
 
 
 CONDITION = {"logical_operator": "and", "conditions": [{"name": ["label"], "comparison_operator": "≥", "value": "3"}]}
