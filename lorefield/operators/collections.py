@@ -20,6 +20,10 @@ from lorefield.session import scratch_path
 EXPORT_SKIPS = ("id", "upload_time", *VECTOR_FIELDS)
 
 
+#: Rows before a page's end up to which a sorted prefix is taken.
+DEEP = 100_000
+
+
 def to_collection(df: DataFrame) -> DataFrame:
     """Canonical form of a flat table.
 
@@ -117,12 +121,20 @@ def collection_stats(collection: DataFrame, name: str) -> DataFrame:
         F.lit(name).alias("name"), "row_count", "dimension", "n_dimensions")
 
 
-def page(collection: DataFrame, number: int, size: int, order: str = "id") -> DataFrame:
-    """One page without vectors; each task keeps only the rows up to its end."""
+def page(collection: DataFrame, number: int, size: int, order: str = "id", deep: int = DEEP) -> DataFrame:
+    """One page without vectors, by a unique ``order``.
+
+    Near the start each task keeps only the rows up to the page's end; beyond
+    ``deep`` rows the positions of all rows are found by ranges instead, so no
+    task gathers what lies before the page. Both give the same page.
+    """
     if number < 1 or size < 1:
         raise ValueError("page number and size start at 1")
-    rows = collection.drop(*VECTOR_FIELDS).orderBy(order)
-    return rows.offset((number - 1) * size).limit(size)
+    rows, start = collection.drop(*VECTOR_FIELDS), (number - 1) * size
+    if start + size <= deep:
+        return rows.orderBy(order).offset(start).limit(size)
+    placed = order_id(rows, order, "_place")
+    return placed.where(F.col("_place").between(start, start + size - 1)).orderBy(order).drop("_place")
 
 
 def page_after(collection: DataFrame, last_id, size: int, order: str = "id") -> DataFrame:

@@ -129,9 +129,9 @@ def best_of_responses(responses: Column | str) -> Column:
 
 
 def generate(df: DataFrame, prompt: str, fn: Model, rounds: int = 3, retries: int = 3, delay: float = 5.0,
-             backoff: float = 2.0, workers: int = 1) -> DataFrame:
+             backoff: float = 2.0, workers: int = 1, batch: int = BATCH) -> DataFrame:
     """Question and answer per row from ``rounds`` generations, with call counters."""
-    asked = call_model(df, prompt, fn, "_responses", rounds, retries, delay, backoff, workers)
+    asked = call_model(df, prompt, fn, "_responses", rounds, retries, delay, backoff, workers, batch)
     counted = F.aggregate("_responses", F.lit(0), lambda n, r: n + r["calls"])
     return (asked.withColumn("_best", best_of_responses("_responses"))
             .select(*df.columns, F.col("_best.question").alias("question"), F.col("_best.answer").alias("answer"),
@@ -150,7 +150,7 @@ def best_of_rounds(rounds: DataFrame, *keys: str, response: str = "response", nu
 
 
 def run_model_test(dataset: DataFrame, fn: Callable[[list[dict]], Sequence[str]], model_name: str,
-                   retries: int = 2, delay: float = 1.0, workers: int = 1) -> DataFrame:
+                   retries: int = 2, delay: float = 1.0, workers: int = 1, batch: int = BATCH) -> DataFrame:
     """Run a dataset through a model: + ``model_output, workflow_name, timestamp``.
 
     The dataset needs ``input``; ``fn`` gets dicts ``{query, inputs}`` and returns
@@ -169,7 +169,7 @@ def run_model_test(dataset: DataFrame, fn: Callable[[list[dict]], Sequence[str]]
             d["inputs"] = json.loads(d["inputs"])
         return list(fn(decoded))
 
-    called = call_model(dataset.withColumn("_request", request), "_request", ask, "_r", 1, retries, delay, 1.0, workers)
+    called = call_model(dataset.withColumn("_request", request), "_request", ask, "_r", 1, retries, delay, 1.0, workers, batch)
     one = F.get("_r", F.lit(0))
     output = F.when(one["error"].isNotNull(), F.concat(F.lit(TEST_FAILED), one["error"])).otherwise(
         extract_answer(one["response"]))
@@ -178,7 +178,7 @@ def run_model_test(dataset: DataFrame, fn: Callable[[list[dict]], Sequence[str]]
 
 
 def judge(results: DataFrame, rule: Mapping, fn: Model, retries: int = 0, delay: float = 1.0,
-          workers: int = 1) -> DataFrame:
+          workers: int = 1, batch: int = BATCH) -> DataFrame:
     """Score model outputs with a rule: + ``evaluation_score, _reason, _rule, _timestamp``.
 
     ``rule`` is ``{evaluation_rule: {name, prompt: {role: {description}}}}``.
@@ -187,7 +187,7 @@ def judge(results: DataFrame, rule: Mapping, fn: Model, retries: int = 0, delay:
     if body is None or "prompt" not in body:
         raise ValueError("the rule lacks 'evaluation_rule' or its 'prompt'")
     asked = results.withColumn("_prompt", render_prompt(results, body["prompt"]["role"]["description"]))
-    called = call_model(asked, "_prompt", fn, "_r", 1, retries, delay, workers=workers)
+    called = call_model(asked, "_prompt", fn, "_r", 1, retries, delay, workers=workers, batch=batch)
     one = F.get("_r", F.lit(0))
     failed = F.struct(F.lit(0.0).alias("score"), F.concat(F.lit(JUDGE_FAILED), one["error"]).alias("reason"))
     verdict = F.when(one["error"].isNotNull(), failed).otherwise(parse_judgement(one["response"]))

@@ -307,19 +307,26 @@ def vectors(df: DataFrame, id_col: str = "id", vec_col: str = "embedding",
     return df.select(name.alias("collection"), F.col(id_col).alias("id"), F.col(vec_col).alias("embedding"))
 
 
-def _measure(side: DataFrame, limit: int) -> tuple[int, int | None]:
-    """Row count, and the exact vector bytes when they may fit ``limit``."""
-    rows = side.count()
-    if rows * 8 > limit:
-        return rows, None
-    return rows, side.agg(F.coalesce(F.sum(F.size("embedding") * 8), F.lit(0))).first()[0]
+@dataclass(frozen=True)
+class Size:
+    """Rows of a side, bytes of its vectors with ids and names, and the longest vector."""
 
+    rows: int
+    bytes: int
+    longest: int
 
-def _stripes(side: DataFrame, rows: int, stripe_bytes: int, stripe_rows: int | None) -> int:
+
+def _measure(side: DataFrame) -> Size:
+    """One pass over a side, so computed vectors are computed once here."""
+    taken = F.size("embedding") * 8 + F.octet_length(F.col("id").cast("string")) + F.octet_length("collection") + 16
+    return Size(*side.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.coalesce(taken, F.lit(16))), F.lit(0)),
+                          F.coalesce(F.max(F.size("embedding")), F.lit(1))).first())
+
+
+def _stripes(side: Size, stripe_bytes: int, stripe_rows: int | None) -> int:
     """Number of stripes so that none exceeds the given size, by the longest vector."""
-    longest = side.agg(F.max(F.size("embedding"))).first()[0]
-    most = max(1, stripe_bytes // (8 * max(1, longest)))
-    return -(-rows // (min(most, stripe_rows) if stripe_rows else most))
+    most = max(1, stripe_bytes // (8 * max(1, side.longest)))
+    return -(-side.rows // (min(most, stripe_rows) if stripe_rows else most))
 
 
 def _id_type(side: DataFrame) -> str:
@@ -330,24 +337,23 @@ def pair_up(x: DataFrame, y: DataFrame, fold: Cells | Counted | Moments | Best,
             broadcast_bytes: int = BROADCAST_BYTES, stripe_bytes: int = STRIPE_BYTES) -> DataFrame:
     """Run ``fold`` over every pair of blocks of two sides from :func:`vectors`."""
     schema = fold.fields.format(x=_id_type(x), y=_id_type(y))
-    x_rows, x_bytes = _measure(x, broadcast_bytes)
-    y_rows, y_bytes = (x_rows, x_bytes) if y is x else _measure(y, broadcast_bytes)
-    if x_rows == 0 or y_rows == 0:
+    x_size = _measure(x)
+    y_size = x_size if y is x else _measure(y)
+    if x_size.rows == 0 or y_size.rows == 0:
         raise ValueError("a side of the comparison has no rows")
-    fits = {name: size for name, size in (("x", x_bytes), ("y", y_bytes))
-            if size is not None and size <= broadcast_bytes}
+    fits = {name: size.bytes for name, size in (("x", x_size), ("y", y_size)) if size.bytes <= broadcast_bytes}
     if fits:
         # With both in range, send the side whose partner can be ranked while streaming.
         preferred = "y" if isinstance(fold, Best) and fold.axis == "y" else "x"
         held = preferred if preferred in fits else next(iter(fits))
-        if len(fits) == 2 and x_rows * y_rows > TILE_CELLS:
+        if len(fits) == 2 and x_size.rows * y_size.rows > TILE_CELLS:
             # Small tables come in few partitions, but their pairs are worth every core.
             cores = x.sparkSession.sparkContext.defaultParallelism
             x, y = (x, y.repartition(cores, "id")) if held == "x" else (x.repartition(cores, "id"), y)
         return _broadcast_side(x, y, fold, strict, held, schema)
     # A group returns its result at once, so a matrix needs small groups.
     most = CELL_STRIPE_ROWS if isinstance(fold, Cells) else None
-    nx, ny = _stripes(x, x_rows, stripe_bytes, most), _stripes(y, y_rows, stripe_bytes, most)
+    nx, ny = _stripes(x_size, stripe_bytes, most), _stripes(y_size, stripe_bytes, most)
     return _striped(x, y, fold, strict, schema, nx, ny)
 
 

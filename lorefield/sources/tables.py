@@ -13,39 +13,49 @@ CHUNK_COLUMNS = {"text": "Text", "text_pure": "Text_pure", "img_url": "Img_url",
 
 
 def detect_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-8 if every line is valid UTF-8, else the first fallback that reads every line.
+    """UTF-8 if every line is valid UTF-8, else the first fallback that reads every line."""
+    return probe_table(spark, path)[0]
 
-    Bytes are checked inside the scan and it stops at the first bad line.
+
+def probe_table(spark: SparkSession, path: str) -> tuple[str, bool]:
+    """Encoding of a delimited file, and whether a quoted field may go over a line's end.
+
+    One pass for both: a line with an odd number of quotes begins or ends such a
+    field. Only files that are no UTF-8 are read again, once per fallback.
     """
-    raw = spark.read.text(path)
-    if raw.where(~F.is_valid_utf8("value")).isEmpty():
-        return "utf-8"
-    # Charsets beyond Spark's own list need this switch.
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    odd, bad = spark.read.text(path).agg(F.bool_or(quotes % 2 == 1), F.bool_or(~F.is_valid_utf8("value"))).first()
+    if not bad:
+        return "utf-8", bool(odd)
+    # Charsets beyond Spark's own list need this switch. It stays on when such a file is
+    # found, as tables are read lazily, and is put back otherwise.
     setting = "spark.sql.legacy.javaCharsets"
     before = spark.conf.get(setting, "false")
     spark.conf.set(setting, "true")
-    try:
-        for name in FALLBACK_ENCODINGS:
-            lines = spark.read.csv(path, encoding=name, sep="\0", quote="", schema="value string")
-            if lines.where(F.col("value").contains("�")).isEmpty():
-                return name
-    finally:
-        spark.conf.set(setting, before)
+    for name in FALLBACK_ENCODINGS:
+        lines = spark.read.csv(path, encoding=name, sep="\0", quote="", schema="value string")
+        if lines.where(F.col("value").contains("�")).isEmpty():
+            return name, bool(odd)
+    spark.conf.set(setting, before)
     raise ValueError(f"cannot decode {path}; tried utf-8, {', '.join(FALLBACK_ENCODINGS)}")
 
 
 def read_table(spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | str | None = None,
-               encoding: str | None = None, multiline: bool = True, json_lines: bool = False) -> DataFrame:
+               encoding: str | None = None, multiline: bool | None = None, json_lines: bool = False) -> DataFrame:
     """A CSV, JSON or parquet table; the format defaults to the suffix of the path.
 
-    Quoted CSV fields may hold line breaks unless ``multiline`` is off, which
-    lets Spark split large files. Give a schema to skip the inference pass.
+    Encoding and ``multiline`` are found out in one pass where they are not
+    given: files without line breaks in quoted fields stay splittable, so one
+    large file is read by many tasks. Give a schema to skip the inference pass.
     """
     fmt = (fmt or path.rstrip("/").rsplit(".", 1)[-1]).lower()
     if fmt in ("csv", "tsv"):
+        if encoding is None or multiline is None:
+            found = probe_table(spark, path)
+            encoding, multiline = encoding or found[0], found[1] if multiline is None else multiline
         reader = spark.read.options(
             header=True, sep="\t" if fmt == "tsv" else ",", quote='"', escape='"', multiLine=multiline,
-            encoding=encoding or detect_encoding(spark, path), inferSchema=schema is None)
+            encoding=encoding, inferSchema=schema is None)
         return (reader.schema(schema) if schema is not None else reader).csv(path)
     if fmt == "json":
         reader = spark.read.option("multiLine", not json_lines)

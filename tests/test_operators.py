@@ -316,7 +316,7 @@ def test_generation(spark):
             raise RuntimeError("down")
         return ["nothing"] if texts[0] == "none" else [f"- question: q{'x' * (seen[texts[0]] % 3)}\n- answer: a"]
 
-    rows = {r["i"]: r for r in generation.generate(df, "p", model, rounds=3, retries=1, delay=0.0).collect()}
+    rows = {r["i"]: r for r in generation.generate(df, "p", model, rounds=3, retries=1, delay=0.0, batch=1).collect()}
     assert (rows[1]["question"], rows[1]["answer"], rows[1]["calls"], rows[1]["retries"]) == ("qxx", "a", 4, 1)
     assert (rows[2]["question"], rows[2]["answer"], rows[2]["calls"]) == ("", "", 6)
     assert rows[3]["question"] == ""

@@ -108,3 +108,77 @@ def test_session_helpers(spark):
         shared_dir(Bare)
     assert spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == 8
     assert spread(spark.range(10).repartition(40)).rdd.getNumPartitions() == 40
+
+
+def test_long_nested_judgement(spark):
+    """A response with very many inner braces is read without deep recursion."""
+    from lorefield.functions.answers import parse_judgement
+
+    inner = "{}" * 20_000
+    rows = spark.createDataFrame([('{"x" ' + inner + '} {"score": 4, "reason": "fine"}',), ("{" + inner,)], "r string")
+    got = [r[0] for r in rows.select(parse_judgement("r")).collect()]
+    assert (got[0]["score"], got[0]["reason"]) == (4.0, "fine") and got[1]["score"] == 0.0
+
+
+def test_html_keeps_text():
+    from lorefield.sources.html import page_markdown
+
+    assert page_markdown("<nav>menu<article><p>text</p>") == "text"
+    assert page_markdown("<template>x<h1>T</h1><p>a") == "# T\n\na"
+    assert page_markdown("<table><tr><td>1</td><td>2</td></tr></table>") == "1 2"
+    assert page_markdown("<pre>a\nb</pre>") == "a\nb"
+    assert page_markdown('<a href="k">v <a href="l">w</a>') == "[v ](k)[w](l)"
+    assert page_markdown("<nav>menu</nav><p>a</p><script>x</script><p>b</p>") == "a\n\nb"
+
+
+def test_prompts_go_in_lists(spark):
+    from pyspark.sql import functions as F
+
+    from lorefield.operators.generation import call_model
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def model(prompts):
+        calls.add(1)
+        if any(p == "p7" for p in prompts):
+            raise RuntimeError("no")
+        return [p.upper() for p in prompts]
+
+    rows = spark.range(64).coalesce(1).select(F.concat(F.lit("p"), "id").alias("p"))
+    got = {r.p: r.response[0] for r in call_model(rows, "p", model, batch=16).collect()}
+    assert got["p7"]["error"] == "no" and all(v["response"] == k.upper() for k, v in got.items() if k != "p7")
+    assert calls.value == 4 + 16  # four lists, and the prompts of the failed one alone
+
+
+def test_streamed_ids_and_equal_rows(spark, tmp_path):
+    from lorefield.streaming.jobs import streaming_ingest
+
+    given = "id string, document string, embedding array<float>"
+    for k, ids in enumerate((["a", "b", "b"], ["b", "c"], ["a"])):
+        spark.createDataFrame([(i, f"d{k}", [1.0]) for i in ids], given).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    for name, fields in (("ids", given), ("none", "document string, embedding array<float>")):
+        stream = spark.readStream.schema(fields).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+        streaming_ingest(stream, f"{tmp_path}/{name}", f"{tmp_path}/{name}-checkpoint").awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(f"{tmp_path}/ids").collect()) == ["a", "b", "c"]
+    kept = [r.id for r in spark.read.parquet(f"{tmp_path}/none").collect()]
+    assert len(kept) == len(set(kept)) == 6
+
+
+def test_both_forms_of_a_page(spark):
+    from lorefield.operators.collections import page
+
+    rows = spark.range(50_000).selectExpr("(id * 7919) % 50000 AS id", "'x' AS document")
+    for number in (1, 3, 500):
+        assert page(rows, number, 100).collect() == page(rows, number, 100, deep=0).collect()
+
+
+def test_probe_of_tables(spark, tmp_path):
+    from lorefield.sources.tables import probe_table, read_table
+
+    (tmp_path / "a.csv").write_bytes('a,b\n1,"x ""q"" y"\n'.encode())
+    (tmp_path / "b.csv").write_bytes('a,b\n1,"x\ny"\n'.encode())
+    (tmp_path / "c.csv").write_bytes("a,b\n1,中文\n".encode("gbk"))
+    assert probe_table(spark, str(tmp_path / "a.csv")) == ("utf-8", False)
+    assert probe_table(spark, str(tmp_path / "b.csv")) == ("utf-8", True)
+    assert probe_table(spark, str(tmp_path / "c.csv")) == ("gbk", False)
+    assert [r.b for n in "abc" for r in read_table(spark, str(tmp_path / f"{n}.csv")).collect()] == ['x "q" y', "x\ny", "中文"]

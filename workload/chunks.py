@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lorefield.functions.splitting import merge_small_chunks, split_text
 from lorefield.operators.chunking import chunk_documents, heading_paths, part_suffix
-from lorefield.operators.merging import merge_files
+from lorefield.operators.merging import merge_files, with_source
 from lorefield.operators.states import valid_files
 from lorefield.session import scratch_path
 from lorefield.sources import tables
@@ -130,6 +130,19 @@ def _(spark, d):
         "nation": n.select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("nation"))})
 
 
+@query("merge_files_sorted", """SELECT 'customer' AS file_name, c_custkey AS a, c_name AS b, NULL AS c FROM customer
+ UNION ALL SELECT 'supplier', NULL, s_name, s_suppkey FROM supplier""")
+def _(spark, d):
+    c, s = load(spark, d, "customer"), load(spark, d, "supplier")
+    return merge_files({"customer": c.select(F.col("c_name").alias("b"), F.col("c_custkey").alias("a")),
+                        "supplier": s.select(F.col("s_suppkey").alias("c"), F.col("s_name").alias("b"))}, "all_sorted")
+
+
+@query("with_source", "SELECT 'region' AS file_name, r_regionkey, r_name FROM region")
+def _(spark, d):
+    return with_source(load(spark, d, "region")).select("file_name", "r_regionkey", "r_name")
+
+
 @query("merge_files_common", """SELECT 'customer' AS source, c_name AS name FROM customer UNION ALL SELECT 'supplier', s_name FROM supplier""")
 def _(spark, d):
     c, s = load(spark, d, "customer"), load(spark, d, "supplier")

@@ -121,6 +121,11 @@ def _(spark, d):
     return C.page(load(spark, d, "orders").select("o_orderkey", "o_custkey"), 3, 50, "o_orderkey")
 
 
+@query("page_deep", "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey LIMIT 40 OFFSET 1200")
+def _(spark, d):
+    return C.page(load(spark, d, "orders").select("o_orderkey", "o_custkey"), 31, 40, "o_orderkey", deep=1000)
+
+
 @query("page_after", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey > 5000 ORDER BY o_orderkey LIMIT 50")
 def _(spark, d):
     return C.page_after(load(spark, d, "orders").select("o_orderkey", "o_custkey"), 5000, 50, "o_orderkey")

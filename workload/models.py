@@ -12,9 +12,9 @@ from lorefield.operators import generation as G
 from lorefield.operators.evaluation import score_summary
 from lorefield.operators.search import retrieve
 from lorefield.plans.dataset import corpus_to_qa
-from lorefield.plans.ingest import ingest_rows, ingest_table
+from lorefield.plans.ingest import ingest_rows, ingest_table, reembed
 from lorefield.session import scratch_path
-from workload.base import documents, load, markdown, query, texts
+from workload.base import doc_collection, documents, load, markdown, query, texts
 
 DIM = 64
 
@@ -123,6 +123,14 @@ def _(spark, d):
                     F.count_distinct("a.id").alias("n_ids"))
 
 
+@query("reembed", HASHED.format(key="doc_id", text="lang||' '||source", table="documents") + " SELECT doc_id, bucket, round(value::FLOAT::DOUBLE, 4) AS value FROM e")
+def _(spark, d):
+    updates = doc_collection(spark, d).withColumn("embedding", F.array(F.lit(0.0).cast("float")))
+    out = reembed(updates, HashingEncoder(DIM), "{lang} {source}")
+    cells = out.select(F.col("id").cast("bigint").alias("doc_id"), F.posexplode("embedding").alias("bucket", "v")).where("v > 0")
+    return cells.select("doc_id", "bucket", F.round(F.col("v").cast("double"), 4).alias("value"))
+
+
 @query("retrieve_texts", HASHED.format(key="doc_id", text="text", table="documents") +
        ", " + HASHED.format(key="item_id", text="text", table="benchmark")[5:].replace("w AS", "qw AS").replace("b AS", "qb AS").replace("e AS", "qe AS").replace("FROM w ", "FROM qw ").replace("FROM b)", "FROM qb)") +
        """, s AS (SELECT item_id AS query_id, doc_id::VARCHAR AS id, sum(e.value * qe.value) AS score FROM e JOIN qe ON e.bucket = qe.bucket GROUP BY 1, 2)
