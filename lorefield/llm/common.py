@@ -15,6 +15,11 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sent_if_small(df: DataFrame, row_bytes: int, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A stored table of fixed-size rows, marked for broadcast when its counted rows stay below ``most`` bytes."""
+    return F.broadcast(df) if df.count() * row_bytes <= most else df
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or a longer name that no column of ``df`` has."""
     taken = {c.lower() for c in df.columns}

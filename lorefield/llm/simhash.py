@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lorefield.llm.common import batch_rows, same, stored
+from lorefield.llm.common import batch_rows, same, sent_if_small, stored
 from lorefield.llm.components import connected_components
 
 POSITIONS = 8
@@ -215,7 +215,8 @@ def similar_links(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR)
     left, right = (prints.select(F.col("key").alias(k), F.col("bytes").alias(f"{k}_bytes")) for k in "ab")
     equal = sum(((F.substring("a_bytes", i + 1, 1) == F.substring("b_bytes", i + 1, 1)).cast("int") for i in range(SAMPLED)), F.lit(0))
     counted = stored(pairs.join(left, "a").join(right, "b").where(equal >= LEAST_SHARED).select("a", "b"), "pairs")
-    wanted = counted.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()
+    # Texts stay where they are read if the keys of the candidates are few enough to be sent.
+    wanted = sent_if_small(stored(counted.select(F.explode(F.array("a", "b")).alias("wanted")).distinct(), "wanted"), 16)
     sets = stored(_shingle_sets(docs.join(wanted, docs["key"] == wanted["wanted"], "left_semi"), words)
                   .groupBy("key").agg(F.first("shingles").alias("shingles")), "sets")
     left, right = (sets.select(F.col("key").alias(k), F.col("shingles").alias(f"{k}_set")) for k in "ab")
@@ -243,7 +244,8 @@ def drop_near_duplicates(docs: DataFrame, words: int = WORDS, similar: float = S
     placed = rows.join(roots, rows.key == roots.node, "left").select(
         "key", "doc_id", "n", F.coalesce("root", "key").alias("root"))
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key"))
-    winners = placed.groupBy("root").agg(F.min_by(F.struct("key", "doc_id"), order).alias("best"))
+    # Stored, so that the join below is one that Spark can split where a group is large.
+    winners = stored(placed.groupBy("root").agg(F.min_by(F.struct("key", "doc_id"), order).alias("best")), "winners")
     judged = stored(placed.join(winners, "root").select(
         "key", "doc_id", "n", (same(F.col("best.key"), F.col("key")) & same(F.col("best.doc_id"), F.col("doc_id"))).alias("stays")), "judged")
     own = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
@@ -251,7 +253,7 @@ def drop_near_duplicates(docs: DataFrame, words: int = WORDS, similar: float = S
     def of(rows: DataFrame):
         return (own == rows["key"]) & same(docs["doc_id"], rows["doc_id"])
 
-    losers = judged.where("not stays")
+    losers = sent_if_small(judged.where("not stays"), 32)
     repeated = judged.where("stays and n > 1")
     if repeated.isEmpty():
         return docs.join(losers, of(losers), "left_anti")
