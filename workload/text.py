@@ -235,7 +235,25 @@ def _(spark, d):
     return corpus.admit_files(spark, path).agg(F.count_distinct(F.regexp_extract("path", "source=([^/]*)/", 1)).alias("n_files"))
 
 
-@query("html_to_markdown")
+def _nested(inner: str, *steps: tuple[str, str, str]) -> str:
+    """``regexp_replace`` calls around ``inner``, the first step innermost."""
+    for pattern, new, flags in steps:
+        inner = f"regexp_replace({inner}, '{pattern}', {new}, '{flags}')"
+    return inner
+
+
+_LINE = "chr(10)||chr(10)"
+_SHOWN = _nested("html", ("<title[^>]*>.*?</title>", "''", "s"), *((f"<{t}[^>]*>.*?</{t}>", "''", "gs") for t in ("script", "style", "nav")),
+                 ("<!--.*?-->", "''", "gs"), (r"\s+", "' '", "g"), ("<br[^>]*>", "chr(10)", "g"), ("<li[^>]*>", "chr(10)||'- '", "g"),
+                 ("<h1[^>]*>", _LINE + "||'# '", "g"), ("</h1>|</?(?:p|div|article|section|ul|ol|table|tr|footer|header|main)(?: [^>]*)?>", _LINE, "g"),
+                 ("<[^>]*>", "''", "g"))
+for _name, _char in (("&quot;", "'\"'"), ("&#39;", "chr(39)"), ("&#x27;", "chr(39)"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&nbsp;", "' '"), ("&copy;", "chr(169)"),
+                     ("&middot;", "chr(183)"), ("&amp;", "'&'")):
+    _SHOWN = f"replace({_SHOWN}, '{_name}', {_char})"
+_SHOWN = _nested(_SHOWN, (" *\n *", "chr(10)", "g"), ("\n{3,}", _LINE, "g"))
+
+
+@query("html_to_markdown", f"SELECT page_id, trim({_SHOWN}, ' '||chr(10)) AS markdown, url AS filename, octet_length(encode(html))::INTEGER AS file_size, url FROM pages")
 def _(spark, d):
     return html.convert_pages(spread(load(spark, d, "pages")))
 
