@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lorefield.llm.common import read
-from lorefield.llm.decontaminate import benchmark_overlaps
+from lorefield.llm.decontaminate import MASKS, MISMATCH, SCORE, SPAN, benchmark_overlaps
 from lorefield.llm.extraction import extract_pages
 from lorefield.llm.fingerprints import fingerprint_documents
 from lorefield.llm.language import identify_language
@@ -35,6 +35,34 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def _seed_sql(table: str, key: str) -> str:
+    """Seeds of a table of word lists: the words that a mask looks at, written out."""
+    return " UNION ALL ".join(
+        f"SELECT {key}, i, {n} AS mask, concat_ws(' ', {', '.join(f'w[i + {k + 1}]' for k, bit in enumerate(m) if bit == '1')}) AS seed "
+        f"FROM {table}, unnest(range(len(w) - {SPAN - 1})) AS r(i)" for n, m in enumerate(MASKS))
+
+
+# The best stretch of a diagonal ends at the first greatest rise over the lowest (latest) earlier sum of the scores.
+_WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+ORACLES["op2_decontaminate"] = f"""
+WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents), iw AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+ds AS ({_seed_sql('dw', 'doc_id')}), iss AS ({_seed_sql('iw', 'item_id')}),
+hits AS (SELECT DISTINCT doc_id, item_id, ds.i - iss.i AS shift FROM ds JOIN iss USING (mask, seed)),
+cells AS (SELECT doc_id, item_id, shift, j, len(iw.w) AS length,
+    CASE WHEN j + shift >= 0 AND j + shift < len(dw.w) AND dw.w[j + shift + 1] = iw.w[j + 1] THEN 1 ELSE {MISMATCH} END AS gain
+  FROM hits JOIN dw USING (doc_id) JOIN iw USING (item_id), unnest(range(len(iw.w))) AS r(j)),
+sums AS (SELECT *, sum(gain) OVER d AS total FROM cells WINDOW d AS (PARTITION BY doc_id, item_id, shift ORDER BY j)),
+lows AS (SELECT *, least(0, coalesce(min(total * 1000000 - (j + 1)) OVER (PARTITION BY doc_id, item_id, shift ORDER BY j
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS low FROM sums),
+runs AS (SELECT *, total - ceil(low / 1000000.0) AS run, ceil(low / 1000000.0) * 1000000 - low AS first FROM lows),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY run DESC, j) = 1)
+SELECT doc_id, item_id, run::INTEGER AS score, ((run - ({MISMATCH}) * (j - first + 1)) / (1 - ({MISMATCH})))::INTEGER AS equal_words,
+  first::INTEGER AS item_first, j::INTEGER AS item_last, (first + shift)::INTEGER AS doc_first
+FROM best WHERE 2 * run >= least({2 * SCORE}, length)
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY run DESC, first, first + shift, j DESC, equal_words DESC) = 1
+"""
+
+
 @_query
 def op3_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(read(spark, sf_dir, "pages"))
