@@ -122,7 +122,8 @@ def simhash_components(docs: DataFrame, words: int = 3) -> DataFrame:
     least = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-fps")
     roots = connected_components(fingerprint_links(least.select("fp")))
     placed = least.join(roots, least.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    names = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Stored, so that the join below is one that Spark can split where a component is large.
+    names = stored(placed.groupBy("root").agg(F.min("least").alias("component_id")), "components")
     named = placed.join(names, "root").select(F.col("fp").alias("known"), "component_id")
     return rows.join(named, rows.fp == named.known).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
