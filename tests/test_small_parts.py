@@ -182,3 +182,43 @@ def test_probe_of_tables(spark, tmp_path):
     assert probe_table(spark, str(tmp_path / "b.csv")) == ("utf-8", True)
     assert probe_table(spark, str(tmp_path / "c.csv")) == ("gbk", False)
     assert [r.b for n in "abc" for r in read_table(spark, str(tmp_path / f"{n}.csv")).collect()] == ['x "q" y', "x\ny", "中文"]
+
+
+def test_kept_cells_are_the_masks(spark):
+    import numpy as np
+
+    from lorefield.operators import kept, masks, similarity
+
+    rng = np.random.default_rng(3)
+    side = spark.createDataFrame([(i, rng.normal(size=6).tolist()) for i in range(40)], "id long, embedding array<double>")
+    other = spark.createDataFrame([(i, rng.normal(size=6).tolist()) for i in range(25)], "id long, embedding array<double>")
+    matrix = similarity.similarity_matrix(side, other).cache()
+    cells = lambda m: {(r.y_id, r.x_id) for r in m.where("keep").collect()}
+    pairs = lambda m: {(r.y_id, r.x_id) for r in m.collect()}
+    for limits in ({}, {"broadcast_bytes": 0, "stripe_bytes": 400}):  # one side sent, or both in stripes
+        for config in ({"low": 0.3, "high": 0.8}, {"k": 3}, {"k": 2, "axis": "y", "low": 0.2}):
+            assert pairs(kept.kept_cells(side, other, **config, **limits)) == cells(masks.final_mask(matrix, **config))
+        for axis in ("x", "y", "none"):
+            assert kept.range_stats(side, other, 0.3, 0.8, axis, **limits).first() == masks.mask_stats(
+                masks.threshold_mask(matrix, 0.3, 0.8), axis).first()
+        plain, folded = (d.first().asDict() for d in (similarity.similarity_stats(matrix), similarity.collection_similarity(side, other, **limits)))
+        assert all(abs(plain[k] - folded[k]) < 1e-9 for k in plain)
+    assert kept.cell_count(side, other).first()[0] == 1000
+
+
+def test_refreshed_chunks(spark):
+    from lorefield.operators.states import LOG_SCHEMA, current_state
+    from lorefield.plans.refresh import refresh_chunks
+
+    def files(*rows):
+        return spark.createDataFrame([(n, t, str(hash(t))) for n, t in rows], "file_name string, text string, checksum string")
+
+    empty = spark.createDataFrame([], LOG_SCHEMA)
+    first = refresh_chunks(files(("a", "# A\n\none"), ("b", "# B\n\ntwo"), ("c", "# C\n\nthree")), None, current_state(empty))
+    chunks, log = first.chunks.cache(), first.events.cache()
+    assert chunks.count() == 3 and {r.status for r in log.collect()} == {"complete"} and first.errors.count() == 0
+    second = refresh_chunks(files(("a", "# A\n\none"), ("b", "# B\n\nnew"), ("d", None)), chunks, current_state(log))
+    assert {r.file: r.status for r in second.events.collect()} == {"b": "complete", "d": "failed"}
+    assert [r.file for r in second.errors.collect()] == ["d"]
+    texts = {r.file_name: r.text for r in second.chunks.collect()}
+    assert set(texts) == {"a", "b"} and "new" in texts["b"]
