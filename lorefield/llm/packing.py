@@ -15,6 +15,7 @@ import os
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,20 @@ from lorefield.llm.common import batch_rows, stored
 
 CAPACITY = 2048
 END = 0
-WORDS_KEPT = 400_000
+WORDS_KEPT = 150_000
+#: Last character of which lower case and composition are the same to Python and to the tokenizer.
+LATIN = "\xff"
 #: White space to Python, ordinary characters to the tokenizer's splitter.
 ODD_SPACE = "\x1c\x1d\x1e\x1f"
 
 
+def byte_letters() -> dict[int, str]:
+    """The visible character by which a byte-level vocabulary writes each byte: itself, or the next one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(hidden)}}
+
+
 class WordTokens:
     """Token ids of whole texts, put together from the ids of their white-space separated words.
 
@@ -46,6 +56,7 @@ class WordTokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model, self.letters = self.tokenizer.model, byte_letters()
         self.known: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
@@ -63,16 +74,23 @@ class WordTokens:
                 new = set(words)
             parts = {w: self.parts(w) for w in new}
             bare = [w for w in {p for ps in parts.values() for p in ps} if w not in known]
-            for w, e in zip(bare, self.tokenizer.encode_batch_fast(bare, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+            rest = []
+            for w in bare:
+                if w.isalpha() and max(w) <= LATIN:  # one piece to the splitter: straight to the merges
+                    pieces = self.model.tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(self.letters))
+                    known[w] = pack(f"<{len(pieces)}I", *[p.id for p in pieces])
+                else:
+                    rest.append(w)
+            for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+                known[w] = pack(f"<{len(e.ids)}I", *e.ids)
             for w, ps in parts.items():
                 known[w] = b"".join(map(known.__getitem__, ps))
         return b"".join(map(known.__getitem__, words))
 
     @staticmethod
     def parts(word: str) -> tuple[str, ...]:
-        """A word as lower-case parts with the same ids."""
-        if not word.isascii():
+        """A word as parts with the same ids, in lower case where that and the composed form are beyond doubt."""
+        if max(word) > LATIN:
             return (word,)
         if word[-1] in ".," and word[-2:-1].isalnum():
             return word[:-1].lower(), word[-1]
