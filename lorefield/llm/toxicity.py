@@ -27,7 +27,7 @@ MARKS = ".,;:!?\"'()[]|"
 HELD_OUT = 1
 FOLDS = 3
 THRESHOLD = 0.7
-WORDS_KEPT = 300_000
+WORDS_KEPT = 100_000
 
 
 def features(text: str, known: dict) -> np.ndarray:
