@@ -13,8 +13,13 @@ from lorefield.llm.simhash import drop_near_duplicates
 from lorefield.llm.toxicity import drop_toxic
 
 
+#: Rows of an Arrow batch: texts can be long, and every task holds a batch on both sides.
+BATCH_ROWS = "1000"
+
+
 def toxicity(spark, docs, sf_dir):
     """Rows that the toxicity model rejects go."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return drop_toxic(docs, read(spark, sf_dir, "labels"))
 
 
