@@ -141,6 +141,8 @@ LISTS = SAMPLED // GROUP
 LEAST_SHARED = 28
 SIMILAR = 0.8
 WORDS = 5
+#: Members up to which all pairs of a posting list are compared at once.
+SHORT = 16
 
 
 def sampled_bytes(hashes: np.ndarray, factors: np.ndarray, block: int = 1 << 13) -> bytes:
@@ -179,19 +181,27 @@ def _shingle_sets(texts: DataFrame, words: int) -> DataFrame:
     return texts.select("key", "text").mapInArrow(hashed, "key bigint, shingles array<int>")
 
 
-def _meetings(prints: DataFrame) -> DataFrame:
-    """Candidate pairs ``(a, b)``, a < b: each member of a posting list with its least member and with its neighbours.
-
-    Rows out are in proportion to rows in, whatever the size of a list. Long
-    lists spread over tasks, as they are dealt by list and member.
-    """
+def _posts(prints: DataFrame) -> DataFrame:
+    """``choice, part, key, low, members``: every key's places in posting lists of two members or more, with least member and size."""
     lists = F.array(*[F.struct(F.lit(i).cast("tinyint").alias("choice"), F.substring("bytes", 1 + GROUP * i, GROUP).alias("part"))
                       for i in range(LISTS)])
     index = prints.select("key", F.explode(lists).alias("post")).select("key", "post.*")
-    busy = (index.groupBy("choice", "part").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low < high")
-            .select("choice", "part", "low"))
-    posts = index.join(busy, ["choice", "part"])
-    dealt = (posts.withColumn("turn", F.xxhash64("key", "choice"))
+    busy = (index.groupBy("choice", "part").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("members"))
+            .where("low < high").select("choice", "part", "low", "members"))
+    return index.join(busy, ["choice", "part"])
+
+
+def _meetings(posts: DataFrame) -> DataFrame:
+    """Candidate pairs ``(a, b)``, a < b: all pairs of a short list; in a long one each member with the least and a neighbour.
+
+    Rows out are in proportion to rows in, whatever the size of a list. Long
+    lists spread over tasks, as they are dealt by list and member; their other
+    pairs are left to ``_prefix_pairs``.
+    """
+    whole = posts.where(F.col("members") <= SHORT).groupBy("choice", "part").agg(F.collect_list("key").alias("keys"))
+    rest = lambda a: F.filter("keys", lambda b: b > a)
+    every = F.flatten(F.transform("keys", lambda a: F.transform(rest(a), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    dealt = (posts.where(F.col("members") > SHORT).withColumn("turn", F.xxhash64("key", "choice"))
              .repartitionByRange("choice", "part", "turn").sortWithinPartitions("choice", "part", "turn"))
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,24 +216,82 @@ def _meetings(prints: DataFrame) -> DataFrame:
                 last = (choice, part, key)
             yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in out], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    return dealt.mapInArrow(neighbours, "a bigint, b bigint").distinct()
+    return (whole.select(F.explode(every).alias("pair")).select("pair.*")
+            .unionByName(dealt.mapInArrow(neighbours, "a bigint, b bigint")).distinct())
+
+
+def _sets_of(docs: DataFrame, keys: DataFrame, words: int) -> DataFrame:
+    """Stored shingle sets of ``keys(wanted)``; texts stay where they are read if the keys are few enough to be sent."""
+    wanted = sent_if_small(keys, 16)
+    return stored(_shingle_sets(docs.join(wanted, docs["key"] == wanted["wanted"], "left_semi"), words)
+                  .groupBy("key").agg(F.first("shingles").alias("shingles")), "sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """The pairs ``(a, b)`` whose shingle sets are at least ``similar``."""
+    left, right = (sets.select(F.col("key").alias(k), F.col("shingles").alias(f"{k}_set")) for k in "ab")
+    both = F.size(F.array_intersect("a_set", "b_set"))
+    every = F.size("a_set") + F.size("b_set")
+    return pairs.join(left, "a").join(right, "b").where(both >= similar * (every - both)).select("a", "b")
+
+
+def _prefix_pairs(sets: DataFrame, roots: DataFrame, similar: float) -> DataFrame:
+    """Pairs ``(a, b)`` of ``sets(key, shingles)`` with different ``roots(key, root)``: every pair that can be ``similar``.
+
+    Shingles are ordered by the number of sets that hold them, rare ones first.
+    Two sets that are similar share a shingle among the first ``n - ceil(2 s n / (1 + s)) + 1``
+    of the shorter one's n and the first ``n - ceil(s n) + 1`` of the longer
+    one's, and as many must follow the first shared one as the similarity asks
+    for. A passage that a whole family holds comes last and makes no pairs
+    below the similarity if the sets are of like size. Shingles meet by pairs of
+    groups, so members that are already connected are not paired.
+    """
+    # A small allowance, so that no rounding shortens a prefix.
+    slack = 1e-9
+    held = sets.select("key", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    spread = stored(held.groupBy("shingle").agg(F.count("*").alias("holders")).where("holders > 1"), "holders")
+    # Shingles of a single set find no partner; they only hold places in front.
+    placed = (held.join(spread, "shingle").groupBy("key", "n")
+              .agg(F.array_sort(F.collect_list(F.struct("holders", "shingle"))).alias("order"))
+              .select("key", "n", (F.col("n") - F.size("order")).alias("alone"), F.posexplode("order").alias("place", "s"))
+              .select("key", "n", (F.col("alone") + F.col("place")).alias("before"), F.col("s.shingle").alias("shingle")))
+    n = F.col("n")
+    entries = stored(placed.where(F.col("before") <= n - F.ceil(similar * n - slack)).join(roots, "key"), "prefixes")
+    first = F.col("before") <= n - F.ceil(2 * similar / (1 + similar) * n - slack)
+    shorter, longer = (e.select("shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("root", "key", "n", "before")])
+                       for e, k in ((entries.where(first), "s"), (entries, "l")))
+    meet = (shorter.select("shingle", "root_s").distinct().join(longer.select("shingle", "root_l").distinct(), "shingle")
+            .where("root_s != root_l"))
+    left = [F.col(f"n_{k}") - F.col(f"before_{k}") for k in "sl"]
+    possible = ((F.struct("n_s", "key_s") < F.struct("n_l", "key_l")) & (F.col("n_s") + slack >= similar * F.col("n_l"))
+                & (F.least(*left) * (1 + similar) + slack >= similar * (F.col("n_s") + F.col("n_l"))))
+    return (meet.join(shorter, ["shingle", "root_s"]).join(longer, ["shingle", "root_l"]).where(possible)
+            .select(F.least("key_s", "key_l").alias("a"), F.greatest("key_s", "key_l").alias("b")).distinct())
 
 
 def similar_links(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) -> DataFrame:
-    """Verified links ``(a, b)`` between keys of ``docs(key, text)``; one text per key."""
+    """Verified links ``(a, b)`` between keys of ``docs(key, text)`` that connect all similar ones; one text per key."""
     prints = stored(_sampled(docs, words).groupBy("key").agg(F.first("bytes").alias("bytes")), "prints")
-    pairs = _meetings(prints)
+    posts = stored(_posts(prints), "posts")
+    pairs = _meetings(posts)
     left, right = (prints.select(F.col("key").alias(k), F.col("bytes").alias(f"{k}_bytes")) for k in "ab")
     equal = sum(((F.substring("a_bytes", i + 1, 1) == F.substring("b_bytes", i + 1, 1)).cast("int") for i in range(SAMPLED)), F.lit(0))
     counted = stored(pairs.join(left, "a").join(right, "b").where(equal >= LEAST_SHARED).select("a", "b"), "pairs")
-    # Texts stay where they are read if the keys of the candidates are few enough to be sent.
-    wanted = sent_if_small(stored(counted.select(F.explode(F.array("a", "b")).alias("wanted")).distinct(), "wanted"), 16)
-    sets = stored(_shingle_sets(docs.join(wanted, docs["key"] == wanted["wanted"], "left_semi"), words)
-                  .groupBy("key").agg(F.first("shingles").alias("shingles")), "sets")
-    left, right = (sets.select(F.col("key").alias(k), F.col("shingles").alias(f"{k}_set")) for k in "ab")
-    both = F.size(F.array_intersect("a_set", "b_set"))
-    every = F.size("a_set") + F.size("b_set")
-    return counted.join(left, "a").join(right, "b").where(both >= similar * (every - both)).select("a", "b")
+    wanted = stored(counted.select(F.explode(F.array("a", "b")).alias("wanted")).distinct(), "wanted")
+    links = stored(_verified(counted, _sets_of(docs, wanted, words), similar), "links")
+    # What the long lists leave open: members of one list that are not connected yet.
+    long = posts.where(F.col("members") > SHORT).select("choice", "part", "key")
+    if long.isEmpty():
+        return links
+    roots = connected_components(links)
+    named = stored(long.join(roots, long.key == roots.node, "left").select("choice", "part", "key", F.coalesce("root", "key").alias("root")), "named")
+    mixed = named.groupBy("choice", "part").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    open_ = stored(named.join(mixed.select("choice", "part"), ["choice", "part"]).select("key", "root").distinct(), "open")
+    if open_.isEmpty():
+        return links
+    sets = _sets_of(docs, open_.select(F.col("key").alias("wanted")), words)
+    more = stored(_prefix_pairs(sets, open_, similar), "prefix-pairs")
+    return links.unionByName(_verified(more, sets, similar))
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) -> DataFrame:
@@ -234,9 +302,9 @@ def drop_near_duplicates(docs: DataFrame, words: int = WORDS, similar: float = S
     ``doc_id`` stays (null ids last, one of repeated rows). Texts without
     a word (null, empty, blank) are equal. Texts are told apart by a 64-bit hash. Pairs meet in at least one
     of twelve posting lists with a probability of 0.998 at similarity 0.8 and
-    nearer 1 above; in a list every member is compared with the least one and
-    with its neighbours in one more order, so a link between other members of a
-    long list is found through another list or a chain.
+    nearer 1 above. All pairs of a short list are compared; members of a long
+    list that comparing with the least one and a neighbour leaves unconnected are
+    joined by the first shingles of their sets, which misses no pair.
     """
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
     rows = stored(keyed.groupBy("key", "doc_id").agg(F.count("*").alias("n")), "keys")

@@ -101,6 +101,22 @@ def test_near_duplicates(spark, table):
     assert want <= got and len(got - want) <= 2
 
 
+def test_similar_pairs_in_a_large_family(spark):
+    random.seed(12)
+    passage = [f"p{i}" for i in range(300)]
+    own = lambda n: [f"w{random.randrange(10 ** 7)}" for _ in range(n)]
+    texts = [passage + own(45) for _ in range(2500)]
+    for k in range(60):  # partners within the family
+        texts[2 * k + 1] = passage + texts[2 * k][300:320] + own(25)
+    sets = [set(shingles(" ".join(t), 5)) for t in texts]
+    like = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert all(0.83 < like(2 * k, 2 * k + 1) < 0.87 for k in range(60))
+    assert all(0.73 < like(k, k + 777) < 0.77 for k in range(300, 1700))
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id for r in simhash.drop_near_duplicates(docs).select("doc_id").collect()}
+    assert got == set(range(2500)) - {2 * k + 1 for k in range(60)}
+
+
 def test_decontamination(spark, table):
     items = {r.item_id: r.text for r in spark.read.parquet(f"{edges.SF}/benchmark.parquet").collect()}
 
