@@ -5,15 +5,25 @@ two passages that differ in an ignored word still share the seed's hash. Hashes
 of all test and training positions are joined; around each hit the two texts
 are compared word by word along the hit's diagonal, and the best stretch has to
 reach a score that allows substitutions.
+
+No stretch that reaches its score is without a seed. A stretch of x other words
+has x + 1 runs of equal ones, of r words each, and its score is the sum of
+r - 2 over the runs, plus 2. Without a seed no run has five words, a run of
+four has no equal word beyond the other words at its sides, and a run of three
+none or one there. So each run that adds 2 or 1 is followed by one that takes
+as much, but for the last, and the score is 4 at most; 5 is the least score
+that is asked for.
 """
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lorefield.llm.common import BROADCAST_BYTES, same, stored
 
-#: 1: the word counts, 0: it is ignored. Equal spans, both end in 1.
+#: Masks of the SQL form, 1: the word counts, 0: it is ignored. Equal spans, both end in 1.
 MASKS = ("1101100101", "1010011011")
 SPAN = len(MASKS[0])
+#: Masks of the operator: five words, or five around one that is ignored.
+SEEDS = ("11111", "111101", "101111", "111011", "110111")
 #: A stretch scores 1 for an equal word and this much for another one.
 MISMATCH = -2
 #: Score that a stretch must reach; half the words of a shorter item.
@@ -26,22 +36,29 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def seed_hashes(words: Column, masks=MASKS) -> Column:
-    """Seed hashes of every position: all of the first mask, then all of the next; empty for short texts."""
-    last = F.size(words) - SPAN
+def seed_hashes(words: Column) -> Column:
+    """Seed hashes of every position: all of the first mask, then all of the next; null where a mask does not fit."""
     def of(mask: str, tag: int) -> Column:
         at = [k for k, bit in enumerate(mask) if bit == "1"]
-        return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.lit(tag), *[F.get(words, i + k) for k in at]))
-    return F.when(last >= 0, F.concat(*[of(m, n) for n, m in enumerate(masks)])).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(words, lambda _, i: F.when(
+            i + (len(mask) - 1) < F.size(words), F.xxhash64(F.lit(tag), *[F.get(words, i + k) for k in at])))
+    return F.concat(*[of(m, n) for n, m in enumerate(SEEDS)])
 
 
-def _seeds(df: DataFrame, key: str, masks) -> DataFrame:
-    """``key, words, start, seed``: a row per position and mask."""
+def _seeds(df: DataFrame, key: str) -> DataFrame:
+    """``key, words, tag, start, seed``: a row per position and mask."""
     words = df.withColumn("words", word_hashes(F.col("text"))).select(key, "words")
-    hashed = words.withColumn("seeds", seed_hashes(F.col("words"), masks))
+    hashed = words.withColumn("seeds", seed_hashes(F.col("words")))
     # The outer form keeps Spark from adding a filter that would compute all hashes once more.
     return (hashed.select(key, "words", F.posexplode_outer("seeds").alias("place", "seed")).where("seed is not null")
-            .withColumn("start", F.col("place") % (F.size("words") - (SPAN - 1))).drop("place"))
+            .withColumn("start", F.col("place") % F.size("words"))
+            .withColumn("tag", F.floor(F.col("place") / F.size("words")).cast("int")).drop("place"))
+
+
+def _leads(words: Column, start: Column, item: Column, item_start: Column, tag: Column) -> Column:
+    """Whether a hit is the first of its run on its diagonal, or has another word in its gap: all else is found by these."""
+    at = F.get(F.array(*[F.lit(m.find("0")) for m in SEEDS]), tag)
+    return ((at < 0) & ((start == 0) | (item_start == 0))) | (F.get(words, start + at) != F.get(item, item_start + at))
 
 
 def _best_stretch(doc: Column, item: Column, shift: Column) -> Column:
@@ -63,7 +80,7 @@ def _best_stretch(doc: Column, item: Column, shift: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.size(item) - 1), empty, step)
 
 
-def benchmark_overlaps(docs: DataFrame, items: DataFrame, masks=MASKS, score: int = SCORE,
+def benchmark_overlaps(docs: DataFrame, items: DataFrame, score: int = SCORE,
                        broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``doc_id, item_id, score, equal_words, item_first, item_last, doc_first``: the best overlap per pair.
 
@@ -75,20 +92,23 @@ def benchmark_overlaps(docs: DataFrame, items: DataFrame, masks=MASKS, score: in
     10 words hold no seed and never match. Null ids are kept as ids; repeated
     rows fold into one pair.
     """
-    posts = _seeds(items.select("item_id", "text"), "item_id", masks).select(
-        "item_id", F.col("words").alias("item_words"), F.col("start").alias("item_start"), F.col("seed").alias("item_seed"))
-    posts = stored(posts, "seeds")
-    size = posts.agg(F.sum(F.size("item_words") * 8 + 64)).first()[0] or 0
-    seeds = _seeds(docs.select("doc_id", "text"), "doc_id", masks)
+    tests = items.select("item_id", word_hashes(F.col("text")).alias("item_words")).where(F.size("item_words") >= SPAN)
+    tests = stored(tests.distinct().withColumn("test", F.xxhash64("item_id", "item_words")), "tests")
+    of_items = _seeds(items.select("item_id", "text"), "item_id").where(F.size("words") >= SPAN)
+    posts = stored(of_items.select(F.xxhash64("item_id", "words").alias("test"), F.col("tag").alias("item_tag"),
+                                   F.col("start").alias("item_start"), F.col("seed").alias("item_seed")).distinct(), "seeds")
+    size = posts.count() * 48 + (tests.agg(F.sum(F.size("item_words") * 8 + 64)).first()[0] or 0)
+    seeds = _seeds(docs.select("doc_id", "text"), "doc_id")
+    shift = (F.col("start") - F.col("item_start")).alias("shift")
+    leads = _leads(F.col("words"), F.col("start"), F.col("item_words"), F.col("item_start"), F.col("item_tag"))
     if size <= broadcast_bytes:
-        hits = seeds.join(F.broadcast(posts), seeds.seed == posts.item_seed).withColumn("shift", F.col("start") - F.col("item_start"))
+        hits = (seeds.join(F.broadcast(posts), F.col("seed") == F.col("item_seed")).join(F.broadcast(tests), "test")
+                .where(leads).select("doc_id", "item_id", "words", "item_words", shift))
     else:
         places = (seeds.select("doc_id", "start", "seed").join(posts, F.col("seed") == F.col("item_seed"))
-                  .select("doc_id", "item_id", (F.col("start") - F.col("item_start")).alias("shift")).distinct())
+                  .select("doc_id", "test", shift).distinct())
         texts = docs.select(F.col("doc_id").alias("own_id"), word_hashes(F.col("text")).alias("words"))
-        tests = items.select(F.col("item_id").alias("test_id"), word_hashes(F.col("text")).alias("item_words"))
-        hits = (places.join(texts, same(F.col("doc_id"), F.col("own_id")))
-                .join(tests, same(F.col("item_id"), F.col("test_id"))))
+        hits = places.join(texts, same(F.col("doc_id"), F.col("own_id"))).join(tests, "test")
     # As a generator's output a stretch is computed once per hit and not inside the join, which stays compiled.
     stretch = _best_stretch(F.col("words"), F.col("item_words"), F.col("shift"))
     found = hits.select("doc_id", "item_id", "shift", F.size("item_words").alias("length"),

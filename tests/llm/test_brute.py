@@ -158,6 +158,34 @@ def test_decontamination(spark, table):
     assert {50_000 + k for k in range(len(items))} <= {d for d, _ in want}
 
 
+def test_decontamination_against_every_diagonal(spark):
+    random.seed(14)
+    items = {n: [f"v{random.randrange(10 ** 6)}" for _ in range(n)] for n in (10, 11, 15, 16, 20, 37, 60)}
+    texts, at = {}, 0
+    for v in items.values():
+        drawn = [{j for j in range(len(v)) if j % every == phase} for every in range(3, 10) for phase in range(every)]
+        drawn += [{j for j in range(len(v)) if random.random() < share} for share in (0.1, 0.2, 0.25, 0.3) for _ in range(25)]
+        drawn += [{j for j in range(len(v)) if j % 7 in (3, 6)}, {j for j in range(len(v)) if j % 10 in (3, 6, 9)}]  # runs of 3, 2 and 3, 2, 2
+        for gone in drawn:
+            texts[at], at = ["some", "words"] + [f"x{j}" if j in gone else x for j, x in enumerate(v)] + ["after"], at + 1
+    want = {}
+    for d, w in texts.items():
+        for n, v in items.items():
+            top = 0
+            for s in range(-len(v) + 1, len(w)):
+                here = 0
+                for j, x in enumerate(v):
+                    here = max(0, here) + (1 if 0 <= j + s < len(w) and w[j + s] == x else decontaminate.MISMATCH)
+                    top = max(top, here)
+            if 2 * top >= min(2 * decontaminate.SCORE, n):
+                want[d, n] = top
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in texts.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(n, " ".join(v)) for n, v in items.items()], "item_id long, text string")
+    for limit in (decontaminate.BROADCAST_BYTES, 0):
+        found = decontaminate.benchmark_overlaps(docs, bench, broadcast_bytes=limit).collect()
+        assert {(r.doc_id, r.item_id): r.score for r in found} == want
+
+
 def test_substrings(spark, table):
     data = {i: t.encode() for i, t in table.items()}
     seen = Counter(t[i:i + 200] for t in data.values() for i in range(len(t) - 199))
