@@ -33,7 +33,10 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
-TRIGGER = re.compile(r"[0-9](?:[ ().\[\]/-]{0,3}[0-9]){6,}|@|[(\[] ?(?:at|dot|\.) ?[)\]]|\bdot\b", re.I)
+#: Marks of an address or a written-out form. Windows open at them, candidates hold one, and texts without any are left out.
+MARK = r"@|[(\[]\s*(?:at|dot|\.)\s*[)\]]|\bdot\b"
+TRIGGER = re.compile(rf"[0-9](?:[ ().\[\]/-]{{0,3}}[0-9]){{6,}}|{MARK}", re.I)
+MARKED = re.compile(MARK, re.I)
 TOKEN = re.compile(r"\S+")
 NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 
@@ -152,7 +155,7 @@ def lattice(text: str, low: int, high: int) -> Lattice:
                 shape = _span_features(segment, 1, before)
                 out.segments.append((i, j + 1, "", a, b))
                 out.slots.append(_slots("", shape))
-            if sum(map(str.isdigit, segment)) >= 7 or "@" in segment or re.search(r"\bdot\b|\[\.\]", segment, re.I):
+            if sum(map(str.isdigit, segment)) >= 7 or MARKED.search(segment):
                 shape = shape or _span_features(segment, j - i + 1, before)
                 for kind in KINDS:
                     out.segments.append((i, j + 1, kind, a, b))
@@ -193,7 +196,7 @@ class SpanModel:
 
     def spans(self, text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
         """Base spans and the field's spans that touch none of them."""
-        if not ("@" in text or DIGIT.search(text) or "dot" in text.lower()):
+        if not (DIGIT.search(text) or MARKED.search(text)):
             return base
         covered = sorted((a, b) for _, a, b in base)
         added = []
@@ -210,7 +213,10 @@ def rewritten(kind: str, span: str) -> list[str]:
     if kind == "email":
         name, host = span.split("@", 1)
         dots = host.replace(".", " dot ")
-        return [f"{name} (at) {host}", f"{name} at {dots}", f"{name} [at] {dots}", f"{name}[at]{host.replace('.', '[dot]')}"]
+        # Hosts of a corpus may all have as many labels; written out, the shorter name has another number of words.
+        brief = " dot ".join(host.split(".")[-2:])
+        return [f"{name} (at) {host}", f"{name} [at] {host}", f"{name} at {dots}", f"{name} [at] {dots}",
+                f"{name}[at]{host.replace('.', '[dot]')}", *([f"{name} at {brief}", f"{name} [at] {brief}"] if brief != dots else [])]
     if kind == "ip":
         return [span.replace(".", "[.]")]
     if kind == "card":

@@ -391,6 +391,25 @@ def test_written_out_data_is_found(table):
     assert model.spans(plain, []) == []
 
 
+def test_every_rewritten_form_is_a_candidate_and_found(table):
+    texts = [f"word{i} mail to user{i}@mail{i % 7}.example.com for more words" for i in range(80)]
+    texts += [f"call +1 ({200 + i}) 555-{1000 + i} or not, from {i}.{i}.7.{i} it came" for i in range(80)]
+    texts += [f"card 4111 1111 1111 1111 of {w}" for w in ("mine", "yours", "theirs")]
+    model = pii.fit_spans([e for t in [*table.values(), *texts] for e in pii._examples(t)])
+    own = [("email", "jane.doe@example.com"), ("email", "jane.doe@mail.example.com"), ("ip", "10.20.30.40"),
+           ("card", "4111 1111 1111 1111"), ("phone", "+1 (212) 555-0100")]
+    for kind, span in own:
+        for new in pii.rewritten(kind, span):
+            text = f"write to {new} for more"
+            place = (kind, 9, 9 + len(new))
+            assert place in {s[2:] for s in pii.lattice(text, 0, len(text)).segments}, new
+            assert place in model.spans(text, pii.base_spans(text)), new
+    for new in ("jane.doe (at) example.com", "jane.doe [at] example.com", "jane.doe (AT) example.com"):  # no digit, @ or dot
+        assert pii.masked(f"write to {new} for more", model.spans(f"write to {new} for more", [])) == "write to [EMAIL] for more"
+    plain = "we met (at) noon, or [at] the latest at one"
+    assert model.spans(plain, []) == []
+
+
 def test_minimum_cut_is_minimal():
     random.seed(7)
     for _ in range(150):
