@@ -46,8 +46,8 @@ class WordTokens:
     The tokenizer never joins characters across white space, so a word has the
     same ids wherever it stands; frequent words are tokenized once. It lower-cases
     and keeps a last full stop or comma apart, so words that differ in these share
-    their ids. Texts with separators that Python alone takes for white space are
-    encoded whole.
+    their ids. Texts with separators that Python alone takes for white space, or
+    with one of the tokenizer's special tokens, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -55,7 +55,8 @@ class WordTokens:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # In lower case, as words are put together in lower case.
+        self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.letters = self.tokenizer.model, byte_letters()
         self.known: dict[str, bytes] = {}
 
@@ -64,7 +65,8 @@ class WordTokens:
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        if any(c in text for c in ODD_SPACE):
+        low = text.lower()
+        if any(c in text for c in ODD_SPACE) or any(s in low for s in self.special):
             return self.whole(text)
         words, known = text.split(), self.known
         new = [w for w in set(words) if w not in known]

@@ -309,6 +309,13 @@ def test_word_tokens_equal_whole_texts():
         assert words.ids(t) == words.whole(t)
 
 
+def test_special_tokens_in_texts_keep_their_ids():
+    words, own = packing.WordTokens(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    for t in ["text <|endoftext|> more", "<|startoftext|>a<|endoftext|>b", "a <|ENDOFTEXT|> b", "x<|endoftext|>. y", "no <|end of|> token", "<|endoftext|>"]:
+        want = np.array(own.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+        assert words.ids("text more") + words.ids(t) == words.ids("text more") + want, t
+
+
 def test_language(spark):
     got = run(spark, "op4_language").join(spark.read.parquet(f"{edges.SF}/documents.parquet").select("doc_id", "lang"), "doc_id").collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 for r in got)
