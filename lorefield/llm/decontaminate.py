@@ -15,6 +15,8 @@ as much, but for the last, and the score is 4 at most; 5 is the least score
 that is asked for.
 """
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lorefield.llm.common import BROADCAST_BYTES, same, stored
@@ -36,19 +38,22 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def seed_hashes(words: Column) -> Column:
-    """Seed hashes of every position: all of the first mask, then all of the next; null where a mask does not fit."""
+def seed_hashes(words: Column, lengths: Sequence[int] = ()) -> Column:
+    """Seed hashes of every position: all of the first mask, then all of the next; null where a mask does not fit.
+
+    After the masks come runs of the given ``lengths``, with a tag of their own.
+    """
     def of(mask: str, tag: int) -> Column:
         at = [k for k, bit in enumerate(mask) if bit == "1"]
         return F.transform(words, lambda _, i: F.when(
             i + (len(mask) - 1) < F.size(words), F.xxhash64(F.lit(tag), *[F.get(words, i + k) for k in at])))
-    return F.concat(*[of(m, n) for n, m in enumerate(SEEDS)])
+    return F.concat(*[of(m, n) for n, m in enumerate(SEEDS)], *[of("1" * n, -n) for n in lengths])
 
 
-def _seeds(df: DataFrame, key: str) -> DataFrame:
-    """``key, words, tag, start, seed``: a row per position and mask."""
+def _seeds(df: DataFrame, key: str, lengths: Sequence[int] = ()) -> DataFrame:
+    """``key, words, tag, start, seed``: a row per position and mask, then per position and length."""
     words = df.withColumn("words", word_hashes(F.col("text"))).select(key, "words")
-    hashed = words.withColumn("seeds", seed_hashes(F.col("words")))
+    hashed = words.withColumn("seeds", seed_hashes(F.col("words"), lengths))
     # The outer form keeps Spark from adding a filter that would compute all hashes once more.
     return (hashed.select(key, "words", F.posexplode_outer("seeds").alias("place", "seed")).where("seed is not null")
             .withColumn("start", F.col("place") % F.size("words"))
@@ -58,7 +63,7 @@ def _seeds(df: DataFrame, key: str) -> DataFrame:
 def _leads(words: Column, start: Column, item: Column, item_start: Column, tag: Column) -> Column:
     """Whether a hit is the first of its run on its diagonal, or has another word in its gap: all else is found by these."""
     at = F.get(F.array(*[F.lit(m.find("0")) for m in SEEDS]), tag)
-    return ((at < 0) & ((start == 0) | (item_start == 0))) | (F.get(words, start + at) != F.get(item, item_start + at))
+    return (tag >= len(SEEDS)) | ((at < 0) & ((start == 0) | (item_start == 0))) | (F.get(words, start + at) != F.get(item, item_start + at))
 
 
 def _best_stretch(doc: Column, item: Column, shift: Column) -> Column:
@@ -88,17 +93,20 @@ def benchmark_overlaps(docs: DataFrame, items: DataFrame, score: int = SCORE,
     are measured: a small table is broadcast and every position of a document is
     compared where it is read, without a shuffle; a large one is joined by seed,
     and only documents with hits are read again. Ties go to the earliest place
-    in the item, then in the document. Null texts are empty; items of fewer than
-    10 words hold no seed and never match. Null ids are kept as ids; repeated
+    in the item, then in the document. Null texts are empty and match nothing; items
+    of fewer than 10 words match where a document holds all their words in a row. Null ids are kept as ids; repeated
     rows fold into one pair.
     """
-    tests = items.select("item_id", word_hashes(F.col("text")).alias("item_words")).where(F.size("item_words") >= SPAN)
+    tests = items.select("item_id", word_hashes(F.col("text")).alias("item_words")).where(F.size("item_words") > 0)
     tests = stored(tests.distinct().withColumn("test", F.xxhash64("item_id", "item_words")), "tests")
-    of_items = _seeds(items.select("item_id", "text"), "item_id").where(F.size("words") >= SPAN)
+    lengths = sorted(r[0] for r in tests.select(F.size("item_words")).where(F.size("item_words") < SPAN).distinct().collect())
+    n, whole = F.size("words"), F.get(F.array(*[F.lit(k) for k in lengths]).cast("array<int>"), F.col("tag") - len(SEEDS))
+    of_items = _seeds(items.select("item_id", "text"), "item_id", lengths).where(
+        F.when(n >= SPAN, F.col("tag") < len(SEEDS)).otherwise((F.col("tag") >= len(SEEDS)) & (whole == n)))
     posts = stored(of_items.select(F.xxhash64("item_id", "words").alias("test"), F.col("tag").alias("item_tag"),
                                    F.col("start").alias("item_start"), F.col("seed").alias("item_seed")).distinct(), "seeds")
     size = posts.count() * 48 + (tests.agg(F.sum(F.size("item_words") * 8 + 64)).first()[0] or 0)
-    seeds = _seeds(docs.select("doc_id", "text"), "doc_id")
+    seeds = _seeds(docs.select("doc_id", "text"), "doc_id", lengths)
     shift = (F.col("start") - F.col("item_start")).alias("shift")
     leads = _leads(F.col("words"), F.col("start"), F.col("item_words"), F.col("item_start"), F.col("item_tag"))
     if size <= broadcast_bytes:
@@ -113,7 +121,8 @@ def benchmark_overlaps(docs: DataFrame, items: DataFrame, score: int = SCORE,
     stretch = _best_stretch(F.col("words"), F.col("item_words"), F.col("shift"))
     found = hits.select("doc_id", "item_id", "shift", F.size("item_words").alias("length"),
                         F.explode_outer(F.array(stretch)).alias("best"))
-    good = found.where(F.col("best.score") * 2 >= F.least(F.lit(2 * score), F.col("length")))
+    good = found.where(F.when(F.col("length") < SPAN, F.col("best.score") == F.col("length"))
+                       .otherwise(F.col("best.score") * 2 >= F.least(F.lit(2 * score), F.col("length"))))
     rank = F.struct(F.col("best.score").alias("score"), (-F.col("best.first")).alias("item_first"),
                     (-F.col("best.first") - F.col("shift")).alias("doc_first"), F.col("best.last").alias("item_last"),
                     F.col("best.equal").alias("equal_words"))

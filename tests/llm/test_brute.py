@@ -186,6 +186,17 @@ def test_decontamination_against_every_diagonal(spark):
         assert {(r.doc_id, r.item_id): r.score for r in found} == want
 
 
+def test_exact_copies_of_short_items(spark):
+    texts = {1: "Say: what is it? Nothing", 2: "what is that it", 3: "one", 4: "a b c d e f g h i", 5: "a b c d x f g h i", 6: None, 7: "what is it",
+             8: "it what is it what is it"}
+    items = {1: "What is it", 2: "a b c d e f g h i", 3: "One!", 4: "", 5: None, 6: "is it nothing more"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    for limit in (decontaminate.BROADCAST_BYTES, 0):
+        found = decontaminate.benchmark_overlaps(docs, bench, broadcast_bytes=limit).collect()
+        assert sorted((r.doc_id, r.item_id, r.score, r.doc_first) for r in found) == [(1, 1, 3, 1), (3, 3, 1, 0), (4, 2, 9, 0), (7, 1, 3, 0), (8, 1, 3, 1)]
+
+
 def test_substrings(spark, table):
     data = {i: t.encode() for i, t in table.items()}
     seen = Counter(t[i:i + 200] for t in data.values() for i in range(len(t) - 199))
