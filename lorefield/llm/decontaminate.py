@@ -85,18 +85,13 @@ def _best_stretch(doc: Column, item: Column, shift: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.size(item) - 1), empty, step)
 
 
-def benchmark_overlaps(docs: DataFrame, items: DataFrame, score: int = SCORE,
-                       broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``doc_id, item_id, score, equal_words, item_first, item_last, doc_first``: the best overlap per pair.
+def _text_key(text: Column) -> Column:
+    """Tells apart the texts of one id."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
-    ``docs(doc_id, text)`` and ``items(item_id, text)``. The seeds of the items
-    are measured: a small table is broadcast and every position of a document is
-    compared where it is read, without a shuffle; a large one is joined by seed,
-    and only documents with hits are read again. Ties go to the earliest place
-    in the item, then in the document. Null texts are empty and match nothing; items
-    of fewer than 10 words match where a document holds all their words in a row. Null ids are kept as ids; repeated
-    rows fold into one pair.
-    """
+
+def _stretches(docs: DataFrame, items: DataFrame, score: int, broadcast_bytes: int) -> DataFrame:
+    """``doc_id, text_key, item_id, shift, best``: stretches that reach their score, of every text by itself."""
     tests = items.select("item_id", word_hashes(F.col("text")).alias("item_words")).where(F.size("item_words") > 0)
     tests = stored(tests.distinct().withColumn("test", F.xxhash64("item_id", "item_words")), "tests")
     lengths = sorted(r[0] for r in tests.select(F.size("item_words")).where(F.size("item_words") < SPAN).distinct().collect())
@@ -106,23 +101,39 @@ def benchmark_overlaps(docs: DataFrame, items: DataFrame, score: int = SCORE,
     posts = stored(of_items.select(F.xxhash64("item_id", "words").alias("test"), F.col("tag").alias("item_tag"),
                                    F.col("start").alias("item_start"), F.col("seed").alias("item_seed")).distinct(), "seeds")
     size = posts.count() * 48 + (tests.agg(F.sum(F.size("item_words") * 8 + 64)).first()[0] or 0)
-    seeds = _seeds(docs.select("doc_id", "text"), "doc_id", lengths)
+    owned = docs.select(F.struct("doc_id", _text_key(F.col("text")).alias("text_key")).alias("owner"), "text")
+    seeds = _seeds(owned, "owner", lengths)
     shift = (F.col("start") - F.col("item_start")).alias("shift")
     leads = _leads(F.col("words"), F.col("start"), F.col("item_words"), F.col("item_start"), F.col("item_tag"))
     if size <= broadcast_bytes:
         hits = (seeds.join(F.broadcast(posts), F.col("seed") == F.col("item_seed")).join(F.broadcast(tests), "test")
-                .where(leads).select("doc_id", "item_id", "words", "item_words", shift))
+                .where(leads).select("owner", "item_id", "words", "item_words", shift))
     else:
-        places = (seeds.select("doc_id", "start", "seed").join(posts, F.col("seed") == F.col("item_seed"))
-                  .select("doc_id", "test", shift).distinct())
-        texts = docs.select(F.col("doc_id").alias("own_id"), word_hashes(F.col("text")).alias("words"))
-        hits = places.join(texts, same(F.col("doc_id"), F.col("own_id"))).join(tests, "test")
+        places = (seeds.select("owner", "start", "seed").join(posts, F.col("seed") == F.col("item_seed"))
+                  .select("owner", "test", shift).distinct())
+        texts = owned.select(F.col("owner.doc_id").alias("own_id"), F.col("owner.text_key").alias("own_text"), word_hashes(F.col("text")).alias("words"))
+        hits = places.join(texts, same(F.col("owner.doc_id"), F.col("own_id")) & (F.col("owner.text_key") == F.col("own_text"))).join(tests, "test")
     # As a generator's output a stretch is computed once per hit and not inside the join, which stays compiled.
     stretch = _best_stretch(F.col("words"), F.col("item_words"), F.col("shift"))
-    found = hits.select("doc_id", "item_id", "shift", F.size("item_words").alias("length"),
+    found = hits.select("owner.*", "item_id", "shift", F.size("item_words").alias("length"),
                         F.explode_outer(F.array(stretch)).alias("best"))
-    good = found.where(F.when(F.col("length") < SPAN, F.col("best.score") == F.col("length"))
+    return found.where(F.when(F.col("length") < SPAN, F.col("best.score") == F.col("length"))
                        .otherwise(F.col("best.score") * 2 >= F.least(F.lit(2 * score), F.col("length"))))
+
+
+def benchmark_overlaps(docs: DataFrame, items: DataFrame, score: int = SCORE,
+                       broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``doc_id, item_id, score, equal_words, item_first, item_last, doc_first``: the best overlap per pair.
+
+    ``docs(doc_id, text)`` and ``items(item_id, text)``. The seeds of the items
+    are measured: a small table is broadcast and every position of a document is
+    compared where it is read, without a shuffle; a large one is joined by seed,
+    and only documents with hits are read again. Ties go to the earliest place
+    in the item, then in the document. Null texts are empty and match nothing; items
+    of fewer than 10 words match where a document holds all their words in a row. Null ids are kept as ids; repeated
+    rows fold into one pair.
+    """
+    good = _stretches(docs, items, score, broadcast_bytes)
     rank = F.struct(F.col("best.score").alias("score"), (-F.col("best.first")).alias("item_first"),
                     (-F.col("best.first") - F.col("shift")).alias("doc_first"), F.col("best.last").alias("item_last"),
                     F.col("best.equal").alias("equal_words"))
@@ -132,7 +143,8 @@ def benchmark_overlaps(docs: DataFrame, items: DataFrame, score: int = SCORE,
                        (-F.col("top.doc_first")).alias("doc_first"))
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id overlaps no item, with all their columns."""
-    dirty = stored(benchmark_overlaps(docs, items).select(F.col("doc_id").alias("dirty_id")).distinct(), "dirty")
-    return docs.join(dirty, same(docs["doc_id"], dirty["dirty_id"]), "left_anti")
+def drop_contaminated(docs: DataFrame, items: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows of ``docs`` whose text overlaps no item, with all their columns; rows that share an id are judged one by one."""
+    found = _stretches(docs, items, SCORE, broadcast_bytes)
+    dirty = stored(found.select(F.col("doc_id").alias("dirty_id"), F.col("text_key").alias("dirty_text")).distinct(), "dirty")
+    return docs.join(dirty, same(docs["doc_id"], dirty["dirty_id"]) & (_text_key(docs["text"]) == dirty["dirty_text"]), "left_anti")

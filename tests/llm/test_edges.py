@@ -50,6 +50,19 @@ def test_decontamination_edges(spark):
     assert decontaminate.benchmark_overlaps(d, edges.items(spark, item).limit(0)).count() == 0
 
 
+def test_decontamination_judges_rows_that_share_an_id_one_by_one(spark):
+    item = " ".join(edges.LONG.split()[40:60])
+    other = " ".join(f"other{i}" for i in range(30))
+    rows = [(None, "clean text"), (None, f"so {item} it is"), (None, None), (1, other), (1, f"{other} {item}"), (2, item), (2, item)]
+    d = edges.docs(spark, rows)
+    for limit in (decontaminate.BROADCAST_BYTES, 0):
+        kept = decontaminate.drop_contaminated(d, edges.items(spark, [(9, item)]), broadcast_bytes=limit)
+        assert edges.rows_of(kept.select("doc_id", "text")) == edges.rows_of(d.select("doc_id", "text").where("text is null or text in ('clean text')").unionByName(
+            d.select("doc_id", "text").where(F.col("text") == other)))
+        found = decontaminate.benchmark_overlaps(d, edges.items(spark, [(9, item)]), broadcast_bytes=limit)
+        assert {(r.doc_id, r.doc_first) for r in found.collect()} == {(None, 1), (1, 30), (2, 0)}
+
+
 def test_extraction_edges(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "u", "<p>One &amp; two.</p>"), (3, "u", "<nav>x"), (3, "u", "<nav>x"),
             (4, "u", "<article>" + "<p>Some words here.</p>" * 2000)]
