@@ -290,6 +290,21 @@ def test_matrix_document(spark):
         matrices.read_matrix_document(broken)[0].collect()
 
 
+def test_matrix_document_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(matrices, "BLOCK", 2)
+    m = spark.createDataFrame([(y, x, y / 10 + x / 100) for y in (3, 5, 6) for x in (1, 2, 4, 7, 8)], "y_id int, x_id int, sim double")
+    y, x = m.select(F.col("y_id").alias("id")).distinct(), m.select(F.col("x_id").alias("id"), F.lit("n").alias("position_name")).distinct()
+    doc = matrices.matrix_document(m, y, x, matrices.config_row(spark, "X", "Y", {"top_k": 2})).cache()
+    assert {r["part"]: r["count"] for r in doc.groupBy("part").count().collect()} == {"header": 1, "x": 5, "y": 3, "cells": 9}
+    cells, config = matrices.read_matrix_document(doc)
+    want = {(i, j, y / 10 + x / 100) for i, y in enumerate((3, 5, 6)) for j, x in enumerate((1, 2, 4, 7, 8))}
+    assert set(map(tuple, cells.collect())) == want and config.first()["x_field"] == "document" and config.first()["top_k"] == 2
+    for broken, why in ((doc.where("not (part = 'cells' and document like '%from\":2%')"), "columns and xData differ"),
+                        (doc.where("not (part = 'y' and position = 0)"), "rows and yData differ"), (doc.where("part != 'header'"), "no header")):
+        with pytest.raises(Exception, match=why):
+            matrices.read_matrix_document(broken)[0].collect()
+
+
 def test_merge_strategies(spark):
     a = spark.createDataFrame([(1, "x")], "n int, b string")
     b = spark.createDataFrame([("y", 2.0)], "b string, a double")
