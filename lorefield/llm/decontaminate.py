@@ -8,11 +8,10 @@ reach a score that allows substitutions.
 
 No stretch that reaches its score is without a seed. A stretch of x other words
 has x + 1 runs of equal ones, of r words each, and its score is the sum of
-r - 2 over the runs, plus 2. Without a seed no run has five words, a run of
-four has no equal word beyond the other words at its sides, and a run of three
-none or one there. So each run that adds 2 or 1 is followed by one that takes
-as much, but for the last, and the score is 4 at most; 5 is the least score
-that is asked for.
+r - 2 over the runs, plus 2. Without a seed no run has four words, and a run of
+three has none or one in the runs at its sides. So each run that adds 1 is
+followed by one that takes as much, but for the last, and the score is 3 at
+most; 5 is the least score that is asked for.
 """
 
 from collections.abc import Sequence
@@ -24,8 +23,8 @@ from lorefield.llm.common import BROADCAST_BYTES, same, stored
 #: Masks of the SQL form, 1: the word counts, 0: it is ignored. Equal spans, both end in 1.
 MASKS = ("1101100101", "1010011011")
 SPAN = len(MASKS[0])
-#: Masks of the operator: five words, or five around one that is ignored.
-SEEDS = ("11111", "111101", "101111", "111011", "110111")
+#: Masks of the operator: four words, or five around one that is ignored.
+SEEDS = ("1111", "111011", "110111")
 #: A stretch scores 1 for an equal word and this much for another one.
 MISMATCH = -2
 #: Score that a stretch must reach; half the words of a shorter item.
@@ -39,14 +38,14 @@ def word_hashes(text: Column) -> Column:
 
 
 def seed_hashes(words: Column, lengths: Sequence[int] = ()) -> Column:
-    """Seed hashes of every position: all of the first mask, then all of the next; null where a mask does not fit.
+    """Seed hashes of every position: all of the first mask, then all of the next.
 
-    After the masks come runs of the given ``lengths``, with a tag of their own.
+    Where a mask does not fit, its hash is of fewer words and equals none of a
+    place where it does. After the masks come runs of the given ``lengths``, with a tag of their own.
     """
     def of(mask: str, tag: int) -> Column:
         at = [k for k, bit in enumerate(mask) if bit == "1"]
-        return F.transform(words, lambda _, i: F.when(
-            i + (len(mask) - 1) < F.size(words), F.xxhash64(F.lit(tag), *[F.get(words, i + k) for k in at])))
+        return F.transform(words, lambda w, i: F.xxhash64(F.lit(tag), *[F.get(words, i + k) if k else w for k in at]))
     return F.concat(*[of(m, n) for n, m in enumerate(SEEDS)], *[of("1" * n, -n) for n in lengths])
 
 
@@ -95,9 +94,10 @@ def _stretches(docs: DataFrame, items: DataFrame, score: int, broadcast_bytes: i
     tests = items.select("item_id", word_hashes(F.col("text")).alias("item_words")).where(F.size("item_words") > 0)
     tests = stored(tests.distinct().withColumn("test", F.xxhash64("item_id", "item_words")), "tests")
     lengths = sorted(r[0] for r in tests.select(F.size("item_words")).where(F.size("item_words") < SPAN).distinct().collect())
-    n, whole = F.size("words"), F.get(F.array(*[F.lit(k) for k in lengths]).cast("array<int>"), F.col("tag") - len(SEEDS))
-    of_items = _seeds(items.select("item_id", "text"), "item_id", lengths).where(
-        F.when(n >= SPAN, F.col("tag") < len(SEEDS)).otherwise((F.col("tag") >= len(SEEDS)) & (whole == n)))
+    n, spans = F.size("words"), [*map(len, SEEDS), *lengths]
+    span = F.get(F.array(*[F.lit(k) for k in spans]), F.col("tag"))
+    of_items = _seeds(items.select("item_id", "text"), "item_id", lengths).where(F.col("start") + span <= n).where(
+        F.when(n >= SPAN, F.col("tag") < len(SEEDS)).otherwise((F.col("tag") >= len(SEEDS)) & (span == n)))
     posts = stored(of_items.select(F.xxhash64("item_id", "words").alias("test"), F.col("tag").alias("item_tag"),
                                    F.col("start").alias("item_start"), F.col("seed").alias("item_seed")).distinct(), "seeds")
     size = posts.count() * 48 + (tests.agg(F.sum(F.size("item_words") * 8 + 64)).first()[0] or 0)
