@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lorefield.llm.clustering import CLUSTERS, DIMENSIONS, ROUNDS, SCALE, SEED as CLUSTER_SEED, cluster_vectors
 from lorefield.llm.common import read
 from lorefield.llm.decontaminate import MASKS, MISMATCH, SCORE, SPAN, benchmark_overlaps
 from lorefield.llm.extraction import extract_pages
@@ -9,6 +10,8 @@ from lorefield.llm.fingerprints import fingerprint_documents
 from lorefield.llm.language import identify_language
 from lorefield.llm.packing import pack_documents
 from lorefield.llm.pii import find_pii
+from lorefield.llm.quality import score_quality
+from lorefield.llm.resampling import BUCKETS, LEAST_WORDS, PERCENT, SEED, resample
 from lorefield.llm.revisits import FIXED_HEADERS, URL, resolve_revisits
 from lorefield.llm.simhash import simhash_components
 from lorefield.llm.substrings import remove_repeats
@@ -174,3 +177,81 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(read(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def _runs_sql(table: str, key: str) -> str:
+    """Words and runs of one to three words of every text."""
+    words = (r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+             r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')")
+    return (f"SELECT {key}, len(w) AS n_words, list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]), "
+            "list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS runs "
+            f"FROM (SELECT {key}, {words} AS w FROM {table})")
+
+
+# CRC-32 by the byte table, over the hexadecimal digits of the UTF-8 bytes.
+ORACLES["op11_resampling"] = f"""
+WITH d AS (SELECT row_number() OVER () AS row_id, * FROM ({_runs_sql('documents', 'doc_id')})), b AS ({_runs_sql('benchmark', 'item_id')}),
+slots AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+  ORDER BY i) AS slot FROM range(256) AS r(i)),
+dt AS (SELECT row_id, unnest(runs) AS term FROM d), bt AS (SELECT unnest(runs) AS term FROM b),
+terms AS (SELECT DISTINCT term, hex(encode(term)) AS digits FROM (SELECT term FROM dt UNION ALL SELECT term FROM bt)),
+codes AS (SELECT term, list_transform(range(strlen(term)), lambda i: strpos('123456789ABCDEF', digits[2 * i + 1]) * 16
+  + strpos('123456789ABCDEF', digits[2 * i + 2])) AS codes FROM terms),
+hashed AS (SELECT term, xor(list_reduce(list_prepend(4294967295, codes), lambda c, x: xor(c >> 8, slot[(xor(c, x) & 255) + 1])), 4294967295) % {BUCKETS} AS bucket
+  FROM codes, slots),
+s AS (SELECT bucket, count(*) AS s FROM dt JOIN hashed USING (term) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bt JOIN hashed USING (term) GROUP BY bucket),
+totals AS (SELECT (SELECT count(*) FROM dt)::DOUBLE AS all_s, (SELECT count(*) FROM bt)::DOUBLE AS all_t),
+gains AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (all_s + {BUCKETS}) / ((s::DOUBLE + 1) * (all_t + {BUCKETS}))))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket), totals),
+weights AS (SELECT row_id, sum(gain)::BIGINT AS weight FROM dt JOIN hashed USING (term) JOIN gains USING (bucket) GROUP BY row_id),
+scored AS (SELECT row_id, doc_id, n_words, len(runs)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + floor(-1000 * ln(-ln((
+    ('0x' || substr(sha256('{SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT::DOUBLE + 0.5) / 4294967296.0)))::BIGINT AS score
+  FROM d LEFT JOIN weights USING (row_id)),
+ranks AS (SELECT row_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_words >= {LEAST_WORDS})
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= {PERCENT} * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN ranks USING (row_id)
+"""
+
+
+@_query
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@_query
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(read(spark, sf_dir, "embeddings"))
+
+
+def _rounds_sql() -> str:
+    """Assignments ``a0`` to the centroids ``c0``, then ``c1`` and so on, one table after the other."""
+    def nearest(n):
+        return (f"a{n} AS MATERIALIZED (SELECT row_id, vec_id, v, min(struct_pack(far := list_sum(list_transform(range(1, {DIMENSIONS + 1}), "
+                f"lambda j: (v[j] - c[j]) * (v[j] - c[j])))::BIGINT, cluster := cluster)) AS hit FROM kept, c{n} GROUP BY ALL)")
+
+    def moved(n):
+        # Floor of sum / count for whole numbers of either sign.
+        return (f"c{n + 1} AS MATERIALIZED (SELECT cluster, coalesce(new, c) AS c FROM c{n} LEFT JOIN (SELECT cluster, list(mean ORDER BY j) AS new FROM ("
+                "SELECT hit.cluster AS cluster, j, ((sum(v[j]) - ((sum(v[j]) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS mean "
+                f"FROM a{n}, range(1, {DIMENSIONS + 1}) AS r(j) GROUP BY ALL) GROUP BY cluster) USING (cluster))")
+
+    return ",\n".join(part for n in range(ROUNDS) for part in (nearest(n), moved(n))) + ",\n" + nearest(ROUNDS)
+
+
+ORACLES["op13_clustering"] = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row_id, vec_id, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = {DIMENSIONS} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {DIMENSIONS}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('{CLUSTER_SEED}:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS cluster, v AS c
+  FROM kept ORDER BY cluster LIMIT {CLUSTERS}),
+{_rounds_sql()}
+SELECT vec_id, hit.cluster::INTEGER AS cluster, hit.far AS distance, (sum(hit.far) OVER (PARTITION BY hit.cluster))::BIGINT AS cluster_inertia,
+  (sum(hit.far) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{ROUNDS} JOIN c{ROUNDS} ON cluster = hit.cluster
+"""
