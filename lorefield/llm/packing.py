@@ -10,8 +10,8 @@ are; pieces find their place in it by their rank among the pieces of their
 length.
 """
 
-import unicodedata
 import os
+import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -26,9 +26,12 @@ from lorefield.llm.common import batch_rows, stored
 
 CAPACITY = 2048
 END = 0
-WORDS_KEPT = 150_000
+#: Pieces of a generation; two are kept.
+PIECES_KEPT = 100_000
 #: Last character of which lower case and composition are the same to Python and to the tokenizer.
 LATIN = "\xff"
+#: The tokenizer's splitting rule (a fixed value of the vocabulary file) on lower-case Latin-1 text.
+PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^\sa-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
 #: White space to Python, ordinary characters to the tokenizer's splitter.
 ODD_SPACE = "\x1c\x1d\x1e\x1f"
 
@@ -40,13 +43,33 @@ def byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(hidden)}}
 
 
+class Pieces(dict):
+    """Token ids by piece, made on demand; frequent pieces survive when rare ones go, as only a generation of unused ones is dropped."""
+
+    def __init__(self, encode, most: int):
+        super().__init__()
+        self.encode, self.most, self.before = encode, most, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.before.get(piece)
+        self[piece] = ids = self.encode(piece) if ids is None else ids
+        return ids
+
+    def age(self) -> None:
+        """Between texts: a full generation becomes the earlier one."""
+        if len(self) > self.most:
+            self.before = dict(self)
+            self.clear()
+
+
 class WordTokens:
-    """Token ids of whole texts, put together from the ids of their white-space separated words.
+    """Token ids of whole texts, put together from the ids of the pieces that the tokenizer cuts a text into.
 
-    The tokenizer never joins characters across white space, so a word has the
-    same ids wherever it stands; frequent words are tokenized once. It lower-cases
-    and keeps a last full stop or comma apart, so words that differ in these share
-    their ids. Texts with separators that Python alone takes for white space, or
+    A piece has the same ids wherever it stands. Texts of Latin-1 characters are
+    put in lower case and cut by the tokenizer's own rule, so that only letter
+    runs, digits and punctuation runs are remembered. In other texts the words
+    between white space are the pieces, as the tokenizer never joins characters
+    across it. Texts with separators that Python alone takes for white space, or
     with one of the tokenizer's special tokens, are encoded whole.
     """
 
@@ -55,48 +78,29 @@ class WordTokens:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a worker per core
         self.tokenizer = Tokenizer.from_file(path)
-        # In lower case, as words are put together in lower case.
+        # In lower case, as pieces are put together in lower case.
         self.special = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.letters = self.tokenizer.model, byte_letters()
-        self.known: dict[str, bytes] = {}
+        self.known = Pieces(self.merged, PIECES_KEPT)
+        self.words = Pieces(self.whole, PIECES_KEPT // 4)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def merged(self, piece: str) -> bytes:
+        """One piece to the splitter: straight to the merges."""
+        found = self.model.tokenize(piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(self.letters))
+        return pack(f"<{len(found)}I", *[p.id for p in found])
+
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
         low = text.lower()
         if any(c in text for c in ODD_SPACE) or any(s in low for s in self.special):
             return self.whole(text)
-        words, known = text.split(), self.known
-        new = [w for w in set(words) if w not in known]
-        if new:
-            if len(known) > WORDS_KEPT:
-                known.clear()
-                new = set(words)
-            parts = {w: self.parts(w) for w in new}
-            bare = [w for w in {p for ps in parts.values() for p in ps} if w not in known]
-            rest = []
-            for w in bare:
-                if w.isalpha() and max(w) <= LATIN:  # one piece to the splitter: straight to the merges
-                    pieces = self.model.tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(self.letters))
-                    known[w] = pack(f"<{len(pieces)}I", *[p.id for p in pieces])
-                else:
-                    rest.append(w)
-            for w, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-                known[w] = pack(f"<{len(e.ids)}I", *e.ids)
-            for w, ps in parts.items():
-                known[w] = b"".join(map(known.__getitem__, ps))
-        return b"".join(map(known.__getitem__, words))
-
-    @staticmethod
-    def parts(word: str) -> tuple[str, ...]:
-        """A word as parts with the same ids, in lower case where that and the composed form are beyond doubt."""
-        if max(word) > LATIN:
-            return (word,)
-        if word[-1] in ".," and word[-2:-1].isalnum():
-            return word[:-1].lower(), word[-1]
-        return (word.lower(),)
+        latin = text.isascii() or max(text) <= LATIN
+        known = self.known if latin else self.words
+        known.age()
+        return b"".join(map(known.__getitem__, PIECE.findall(low) if latin else text.split()))
 
 
 class Tightest:
