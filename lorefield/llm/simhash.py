@@ -143,6 +143,10 @@ SIMILAR = 0.8
 WORDS = 5
 #: Members up to which all pairs of a posting list are compared at once.
 SHORT = 16
+#: Holders of a shingle that are one block of its list.
+LIST = 512
+#: Prefix shingles up to which an entry carries its whole prefix; pairs of longer ones may be found in several lists.
+CARRIED = 128
 
 
 def sampled_bytes(hashes: np.ndarray, factors: np.ndarray, block: int = 1 << 13) -> bytes:
@@ -235,6 +239,37 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(both >= similar * (every - both)).select("a", "b")
 
 
+def _list_pairs(rows: dict, similar: float, slack: float) -> Iterator[tuple[int, int]]:
+    """Pairs of places in a posting list whose sets can be ``similar`` and that first meet in this list.
+
+    ``rows`` has arrays ``key, root, n, before, first, block`` and lists
+    ``prefix``. Block by block of 256 rows, nothing but the pairs found is kept.
+    """
+    order = np.lexsort((rows["key"], rows["n"]))
+    key, root, n, before, first, block = (rows[c][order] for c in ("key", "root", "n", "before", "first", "block"))
+    left, split = n - before, block.min() != block.max()
+    earlier: dict[int, frozenset | None] = {}
+
+    def before_here(i):
+        # The shingles of the prefix that come before this list's; None where the prefix was too long to carry.
+        if i not in earlier:
+            prefix = rows["prefix"][order[i]]
+            earlier[i] = None if prefix is None else frozenset(prefix[:before[i] - rows["alone"][order[i]]])
+        return earlier[i]
+
+    for at in range(0, len(key), 256):
+        a = slice(at, at + 256)
+        shorter = np.arange(len(key))[a, None]
+        ok = (first[a, None] & (root[a, None] != root) & (np.arange(len(key)) > shorter) & (n[a, None] + slack >= similar * n)
+              & (np.minimum(left[a, None], left) * (1 + similar) + slack >= similar * (n[a, None] + n)))
+        if split:  # pairs within a block are found where the block meets itself
+            ok &= block[a, None] != block
+        for i, j in zip(*(x.tolist() for x in np.nonzero(ok))):
+            one, other = before_here(at + i), before_here(j)
+            if one is None or other is None or one.isdisjoint(other):
+                yield order[at + i], order[j]
+
+
 def _prefix_pairs(sets: DataFrame, roots: DataFrame, similar: float) -> DataFrame:
     """Pairs ``(a, b)`` of ``sets(key, shingles)`` with different ``roots(key, root)``: every pair that can be ``similar``.
 
@@ -242,31 +277,50 @@ def _prefix_pairs(sets: DataFrame, roots: DataFrame, similar: float) -> DataFram
     Two sets that are similar share a shingle among the first ``n - ceil(2 s n / (1 + s)) + 1``
     of the shorter one's n and the first ``n - ceil(s n) + 1`` of the longer
     one's, and as many must follow the first shared one as the similarity asks
-    for. A passage that a whole family holds comes last and makes no pairs
-    below the similarity if the sets are of like size. Shingles meet by pairs of
-    groups, so members that are already connected are not paired.
+    for. The holders of a shingle are compared in numpy blocks, and only pairs
+    that pass these tests, that are not connected yet and that meet in no earlier
+    list leave the task. Long lists are cut into blocks by hash, and every pair
+    of blocks is a group of its own.
     """
     # A small allowance, so that no rounding shortens a prefix.
     slack = 1e-9
     held = sets.select("key", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     spread = stored(held.groupBy("shingle").agg(F.count("*").alias("holders")).where("holders > 1"), "holders")
+    n, before = F.col("n"), F.col("alone") + F.col("place")
     # Shingles of a single set find no partner; they only hold places in front.
-    placed = (held.join(spread, "shingle").groupBy("key", "n")
-              .agg(F.array_sort(F.collect_list(F.struct("holders", "shingle"))).alias("order"))
-              .select("key", "n", (F.col("n") - F.size("order")).alias("alone"), F.posexplode("order").alias("place", "s"))
-              .select("key", "n", (F.col("alone") + F.col("place")).alias("before"), F.col("s.shingle").alias("shingle")))
-    n = F.col("n")
-    entries = stored(placed.where(F.col("before") <= n - F.ceil(similar * n - slack)).join(roots, "key"), "prefixes")
-    first = F.col("before") <= n - F.ceil(2 * similar / (1 + similar) * n - slack)
-    shorter, longer = (e.select("shingle", *[F.col(c).alias(f"{c}_{k}") for c in ("root", "key", "n", "before")])
-                       for e, k in ((entries.where(first), "s"), (entries, "l")))
-    meet = (shorter.select("shingle", "root_s").distinct().join(longer.select("shingle", "root_l").distinct(), "shingle")
-            .where("root_s != root_l"))
-    left = [F.col(f"n_{k}") - F.col(f"before_{k}") for k in "sl"]
-    possible = ((F.struct("n_s", "key_s") < F.struct("n_l", "key_l")) & (F.col("n_s") + slack >= similar * F.col("n_l"))
-                & (F.least(*left) * (1 + similar) + slack >= similar * (F.col("n_s") + F.col("n_l"))))
-    return (meet.join(shorter, ["shingle", "root_s"]).join(longer, ["shingle", "root_l"]).where(possible)
-            .select(F.least("key_s", "key_l").alias("a"), F.greatest("key_s", "key_l").alias("b")).distinct())
+    ordered = (held.join(spread, "shingle").groupBy("key", "n")
+               .agg(F.array_sort(F.collect_list(F.struct("holders", "shingle"))).alias("order"))
+               .withColumn("alone", n - F.size("order"))
+               .withColumn("prefix", F.slice(F.transform("order", lambda s: s["shingle"]), 1, F.greatest(
+                   (n - F.ceil(similar * n - slack) - F.col("alone") + 1).cast("int"), F.lit(0))))
+               .join(roots, "key"))
+    entries = stored(ordered.select("key", "root", "n", "alone", F.when(F.size("prefix") <= CARRIED, F.col("prefix")).alias("carried"),
+                                    F.posexplode("prefix").alias("place", "shingle"))
+                     .select("key", "root", "n", "alone", "carried", "shingle", before.alias("before"),
+                             (before <= n - F.ceil(2 * similar / (1 + similar) * n - slack)).alias("first")), "prefixes")
+    lists = (entries.groupBy("shingle").agg(F.count("*").alias("holders"), F.min("root").alias("low"), F.max("root").alias("high"), F.max("first").alias("led"))
+             .where("low < high and led").select("shingle", F.ceil(F.col("holders") / LIST).cast("int").alias("blocks")))
+    mine = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    dealt = entries.join(lists, "shingle").withColumn("block", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    fields = ["key", "root", "n", "alone", "before", "first", "block", "carried"]
+    groups = (dealt.groupBy("shingle", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
+              .agg(F.collect_list(F.struct(*fields)).alias("rows")).where("size(rows) > 1").select("rows"))
+
+    def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = b.column(0)
+            flat = dict(zip(fields, rows.flatten().flatten()))
+            carried = flat.pop("carried").to_pylist()
+            flat = {c: v.to_numpy(zero_copy_only=False) for c, v in flat.items()}
+            ends = np.cumsum([0, *rows.value_lengths().to_pylist()])
+            pairs = []
+            for x, y in zip(ends[:-1].tolist(), ends[1:].tolist()):
+                part = {c: v[x:y] for c, v in flat.items()} | {"prefix": carried[x:y]}
+                pairs += [(part["key"][i], part["key"][j]) for i, j in _list_pairs(part, similar, slack)]
+            out = np.sort(np.array(pairs, np.int64).reshape(-1, 2), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1])], names=["a", "b"])
+
+    return groups.mapInArrow(paired, "a bigint, b bigint").distinct()
 
 
 def similar_links(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) -> DataFrame:
