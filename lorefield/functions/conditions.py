@@ -19,7 +19,8 @@ _FLOAT = (r"^[+-]?(?:(?:\d++(?:_\d++)*+\.?(?:\d++(?:_\d++)*+)?|\.\d++(?:_\d++)*+
           r"(?:e[+-]?\d++(?:_\d++)*+)?|inf|infinity|nan)$")
 
 
-def _number(text: Column) -> Column:
+def number_value(text: Column) -> Column:
+    """The number that lower-case text stands for, else null."""
     bare = strip(text)
     return F.when(bare.rlike(_FLOAT), F.replace(bare, F.lit("_"), F.lit("")).try_cast("double"))
 
@@ -57,7 +58,7 @@ def condition_column(condition: Mapping, field: Callable[[str], Column]) -> Colu
             right = float(value)
         except ValueError:
             right = None
-        held = _compare_numbers(op, _number(text), right)
+        held = _compare_numbers(op, number_value(text), right)
     else:
         held = {
             "contains": text.contains(value),

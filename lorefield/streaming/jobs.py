@@ -6,7 +6,8 @@ batch that is replayed after a failure replaces its output instead of doubling i
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,6 +17,9 @@ from lorefield.operators.collections import to_collection, with_ids
 from lorefield.operators.generation import Model
 from lorefield.plans.ingest import ingest_rows
 
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def write_batches(stream: DataFrame, build: Callable[[DataFrame, int], dict[str, DataFrame]], checkpoint: str,
                   available_now: bool = True) -> StreamingQuery:
@@ -51,38 +55,58 @@ def incremental_chunks(files: DataFrame, out: str, log: str, checkpoint: str, av
     return write_batches(files, build, checkpoint, available_now)
 
 
+@contextmanager
+def _rocksdb(spark) -> Iterator[None]:
+    """State of streams started here lives on the executors' disks, not in their heaps; a stream takes its settings at its start."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+
+
+def first_arrivals(rows: DataFrame, key: str = "id", event_time: str | None = None, keep_for: str | None = None) -> DataFrame:
+    """The rows of a stream whose key has not arrived before; one null key counts like any other.
+
+    Keys seen are the stream's state, kept by hash of the key: a micro-batch
+    looks up and adds its own keys, whatever has arrived before. With
+    ``event_time`` and ``keep_for`` (such as ``'7 days'``) a key is forgotten
+    that long after it arrived, so the state does not grow for ever.
+    """
+    if (event_time is None) != (keep_for is None):
+        raise ValueError("event_time and keep_for belong together")
+    # Told apart as text, as collections hold ids.
+    keyed = rows.withColumn("_key", F.col(key).cast("string"))
+    if event_time is None:
+        return keyed.dropDuplicates(["_key"]).drop("_key")
+    return keyed.withWatermark(event_time, keep_for).dropDuplicatesWithinWatermark(["_key"]).drop("_key")
+
+
 def streaming_ingest(rows: DataFrame, out: str, checkpoint: str, embedding_template: str | None = None,
                      document_template: str | None = None, encoder: Model | None = None, source_file: str = "",
-                     available_now: bool = True, **options) -> StreamingQuery:
+                     available_now: bool = True, event_time: str | None = None, keep_for: str | None = None, **options) -> StreamingQuery:
     """Append arriving rows to a collection folder.
 
     Rows with templates are rendered and embedded; without, they must carry a
     vector. A repeated id is stored once, whether its copies arrive in one batch
-    or in several: each batch leaves out the ids of earlier batches, of which it
-    reads the id column only. Rows without an id all stay; their derived ids hold
-    the number of the batch.
+    or in several: the ids seen are state of the stream (see ``first_arrivals``),
+    so a batch costs what it brings, and a batch that is replayed after a failure
+    starts from the state before it. Rows without an id column all stay; their
+    derived ids hold the number of the batch.
     """
     given = "id" in rows.columns
+    fresh = first_arrivals(rows, "id", event_time, keep_for) if given else rows
 
     def build(batch: DataFrame, batch_id: int) -> dict[str, DataFrame]:
         salt = "" if given else f"{batch_id}:"
-        if given:
-            batch = batch.dropDuplicates(["id"])
-            earlier = stored_ids(batch.sparkSession, batch_id)
-            if earlier is not None:
-                batch = batch.join(earlier, batch["id"].cast("string") == earlier["_stored"], "left_anti")
         made = (to_collection(with_ids(batch, salt)) if embedding_template is None else
                 ingest_rows(batch, embedding_template, document_template or embedding_template, encoder,
                             source_file, id_salt=salt, **options))
         return {out: made}
 
-    def stored_ids(spark, batch_id: int) -> DataFrame | None:
-        if batch_id == 0:
-            return None
-        kept = spark.read.schema("id string, batch long").parquet(out)
-        return kept.where(F.col("batch") < batch_id).select(F.col("id").alias("_stored"))
-
-    return write_batches(rows, build, checkpoint, available_now)
+    with _rocksdb(rows.sparkSession):
+        return write_batches(fresh, build, checkpoint, available_now)
 
 
 def log_state(events: DataFrame, log: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from lorefield.functions.conditions import metadata_filter
 from lorefield.operators import collections as C
+from lorefield.operators.shredded import shred, shredded_filter, unshred
 from lorefield.session import scratch_path
-from lorefield.sources import collections as store
+from lorefield.sources import bucketed, collections as store
 from lorefield.sources import tables
 from workload.base import doc_collection, documents, embeddings, load, query
 
@@ -77,6 +78,14 @@ def _(spark, d):
     return metadata_filter(doc_collection(spark, d), FILTER).select("id")
 
 
+@query("metadata_filter_shredded", "SELECT doc_id::VARCHAR AS id, lang, source FROM documents WHERE lang = 'de' OR source LIKE '%7' OR n_chars > 9000")
+def _(spark, d):
+    path = scratch_path(spark, "shredded")
+    shred(doc_collection(spark, d), ["lang", "n_chars", "source"]).write.parquet(path)
+    meta = F.col("metadata")
+    return unshred(shredded_filter(spark.read.parquet(path), FILTER)).select("id", meta["lang"].alias("lang"), meta["source"].alias("source"))
+
+
 @query("metadata_filter_columns", "SELECT doc_id FROM documents WHERE lang = 'de' OR source LIKE '%7' OR n_chars > 9000")
 def _(spark, d):
     return metadata_filter(documents(spark, d), FILTER, metadata=None).select("doc_id")
@@ -111,6 +120,29 @@ def _(spark, d):
     return C.delete_rows(doc_collection(spark, d), gone).select("id")
 
 
+def _bucketed(spark, d):
+    path = scratch_path(spark, "bucketed")
+    bucketed.write_buckets(doc_collection(spark, d), path, 16)
+    return path
+
+
+@query("update_buckets", """SELECT d.doc_id::VARCHAR AS id, CASE WHEN quality = 0 AND toxic = 1 THEN 'toxic '||lang ELSE text END AS document, lang
+ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
+def _(spark, d):
+    path = _bucketed(spark, d)
+    langs = documents(spark, d).select("doc_id", "lang")
+    bucketed.update_buckets(spark, path, load(spark, d, "labels").where("quality = 0 AND toxic = 1").join(langs, "doc_id").select(
+        F.col("doc_id").cast("string").alias("id"), F.concat(F.lit("toxic "), "lang").alias("document")))
+    return bucketed.open_buckets(spark, path).select("id", "document", F.col("metadata")["lang"].alias("lang"))
+
+
+@query("delete_buckets", "SELECT doc_id::VARCHAR AS id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)")
+def _(spark, d):
+    path = _bucketed(spark, d)
+    bucketed.delete_from_buckets(spark, path, load(spark, d, "labels").where("toxic = 1").select(F.col("doc_id").cast("string").alias("id")))
+    return bucketed.open_buckets(spark, path).select("id")
+
+
 @query("collection_stats", "SELECT 'vectors' AS name, count(*) AS row_count, max(len(embedding))::INTEGER AS dimension, count(DISTINCT len(embedding)) AS n_dimensions FROM embeddings")
 def _(spark, d):
     return C.collection_stats(embeddings(spark, d), "vectors")

@@ -134,12 +134,12 @@ def _(spark, d):
 @query("retrieve_texts", HASHED.format(key="doc_id", text="text", table="documents") +
        ", " + HASHED.format(key="item_id", text="text", table="benchmark")[5:].replace("w AS", "qw AS").replace("b AS", "qb AS").replace("e AS", "qe AS").replace("FROM w ", "FROM qw ").replace("FROM b)", "FROM qb)") +
        """, s AS (SELECT item_id AS query_id, doc_id::VARCHAR AS id, sum(e.value * qe.value) AS score FROM e JOIN qe ON e.bucket = qe.bucket GROUP BY 1, 2)
- SELECT query_id, round(max(score), 4) AS best FROM s GROUP BY 1""")
+, r AS (SELECT query_id, id, score, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id)::INTEGER AS rank FROM s)
+ SELECT query_id, rank, id, round(score, 4) + 0.0 AS score FROM r WHERE rank <= 5""")
 def _(spark, d):
     c = ingest_rows(texts(spark, d).withColumn("id", F.col("doc_id").cast("string")), "{text}", "{text}", HashingEncoder(DIM), "documents.parquet")
     queries = G.embed_texts(load(spark, d, "benchmark"), "text", HashingEncoder(DIM)).withColumnRenamed("item_id", "query_id")
-    hits = retrieve(c, queries, 5)
-    return hits.where("rank = 1").select("query_id", F.round("score", 4).alias("best"))
+    return retrieve(c, queries, 5).select("query_id", "rank", "id", (F.round("score", 4) + F.lit(0.0)).alias("score"))
 
 
 @query("corpus_to_qa")

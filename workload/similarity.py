@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lorefield.functions.vectors import cosine, l2_normalize, norm
-from lorefield.operators import evaluation, kept, masks, search, similarity
+from lorefield.operators import evaluation, kept, masks, pruned, search, similarity
 from lorefield.operators.collections import order_id
 from lorefield.session import scratch_path
 from lorefield.sources import matrices
@@ -106,6 +106,12 @@ TOPK = """, rx AS (SELECT *, row_number() OVER (PARTITION BY y_id ORDER BY {0} D
  row_number() OVER (PARTITION BY x_id ORDER BY {0} DESC, y_id) AS rnk_y FROM p)"""
 
 
+@query("threshold_mask_pruned", PAIRS + "SELECT y_id, x_id, round(a, 6) + 0.0 AS sim FROM p WHERE a BETWEEN 0.2 AND 0.9")
+def _(spark, d):
+    e = embeddings(spark, d)
+    return rounded(pruned.cells_within(pruned.build_index(e), e, 0.2, 0.9), "sim")
+
+
 @query("topk_mask_x", PAIRS + TOPK.format("a") + "SELECT y_id, x_id, round(a, 6) + 0.0 AS sim FROM rx WHERE rnk_x <= 5")
 def _(spark, d):
     return rounded(kept.kept_cells(*side_a(spark, d), k=5), "sim")
@@ -220,6 +226,14 @@ def _(spark, d):
     return rounded(search.vector_search(e, e.withColumnRenamed("id", "query_id"), 10), "score")
 
 
+@query("vector_search_pruned", PAIRS + """, r AS (SELECT y_id AS query_id, x_id AS id, s AS score,
+ row_number() OVER (PARTITION BY y_id ORDER BY s DESC, x_id)::INTEGER AS rank FROM p)
+ SELECT query_id, id, round(score, 6) + 0.0 AS score, rank FROM r WHERE rank <= 10""")
+def _(spark, d):
+    e = embeddings(spark, d)
+    return rounded(pruned.search_index(pruned.build_index(e), e.withColumnRenamed("id", "query_id"), 10), "score")
+
+
 @query("score_threshold", PAIRS + "SELECT y_id, x_id, round(s, 6) + 0.0 AS score FROM p WHERE s >= 0.25")
 def _(spark, d):
     e = embeddings(spark, d)

@@ -228,11 +228,15 @@ def _(spark, d):
     return files.groupBy(part("source"), part("lang")).agg(F.sum(F.length("text")).cast("bigint").alias("n_chars"))
 
 
-@query("admit_files", "SELECT count(*) AS n_files FROM (SELECT DISTINCT source FROM documents)")
+@query("admit_files", """SELECT source, lang, sum(octet_length(encode(coalesce(text, ''))) + 1)::BIGINT AS length FROM documents GROUP BY 1, 2
+ HAVING sum(octet_length(encode(coalesce(text, ''))) + 1) <= 30000""")
 def _(spark, d):
-    path = scratch_path(spark, "uploads")
-    documents(spark, d).select("source", "doc_id").repartition("source").write.partitionBy("source").csv(path)
-    return corpus.admit_files(spark, path).agg(F.count_distinct(F.regexp_extract("path", "source=([^/]*)/", 1)).alias("n_files"))
+    path, both = scratch_path(spark, "uploads"), documents(spark, d).repartition("source", "lang")
+    both.select("source", "lang", "text").write.partitionBy("source", "lang").text(path)
+    both.select("source", "lang", "doc_id").write.mode("append").partitionBy("source", "lang").json(path)
+    files = corpus.admit_files(spark, path, suffixes=(".txt", ".csv"), max_bytes=30_000)
+    part = lambda name: F.regexp_extract("path", f"{name}=([^/]*)/", 1).alias(name)
+    return files.select(part("source"), part("lang"), "length")
 
 
 def _nested(inner: str, *steps: tuple[str, str, str]) -> str:
