@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lorefield.functions.answers import extract_answer, parse_judgement, parse_qa
 from lorefield.functions.strings import as_column
 from lorefield.functions.templates import render_prompt
+from lorefield.operators.remembered import answer_once, embed_once
 
 Model = Callable[[list[str]], Sequence]
 
@@ -64,7 +65,11 @@ def embed(col: Column | str, encoder: Model | None = None, batch: int = 20,
     return vectors.asNondeterministic()(as_column(col))
 
 
-def embed_texts(df: DataFrame, col: str, encoder: Model | None = None, out: str = "embedding", **options) -> DataFrame:
+def embed_texts(df: DataFrame, col: str, encoder: Model | None = None, out: str = "embedding", store: str | None = None,
+                **options) -> DataFrame:
+    """``df`` with vectors; with a ``store``, equal texts are encoded once, over runs too (see ``embed_once``)."""
+    if store is not None:
+        return embed_once(df, col, lambda texts, text: texts.withColumn("embedding", embed(text, encoder, **options)), store, out)
     return df.withColumn(out, embed(col, encoder, **options))
 
 
@@ -92,7 +97,7 @@ def _attempt_list(fn: Model, prompts: list[str], retries: int, delay: float, bac
 
 
 def call_model(df: DataFrame, prompt: str, fn: Model, out: str = "response", rounds: int = 1, retries: int = 0,
-               delay: float = 0.0, backoff: float = 2.0, workers: int = 1, batch: int = BATCH) -> DataFrame:
+               delay: float = 0.0, backoff: float = 2.0, workers: int = 1, batch: int = BATCH, store: str | None = None) -> DataFrame:
     """Add the model's responses to each row, never dropping one.
 
     ``out`` is ``array<struct<response, error, calls>>`` with one entry per round:
@@ -100,8 +105,16 @@ def call_model(df: DataFrame, prompt: str, fn: Model, out: str = "response", rou
     gets lists of ``batch`` prompts; the prompts of a list that fails are asked
     one by one, with their own retries. Rows run in parallel by partition, and
     ``workers`` lists of a partition at a time, which pays when the model is a
-    remote endpoint.
+    remote endpoint. With a ``store`` every distinct prompt is asked once, answers
+    outlast a failed job, and a restart asks only for what is missing (see
+    ``remembered``); errors count as answers.
     """
+    if store is not None:
+        def ask_rounds(prompts: list[str]) -> list[list[dict]]:
+            answers = [_attempt_list(fn, prompts, retries, delay, backoff) for _ in range(rounds)]
+            return [[dict(zip(("response", "error", "calls"), t)) for t in row] for row in zip(*answers)]
+
+        return answer_once(df, prompt, ask_rounds, store, out, rounds, batch, workers)
     entry = "array<struct<response:string,error:string,calls:int>>"
 
     @F.pandas_udf(entry)
@@ -129,9 +142,9 @@ def best_of_responses(responses: Column | str) -> Column:
 
 
 def generate(df: DataFrame, prompt: str, fn: Model, rounds: int = 3, retries: int = 3, delay: float = 5.0,
-             backoff: float = 2.0, workers: int = 1, batch: int = BATCH) -> DataFrame:
+             backoff: float = 2.0, workers: int = 1, batch: int = BATCH, store: str | None = None) -> DataFrame:
     """Question and answer per row from ``rounds`` generations, with call counters."""
-    asked = call_model(df, prompt, fn, "_responses", rounds, retries, delay, backoff, workers, batch)
+    asked = call_model(df, prompt, fn, "_responses", rounds, retries, delay, backoff, workers, batch, store)
     counted = F.aggregate("_responses", F.lit(0), lambda n, r: n + r["calls"])
     return (asked.withColumn("_best", best_of_responses("_responses"))
             .select(*df.columns, F.col("_best.question").alias("question"), F.col("_best.answer").alias("answer"),
@@ -150,7 +163,7 @@ def best_of_rounds(rounds: DataFrame, *keys: str, response: str = "response", nu
 
 
 def run_model_test(dataset: DataFrame, fn: Callable[[list[dict]], Sequence[str]], model_name: str,
-                   retries: int = 2, delay: float = 1.0, workers: int = 1, batch: int = BATCH) -> DataFrame:
+                   retries: int = 2, delay: float = 1.0, workers: int = 1, batch: int = BATCH, store: str | None = None) -> DataFrame:
     """Run a dataset through a model: + ``model_output, workflow_name, timestamp``.
 
     The dataset needs ``input``; ``fn`` gets dicts ``{query, inputs}`` and returns
@@ -169,7 +182,7 @@ def run_model_test(dataset: DataFrame, fn: Callable[[list[dict]], Sequence[str]]
             d["inputs"] = json.loads(d["inputs"])
         return list(fn(decoded))
 
-    called = call_model(dataset.withColumn("_request", request), "_request", ask, "_r", 1, retries, delay, 1.0, workers, batch)
+    called = call_model(dataset.withColumn("_request", request), "_request", ask, "_r", 1, retries, delay, 1.0, workers, batch, store)
     one = F.get("_r", F.lit(0))
     output = F.when(one["error"].isNotNull(), F.concat(F.lit(TEST_FAILED), one["error"])).otherwise(
         extract_answer(one["response"]))
@@ -178,7 +191,7 @@ def run_model_test(dataset: DataFrame, fn: Callable[[list[dict]], Sequence[str]]
 
 
 def judge(results: DataFrame, rule: Mapping, fn: Model, retries: int = 0, delay: float = 1.0,
-          workers: int = 1, batch: int = BATCH) -> DataFrame:
+          workers: int = 1, batch: int = BATCH, store: str | None = None) -> DataFrame:
     """Score model outputs with a rule: + ``evaluation_score, _reason, _rule, _timestamp``.
 
     ``rule`` is ``{evaluation_rule: {name, prompt: {role: {description}}}}``.
@@ -187,7 +200,7 @@ def judge(results: DataFrame, rule: Mapping, fn: Model, retries: int = 0, delay:
     if body is None or "prompt" not in body:
         raise ValueError("the rule lacks 'evaluation_rule' or its 'prompt'")
     asked = results.withColumn("_prompt", render_prompt(results, body["prompt"]["role"]["description"]))
-    called = call_model(asked, "_prompt", fn, "_r", 1, retries, delay, workers=workers, batch=batch)
+    called = call_model(asked, "_prompt", fn, "_r", 1, retries, delay, workers=workers, batch=batch, store=store)
     one = F.get("_r", F.lit(0))
     failed = F.struct(F.lit(0.0).alias("score"), F.concat(F.lit(JUDGE_FAILED), one["error"]).alias("reason"))
     verdict = F.when(one["error"].isNotNull(), failed).otherwise(parse_judgement(one["response"]))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lorefield.functions.templates import check_template, render_template
 from lorefield.operators.collections import to_collection, with_ids
-from lorefield.operators.generation import Model, embed
+from lorefield.operators.generation import Model, embed, embed_texts
 from lorefield.sources.collections import append_collection
 
 
@@ -14,7 +14,8 @@ def ingest_rows(df: DataFrame, embedding_template: str, document_template: str,
                 source_file: str, id_salt: str = "", **options) -> DataFrame:
     """Collection rows of a table: rendered texts, vectors, metadata, source and time.
 
-    Templates are checked against the columns before any job runs.
+    Templates are checked against the columns before any job runs. With the
+    option ``store`` equal rendered texts are encoded once, over runs too.
     """
     for template in (embedding_template, document_template):
         check_template(template, df.columns)
@@ -22,7 +23,7 @@ def ingest_rows(df: DataFrame, embedding_template: str, document_template: str,
     df = with_ids(df, id_salt)
     texts = df.withColumn("_embed", render_template(df, embedding_template)).withColumn(
         "document", render_template(df, document_template))
-    rows = (texts.withColumn("embedding", embed("_embed", encoder, **options)).drop("_embed")
+    rows = (embed_texts(texts, "_embed", encoder, **options).drop("_embed")
             .withColumn("source_file", F.lit(source_file))
             .withColumn("upload_time", F.unix_micros(F.current_timestamp()) / 1e6))
     return to_collection(rows)

@@ -30,6 +30,20 @@ def _(spark, d):
     return cells.select("doc_id", "bucket", F.round(F.col("v").cast("double"), 4).alias("value"))
 
 
+# The second run over the store encodes nothing: its encoder cannot.
+@query("embed_texts_stored", HASHED.format(key="doc_id", text="text", table="documents") + " SELECT doc_id, bucket, round(value::FLOAT::DOUBLE, 4) AS value FROM e")
+def _(spark, d):
+    rows, store = texts(spark, d).select("doc_id", "text"), scratch_path(spark, "vectors")
+    G.embed_texts(rows, "text", HashingEncoder(DIM), store=store)
+    out = G.embed_texts(rows, "text", no_model, store=store)
+    cells = out.select("doc_id", F.posexplode("embedding").alias("bucket", "v")).where("v > 0")
+    return cells.select("doc_id", "bucket", F.round(F.col("v").cast("double"), 4).alias("value"))
+
+
+def no_model(texts):
+    raise RuntimeError("asked again")
+
+
 def pair_model(texts):
     """Two sentences as a pair; a text with a marked length gets no pair."""
     return [f"- question: What is {len(t)}?\n- answer: {t.strip()[:40]} and so on" if len(t) % 5 else "no idea" for t in texts]
@@ -42,6 +56,15 @@ def _(spark, d):
     return out.select("conv_id", "turn", "question", "calls", "retries")
 
 
+@query("generate_stored", """SELECT conv_id, turn, CASE WHEN length(text) % 5 <> 0 THEN 'What is '||length(text)||'?' ELSE '' END AS question,
+ 2 AS calls, 0 AS retries FROM conversations""")
+def _(spark, d):
+    rows, store = load(spark, d, "conversations"), scratch_path(spark, "answers")
+    G.generate(rows.where("turn % 2 = 0"), "text", pair_model, rounds=2, delay=0.0, store=store)
+    out = G.generate(rows, "text", pair_model, rounds=2, delay=0.0, store=store)
+    return out.select("conv_id", "turn", "question", "calls", "retries")
+
+
 @query("best_of_rounds", """WITH r AS (SELECT conv_id, turn AS round, CASE WHEN turn % 4 < 3 THEN 'Why '||turn||'?' END AS q, trim(regexp_replace(text, '[^A-Za-z .,]', ' ', 'g')) AS a FROM conversations)
  SELECT conv_id, coalesce(arg_max(q, (length(q) + length(a)) * 1000 - round) FILTER (q IS NOT NULL), '') AS question,
  coalesce(arg_max(a, (length(q) + length(a)) * 1000 - round) FILTER (q IS NOT NULL), '') AS answer FROM r GROUP BY conv_id""")
