@@ -6,10 +6,15 @@ or to the sink (boilerplate). Neighbouring blocks and blocks that are close in
 the document tree are tied by smoothness edges. The minimum cut labels all
 blocks together: a short paragraph stays with the article around it, a lone
 sentence in a menu goes with the menu.
+
+What an element's name says is a feature and no verdict. The nearest telling
+element counts, and one that sounds like boilerplate but holds the page's main
+prose, such as a form around the whole page or a layout named after its
+sidebar, says nothing.
 """
 
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html import unescape
@@ -25,7 +30,7 @@ TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<({SILENT})\b(?:[^>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)(?:>|(?=<)|\Z)|<[!?/][^>]*(?:>|\Z)|[^<]+|<", re.I | re.S)
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-WORDS = re.compile(r"[a-z]+")
+PARTS = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -44,41 +49,80 @@ breadcrumb breadcrumbs footer comment comments disqus reply replies respond cook
 modal overlay newsletter subscribe signup login search share sharing social related recommended widget pagination pager toolbar
 copyright legal form hidden skip""".split())
 AWAY_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
+#: First parts of a name after which the rest tells how the page looks and not what the element is.
+LAYOUT = frozenset("no with without has is show hide not page layout".split())
 
 #: The classifier's weights, and the weights of the smoothness edges; one unit is one natural log-odds.
-WEIGHTS = {"bias": -0.4, "main": 4.0, "away": -12.0, "outer": -6.0, "length": 0.9, "links": -4.0, "sentence": 0.8, "heading": 0.8,
+WEIGHTS = {"bias": -0.4, "main": 4.0, "away": -7.5, "outer": -6.0, "hint": -1.5, "length": 0.9, "links": -4.0, "sentence": 0.8, "heading": 0.8,
            "paragraph": 0.8}
+#: Blocks of as many words with as little of them in links are prose.
+PROSE_WORDS, PROSE_LINKS = 8, 0.35
+#: A name is void on an element with this share of the greatest main element's prose, or of all prose where no element is called main.
+MAIN_SHARE, PAGE_SHARE = 0.5, 0.8
 ADJACENT, SIBLING, COUSIN = 0.5, 1.0, 0.3
 UNIT = 1000
 
 
 @dataclass
 class Block:
-    """Text of a block, characters of it in links, its element and the elements around it."""
+    """Text of a block, characters of it in links, the three elements next around it, and the nearest telling element."""
 
     text: str
     linked: int
     path: tuple
-    marks: frozenset
+    mark: int
+    context: str = ""
+
+
+@dataclass
+class Mark:
+    """An element whose tag or name tells something: ``main``, ``away``, ``outer`` or ``hint``; and the telling element around it."""
 
+    kind: str
+    around: int
+    prose: int = 0
+    best: int = 0  # most prose of a main element in it, itself included
 
-def _marks(tag: str, attributes: str, inside_main: bool) -> set:
-    """What an element says about its content: ``main``, ``away`` or ``outer``."""
-    words = [w for v in NAMES.findall(attributes) for w in WORDS.findall(v.lower())] if "=" in attributes else []
-    found = set()
-    if tag in AWAY_TAGS or any(w in AWAY for w in words) and tag not in ("body", "html", "article", "main"):
-        found.add("away")
-    if tag in ("article", "main") or tag in ("div", "section", "td") and any(w in MAIN for w in words):
-        found.add("main")
-    if not inside_main and (tag == "header" or any(w in OUTER for w in words)):
-        found.add("outer")
-    return found
 
+def _kind(tag: str, attributes: str) -> str:
+    """What an element says about its content.
 
-def blocks(html: str) -> list[Block]:
-    """Blocks in page order; block elements part them, inline ones and line breaks do not."""
+    A name is one of the known words as a whole or in its last part
+    (``site-footer``); a first part (``related-work``) is only a hint.
+    """
+    whole = hinted = main = outer = False
+    if tag not in ("body", "html") and "=" in attributes:
+        for v in NAMES.findall(attributes):
+            for name in v.lower().strip("\"'").split():
+                parts = PARTS.findall(name)
+                if not parts or parts[0] in LAYOUT and len(parts) > 1:
+                    continue
+                whole = whole or parts[-1] in AWAY
+                hinted = hinted or any(w in AWAY for w in parts)
+                main = main or any(w in MAIN for w in parts)
+                outer = outer or parts[-1] in OUTER
+    if tag in AWAY_TAGS or whole:
+        return "away"
+    if hinted:
+        return "hint"
+    if tag in ("article", "main") or main and tag in ("div", "section", "td"):
+        return "main"
+    return "outer" if tag == "header" or outer else ""
+
+
+def blocks(html: str) -> tuple[list[Block], list[Mark]]:
+    """Blocks in page order; block elements part them, inline ones and line breaks do not.
+
+    Costs grow with the page, however deep or broken it is: open elements are
+    counted, so that tags without one are passed over, and elements around a
+    block are links, not copies.
+    """
     out: list[Block] = []
-    stack: list[tuple] = []  # tag, number, marks of the element and all around it
+    marks: list[Mark] = []
+    stack: list[tuple] = []  # tag, telling element
+    around: list[tuple] = []  # open block elements: tag, number
+    scopes: list[Counter] = [Counter()]  # open elements within each element of SCOPE
+    opened: Counter = Counter()
     text: list[str] = []
     linked = links = number = 0
 
@@ -87,17 +131,25 @@ def blocks(html: str) -> list[Block]:
         if text:
             whole = SPACE.sub(" ", "".join(text)).strip()
             if whole:
-                top = stack[-1][2] if stack else frozenset()
-                out.append(Block(whole, linked, tuple((s[0], s[1]) for s in stack if s[0] in BLOCK), top))
+                out.append(Block(whole, linked, tuple(around[-3:]), stack[-1][1] if stack else -1))
             text.clear()
         linked = 0
 
-    def close(k):
+    def close(tag_ended):
+        """Close the nearest open element of these tags and all in it."""
         nonlocal links
-        if any(s[0] in BLOCK for s in stack[k:]):
-            flush()
-        links -= sum(s[0] == "a" for s in stack[k:])
-        del stack[k:]
+        gone = []
+        while not gone or gone[-1] not in tag_ended:
+            gone.append(stack[-1][0])
+            if gone[-1] in BLOCK:
+                flush()
+                around.pop()
+            tag = stack.pop()[0]
+            opened[tag] -= 1
+            scopes[-1][tag] -= 1
+            if tag in SCOPE:
+                scopes.pop()
+            links -= tag == "a"
 
     for m in TOKEN.finditer(html):
         tag = m[3]
@@ -112,13 +164,10 @@ def blocks(html: str) -> list[Block]:
             continue
         tag = tag.lower()
         if m[2]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
-            else:
-                if tag in BLOCK:
-                    flush()
+            if opened[tag]:
+                close({tag})
+            elif tag in BLOCK:
+                flush()
             continue
         if tag in VOID:
             if tag == "br":
@@ -129,21 +178,60 @@ def blocks(html: str) -> list[Block]:
         if tag in BLOCK:
             flush()
             ended = CLOSES.get(tag, set()) | ({"p"} if tag in ENDS_P else set())
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in ended:
-                    close(k)
-                    break
-                if stack[k][0] in SCOPE:
-                    break
+            if any(scopes[-1][t] > 0 for t in ended):
+                close(ended)
         if m[4].rstrip().endswith("/") and tag not in BLOCK:
             continue
-        around = stack[-1][2] if stack else frozenset()
-        own = _marks(tag, m[4], "main" in around)
+        mark = stack[-1][1] if stack else -1
+        kind = _kind(tag, m[4])
+        if kind:
+            marks.append(Mark(kind, mark))
+            mark = len(marks) - 1
         number += 1
-        stack.append((tag, number, around | own if own else around))
+        stack.append((tag, mark))
+        opened[tag] += 1
+        if tag in SCOPE:
+            scopes.append(Counter())
+        scopes[-1][tag] += 1
+        if tag in BLOCK:
+            around.append((tag, number))
         links += tag == "a"
     flush()
-    return out
+    return out, marks
+
+
+def set_contexts(found: list[Block], marks: list[Mark]) -> None:
+    """Decide what the telling elements around each block amount to."""
+    total = 0
+    for b in found:
+        if b.text.count(" ") + 1 >= PROSE_WORDS and b.linked < PROSE_LINKS * len(b.text):
+            total += len(b.text)
+            if b.mark >= 0:
+                marks[b.mark].prose += len(b.text)
+    for m in reversed(marks):  # an element comes after those around it
+        if m.kind == "main":
+            m.best = max(m.best, m.prose)
+        if m.around >= 0:
+            marks[m.around].prose += m.prose
+            marks[m.around].best = max(marks[m.around].best, m.best)
+    named = any(m.kind == "main" for m in marks)
+    most = max((m.best for m in marks), default=0)
+    contexts: list[str] = []
+    for m in marks:
+        above = contexts[m.around] if m.around >= 0 else ""
+        void = most and m.best >= MAIN_SHARE * most if named else total and m.prose >= PAGE_SHARE * total
+        if above in ("away", "outer"):
+            contexts.append(above)
+        elif m.kind == "main":
+            contexts.append("main")
+        elif void and m.kind != "main" or m.kind == "outer" and above in ("main", "hint"):
+            contexts.append(above)
+        elif m.kind == "hint":
+            contexts.append("hint" if above in ("main", "hint") else "away")
+        else:
+            contexts.append(m.kind)
+    for b in found:
+        b.context = contexts[b.mark] if b.mark >= 0 else ""
 
 
 def content_score(block: Block) -> float:
@@ -155,7 +243,8 @@ def content_score(block: Block) -> float:
     score += w["sentence"] * (block.text[-1] in ".!?…")
     last = block.path[-1][0] if block.path else ""
     score += w["heading"] * (last in ("h1", "h2", "h3")) + w["paragraph"] * (last in ("p", "pre", "blockquote"))
-    return score + sum(w[m] for m in block.marks)
+    score += w["main"] * (block.context in ("main", "hint"))
+    return score + (w[block.context] if block.context in ("away", "outer", "hint") else 0)
 
 
 def smoothness(found: list[Block]) -> list[tuple[int, int, int]]:
@@ -168,7 +257,7 @@ def smoothness(found: list[Block]) -> list[tuple[int, int, int]]:
             if len(b.path) >= up:
                 parent = b.path[-up]
                 j = seen.get((up, parent))
-                if j is not None and found[j].marks == b.marks:
+                if j is not None and found[j].context == b.context:
                     edges[j, i] = edges.get((j, i), 0) + weight
                 seen[up, parent] = i
     return [(i, j, int(UNIT * w)) for (i, j), w in edges.items()]
@@ -249,7 +338,8 @@ def source_side(n: int, source: list[int], sink: list[int], edges: list[tuple[in
 
 def main_text(html: str) -> str:
     """Content blocks of a page, joined by empty lines."""
-    found = blocks(html)
+    found, marks = blocks(html)
+    set_contexts(found, marks)
     scores = [int(UNIT * content_score(b)) for b in found]
     keep = source_side(len(found), [max(0, x) for x in scores], [max(0, -x) for x in scores], smoothness(found))
     return "\n\n".join(b.text for b, k in zip(found, keep) if k)
@@ -258,7 +348,8 @@ def main_text(html: str) -> str:
 def extract_pages(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row of ``pages(page_id, url, html)``.
 
-    Null and empty pages and pages without content give an empty text. Repeated
+    Null and empty pages and pages without content give an empty text. Very long,
+    deep or broken pages are read whole; parsing costs grow with their length. Repeated
     rows give repeated rows, null ids and urls are kept, other columns are
     ignored, an empty table gives an empty table.
     """
