@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from lorefield.sources.json_arrays import read_json_arrays
+
 # Encodings tried in this order after UTF-8 (with or without BOM).
 FALLBACK_ENCODINGS = ("gbk", "gb2312")
 
+#: Bytes of a JSON file above which several tasks read it.
+RANGES_FROM = 64 << 20
+
 # Columns of a chunk table, in file order.
 CHUNK_COLUMNS = {"text": "Text", "text_pure": "Text_pure", "img_url": "Img_url", "position": "Position"}
 
@@ -41,12 +46,15 @@ def probe_table(spark: SparkSession, path: str) -> tuple[str, bool]:
 
 
 def read_table(spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | str | None = None,
-               encoding: str | None = None, multiline: bool | None = None, json_lines: bool = False) -> DataFrame:
+               encoding: str | None = None, multiline: bool | None = None, json_lines: bool = False,
+               ranges_from: int = RANGES_FROM) -> DataFrame:
     """A CSV, JSON or parquet table; the format defaults to the suffix of the path.
 
     Encoding and ``multiline`` are found out in one pass where they are not
     given: files without line breaks in quoted fields stay splittable, so one
     large file is read by many tasks. Give a schema to skip the inference pass.
+    A JSON file is read whole by one task up to ``ranges_from`` bytes and in
+    ranges beyond, with the same rows; files of JSON lines are cut anyway.
     """
     fmt = (fmt or path.rstrip("/").rsplit(".", 1)[-1]).lower()
     if fmt in ("csv", "tsv"):
@@ -58,6 +66,8 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None, schema: T
             encoding=encoding, inferSchema=schema is None)
         return (reader.schema(schema) if schema is not None else reader).csv(path)
     if fmt == "json":
+        if not json_lines and _largest_file(spark, path) > ranges_from:
+            return read_json_arrays(spark, path, schema)
         reader = spark.read.option("multiLine", not json_lines)
         return (reader.schema(schema) if schema is not None else reader).json(path)
     if fmt == "parquet":
@@ -65,6 +75,12 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None, schema: T
     raise ValueError(f"unsupported table format {fmt!r}")
 
 
+def _largest_file(spark: SparkSession, path: str) -> int:
+    """Bytes of the largest file; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.agg(F.coalesce(F.max("length"), F.lit(0))).first()[0]
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists") -> None:
     """Parquet, CSV, TSV or JSON lines; delimited files have a header and quote what needs it."""
     writer = df.write.mode(mode)

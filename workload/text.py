@@ -219,6 +219,26 @@ def _(spark, d):
     return tables.read_table(spark, path, "csv", "doc_id bigint, text string, lang string, source string, n_chars bigint")
 
 
+def _as_arrays(batches):
+    """JSON texts as the lines of one array a task, spread over lines as a printer might."""
+    import pyarrow as pa
+
+    first = True
+    for b in batches:
+        rows = b.column(0).to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array([("[" if first and k == 0 else ",") + r.replace(",", ",\n", 1) for k, r in enumerate(rows)])], names=["value"])
+        first = first and not rows
+    yield pa.RecordBatch.from_arrays([pa.array(["[]" if first else "]"])], names=["value"])
+
+
+@query("read_json_arrays", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def _(spark, d):
+    path = scratch_path(spark, "arrays")
+    rows = texts(spark, d).select(F.to_json(F.struct("doc_id", "text", "lang", "source", "n_chars")).alias("value"))
+    rows.mapInArrow(_as_arrays, "value string").write.text(path)
+    return tables.read_table(spark, path, "json", "doc_id bigint, text string, lang string, source string, n_chars bigint", ranges_from=0)
+
+
 @query("read_corpus", "SELECT source, lang, sum(length(text) + 1)::BIGINT AS n_chars FROM documents GROUP BY 1, 2")
 def _(spark, d):
     path = scratch_path(spark, "corpus")
