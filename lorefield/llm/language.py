@@ -21,6 +21,8 @@ LONGEST = 5
 DOCUMENT_RANKS, LANGUAGE_RANKS = 300, 1000
 #: Training rows of a language, on average: the bound of the fit.
 SAMPLE = 1000
+#: Bits of the largest collision-free table of n-grams.
+TABLE_BITS = 22
 FOLDS, HELD_OUT = 5, 0
 UNKNOWN = "und"
 
@@ -44,8 +46,9 @@ def gram_counts(text: str) -> Counter:
 class RankProfiles:
     """Ranks by n-gram and language; ``ranks[i, j]`` is the place of n-gram i in language j.
 
-    N-grams are looked up by a 64-bit hash in a table without collisions, for
-    all places of a text at once.
+    N-grams are looked up by a 64-bit hash for all places of a text at once: in a
+    table without collisions while that has at most ``TABLE_BITS`` bits (some
+    5,000 n-grams), among sorted hashes beyond, so its size follows the n-grams.
     """
 
     def __init__(self, languages: tuple[str, ...], listed: list[str], ranks: np.ndarray):
@@ -57,15 +60,23 @@ class RankProfiles:
             self.table[ord(c)] = k
         keys = np.array([self._key([self.codes.get(c, 0) for c in g]) for g in listed], np.uint64)
         self.bits = max(12, int(len(listed) ** 2 // 6).bit_length())
+        self.keys = np.append(keys, np.uint64(0))
+        self.sorted = np.argsort(keys, kind="stable") if self.bits > TABLE_BITS else None
         turn = np.random.default_rng(5)
-        while True:
+        while self.sorted is None:
             self.factor = np.uint64(int(turn.integers(1 << 62)) * 2 + 1)
             slots = (keys * self.factor) >> np.uint64(64 - self.bits)
             if len(np.unique(slots)) == len(keys):
+                self.slots = np.full(1 << self.bits, len(listed), np.int32)
+                self.slots[slots.astype(np.int64)] = np.arange(len(listed))
                 break
-        self.slots = np.full(1 << self.bits, len(listed), np.int32)
-        self.slots[slots.astype(np.int64)] = np.arange(len(listed))
-        self.keys = np.append(keys, np.uint64(0))
+
+    def _places(self, hashes: np.ndarray) -> np.ndarray:
+        """For each hash the number of the n-gram that can have it."""
+        if self.sorted is None:
+            return self.slots[((hashes * self.factor) >> np.uint64(64 - self.bits)).astype(np.int64)]
+        at = np.searchsorted(self.keys[:-1], hashes, sorter=self.sorted)
+        return np.append(self.sorted, len(self.sorted))[at]
 
     @staticmethod
     def _key(codes: list[int]) -> int:
@@ -102,7 +113,7 @@ class RankProfiles:
             h = h[:size] * np.uint64(0x9E3779B97F4A7C15) + plus[n - 1:]
             if n > 2:  # a gap is first or last in an n-gram, never within
                 inner = inner[:size] | gap[n - 2:n - 2 + size]
-            at = self.slots[((h * self.factor) >> np.uint64(64 - self.bits)).astype(np.int64)]
+            at = self._places(h)
             good = self.keys[at] == h
             if n > 2:
                 good &= ~inner
@@ -134,8 +145,10 @@ def train_profiles(docs: DataFrame, sample: int = SAMPLE) -> RankProfiles:
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold_of("doc_id", FOLDS) != HELD_OUT))
     sizes = rows.groupBy("lang").count()
-    drawn = (rows.select("text", "lang").join(F.broadcast(sizes), "lang")  # a row per language
-             .where(F.rand(11) < F.lit(sample) / F.col("count")).select("text", "lang"))
+    # By a hash of the row, so that the draw is the same however the table is laid out.
+    turn = F.shiftrightunsigned(F.xxhash64(F.lit(11), "doc_id", "text"), 11).cast("double") / F.lit(float(1 << 53))
+    drawn = (rows.select("text", "lang", turn.alias("turn")).join(F.broadcast(sizes), "lang")  # a row per language
+             .where(F.col("turn") < F.lit(sample) / F.col("count")).select("text", "lang"))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, Counter] = {}
