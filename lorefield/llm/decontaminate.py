@@ -144,7 +144,13 @@ def benchmark_overlaps(docs: DataFrame, items: DataFrame, score: int = SCORE,
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Rows of ``docs`` whose text overlaps no item, with all their columns; rows that share an id are judged one by one."""
+    """Rows of ``docs`` whose text overlaps no item, with all their columns.
+
+    Rows that share an id, null ids too, are judged one by one by their text;
+    equal rows go or stay together. Null and empty texts overlap nothing and
+    stay, long texts and items are compared whole. Without items all rows stay;
+    an empty table gives an empty table.
+    """
     found = _stretches(docs, items, SCORE, broadcast_bytes)
     dirty = stored(found.select(F.col("doc_id").alias("dirty_id"), F.col("text_key").alias("dirty_text")).distinct(), "dirty")
     return docs.join(dirty, same(docs["doc_id"], dirty["dirty_id"]) & (_text_key(docs["text"]) == dirty["dirty_text"]), "left_anti")

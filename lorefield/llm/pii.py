@@ -289,7 +289,8 @@ def fit_spans(examples: list[tuple[str, list]], epochs: int = 6, rate: float = 0
 def train_spans(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, most: int = SAMPLE_WINDOWS) -> SpanModel:
     """Fit on windows of a random sample of ``docs(text)``: about ``sample_docs`` rows, at most ``most`` windows.
 
-    Without any base span nothing is added to the base.
+    A text gives its first 30 windows at most, so that one long text is not all
+    that is learnt from: a bound of the fit, as the other two. Without any base span nothing is added to the base.
     """
     n = docs.count()
     drawn = docs.select("text").where((F.rand(23) < sample_docs / max(n, 1)) & F.col("text").rlike("[0-9@]"))
@@ -362,7 +363,12 @@ def mask_column(model: SpanModel, text: Column) -> Column:
 
 
 def mask_pii(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` with personal data masked in ``text`` and ``n_chars`` counted anew; other columns as they are."""
+    """Rows of ``docs`` with personal data masked in ``text`` and ``n_chars`` counted anew; other columns as they are.
+
+    Null texts stay null with no characters, empty ones empty. Long texts are
+    searched whole. Repeated rows give repeated rows, an empty table gives an
+    empty table.
+    """
     new = fresh(docs, "masked_text")
     out = docs.withColumn(new, mask_column(train_spans(docs), F.col("text")))
     put = {"text": F.col(new), **({"n_chars": F.coalesce(F.length(new), F.lit(0)).cast(docs.schema["n_chars"].dataType)}

@@ -160,6 +160,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs`` below the threshold, with all their columns."""
+    """Rows of ``docs`` below the threshold, with all their columns.
+
+    Null and empty texts have the score of no words, long texts are scored
+    whole. Repeated rows have one score and go or stay together; null ids are
+    judged by their text. Without labels every row scores a prior below the
+    threshold and stays; an empty table gives an empty table.
+    """
     model = train_toxicity(docs, labels)
     return docs.where(toxicity_score(model, F.col("text")) < threshold)

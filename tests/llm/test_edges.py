@@ -93,6 +93,20 @@ def test_revisit_edges(spark):
     assert revisits.resolve_revisits(rows.limit(0)).count() == 0
 
 
+def test_side_tables_that_are_empty_or_have_other_columns(spark, tmp_path):
+    d = edges.docs(spark)
+    crowded = lambda df: df.select("*", *[F.lit("x").alias(c) for c in (*edges.CLASHES, "text", "lang") if c not in df.columns])
+    labels, items = edges.labels(spark), edges.items(spark, [(9, " ".join(edges.LONG.split()[40:80])), (1, None)])
+    want = edges.rows_of(toxicity.score_toxicity(d, labels))
+    assert edges.rows_of(toxicity.score_toxicity(d, crowded(labels))) == want
+    found = decontaminate.benchmark_overlaps(d, items)
+    assert edges.rows_of(decontaminate.benchmark_overlaps(d, crowded(items))) == edges.rows_of(found)
+    assert decontaminate.drop_contaminated(d, items.limit(0)).count() == d.count()
+    assert decontaminate.drop_contaminated(d, crowded(items)).columns == d.columns
+    labels.limit(0).withColumn("quality", F.lit(1)).write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.toxicity(spark, d, str(tmp_path)).count() == d.count()
+
+
 def test_pipeline_stages(spark, tmp_path):
     d = edges.docs(spark)
     edges.labels(spark).withColumn("quality", F.lit(1)).write.parquet(f"{tmp_path}/labels.parquet")
