@@ -2,6 +2,11 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor
 kept; the result is written as Parquet and read again for the next one.
+
+Every stage takes null, empty and very long texts, null and repeated ids, repeated
+rows, empty tables and other columns; what it does with them is said where its
+operator is: ``drop_toxic``, ``drop_near_duplicates``, ``drop_contaminated``,
+``mask_pii`` and ``pack_documents``. All but the last return the columns they got.
 """
 
 from lorefield.llm.common import read, stored
