@@ -1,8 +1,9 @@
 """From documents to heading-aware chunks.
 
 ``chunk_documents`` keeps a document in one row until its chunks are final, so
-chunking a corpus moves no text between executors. ``heading_paths`` and
-``part_suffix`` give the same positions for a table that already holds chunks.
+chunking a corpus moves no text between executors. ``chunk_positions`` gives the
+same positions for a table that already holds chunks; ``heading_paths`` and
+``part_suffix`` are its two halves.
 """
 
 from __future__ import annotations
@@ -130,6 +131,42 @@ def _only_cut(rows: DataFrame, doc: str) -> DataFrame:
     return rows.join(several.select(doc), doc, "left_semi")
 
 
+_STACK = "array<struct<p:int,t:string>>"
+_DECIDED = [f"_p{p}" for p in LEVELS]
+
+
+def _decided(rows: DataFrame, text: str) -> DataFrame:
+    """+ per level what a chunk decides there: ``struct<t>`` (t null: nothing stays), or null if it decides nothing.
+
+    This is the chunk's effect on the heading stack, what it pops and pushes.
+    Effects combine level by level, the later one that is not null counts, so
+    effects of runs of chunks can be made apart and put together afterwards.
+    """
+    rows = rows.withColumn("_own", F.aggregate(_headings(F.col(text)), F.array().cast(_STACK), _push))
+    # What a chunk pops reaches up to its smallest priority, which its own stack keeps first.
+    entry = lambda p: F.get(F.filter(F.col("_own"), lambda s: s["p"] == p), F.lit(0))["t"]
+    top = F.get("_own", F.lit(0))["p"]
+    return rows.withColumns({n: F.when(top <= p, F.struct(entry(p).alias("t"))) for n, p in zip(_DECIDED, LEVELS)}).drop("_own")
+
+
+def _carried(rows: DataFrame, doc: str, order: str, across: Window) -> DataFrame:
+    """Per piece the levels and the number of rows that the pieces before it leave."""
+    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
+    ends = rows.groupBy(doc, "_piece").agg(
+        *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col(order))).alias(n) for n in _DECIDED], F.count(F.lit(1)).alias("_n"))
+    return ends.select(doc, "_piece", *[F.last(n, ignorenulls=True).over(earlier).alias(f"{n}_c") for n in _DECIDED],
+                       F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n_c"))
+
+
+def _with_path(rows: DataFrame, doc: str, inside: Window, out: str) -> DataFrame:
+    """+ the path, from the chunks before a row in its piece or else from what the piece was left."""
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    levels = [F.coalesce(F.last(n, ignorenulls=True).over(before), f"{n}_c")["t"] for n in _DECIDED]
+    near = rows.withColumns({f"{n}_t": level for n, level in zip(_DECIDED, levels)})
+    path = F.concat_ws(JOINT, stem(F.col(doc).cast("string")), *[f"{n}_t" for n in _DECIDED])
+    return near.withColumn(out, path).drop(*[f"{n}{end}" for n in _DECIDED for end in ("", "_c", "_t")])
+
+
 def heading_paths(chunks: DataFrame, doc: str = "file_name", order: str = "chunk_no", text: str = "text",
                   out: str = "path", span: int = PIECE) -> DataFrame:
     """Heading path before each row of a chunk table; ``order`` is a number.
@@ -140,43 +177,24 @@ def heading_paths(chunks: DataFrame, doc: str = "file_name", order: str = "chunk
     own piece or else in the pieces before it.
     """
     piece, inside, across = _pieces_of(doc, order, span)
-    before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    earlier = across.rowsBetween(Window.unboundedPreceding, -1)
-    names = [f"_p{p}" for p in LEVELS]
-
-    def decided(rows: DataFrame) -> DataFrame:
-        own = F.aggregate(_headings(F.col(text)), F.array().cast("array<struct<p:int,t:string>>"), _push)
-        rows = rows.withColumn("_own", own)
-        # What a chunk pops reaches up to its smallest priority, which its own stack keeps first.
-        entry = lambda p: F.get(F.filter(F.col("_own"), lambda s: s["p"] == p), F.lit(0))["t"]
-        top = F.get("_own", F.lit(0))["p"]
-        return rows.withColumns({n: F.when(top <= p, F.struct(entry(p).alias("t"))) for n, p in zip(names, LEVELS)}).drop("_own")
-
     cut = chunks.withColumn("_piece", piece)
-    ends = decided(_only_cut(cut, doc)).groupBy(doc, "_piece").agg(
-        *[F.max_by(n, F.when(F.col(n).isNotNull(), F.col(order))).alias(n) for n in names])
-    carried = ends.select(doc, "_piece", *[F.last(n, ignorenulls=True).over(earlier).alias(f"{n}_c") for n in names])
-    near = decided(cut).withColumns({n: F.last(n, ignorenulls=True).over(before) for n in names})
-    levels = [F.coalesce(n, f"{n}_c")["t"] for n in names]
-    joined = near.join(carried, [doc, "_piece"], "left")
-    path = F.concat_ws(JOINT, stem(F.col(doc).cast("string")), *levels)
-    return joined.withColumn(out, path).select(*[c for c in chunks.columns if c != out], out)
+    carried = _carried(_decided(_only_cut(cut, doc), text), doc, order, across)
+    joined = _decided(cut, text).join(carried, [doc, "_piece"], "left")
+    return _with_path(joined, doc, inside, out).select(*[c for c in chunks.columns if c != out], out)
 
 
-def part_suffix(chunks: DataFrame, doc: str = "file_name", order: str = "chunk_no", path: str = "path",
-                out: str = "position", span: int = PIECE) -> DataFrame:
-    """Number runs of equal consecutive paths: `` (part n)`` where a run is longer than 1."""
-    piece, inside, across = _pieces_of(doc, order, span)
+def _in_piece(rows: DataFrame, path: str, inside: Window) -> DataFrame:
+    """+ place in the piece, the next path there, and the place where the run of equal paths began."""
+    rows = rows.withColumns({"_rn": F.row_number().over(inside), "_next": F.lead(path).over(inside),
+                             "_new": F.lag(path).over(inside) != F.col(path)})
+    # Where the run of a row began, unless it is the first run of the piece.
+    begun = F.last(F.when(F.col("_new"), F.col("_rn")), ignorenulls=True)
+    return rows.withColumn("_start", begun.over(inside.rowsBetween(Window.unboundedPreceding, 0)))
 
-    def in_piece(rows: DataFrame) -> DataFrame:
-        rows = rows.withColumns({"_rn": F.row_number().over(inside), "_next": F.lead(path).over(inside),
-                                 "_new": F.lag(path).over(inside) != F.col(path)})
-        # Where the run of a row began, unless it is the first run of the piece.
-        begun = F.last(F.when(F.col("_new"), F.col("_rn")), ignorenulls=True)
-        return rows.withColumn("_start", begun.over(inside.rowsBetween(Window.unboundedPreceding, 0)))
 
-    cut = chunks.withColumn("_piece", piece)
-    pieces = in_piece(_only_cut(cut, doc)).groupBy(doc, "_piece").agg(
+def _edges(rows: DataFrame, doc: str, order: str, path: str, across: Window) -> DataFrame:
+    """Per piece the path that follows it and the length of the run that goes on into it."""
+    pieces = rows.groupBy(doc, "_piece").agg(
         F.count(F.lit(1)).alias("_n"), F.min_by(path, order).alias("_first"), F.max_by(path, order).alias("_last"),
         F.max("_start").alias("_tail"))
     pieces = pieces.withColumns({
@@ -189,13 +207,46 @@ def part_suffix(chunks: DataFrame, doc: str = "file_name", order: str = "chunk_n
     pieces = pieces.withColumn("_anchor", anchor.over(across.rowsBetween(Window.unboundedPreceding, 0)))
     pieces = pieces.withColumn("_run", F.col("_anchor.n") + F.col("_sum") - F.col("_anchor.s"))
     going = F.when(F.col("_prev") == F.col("_first"), F.lag("_run").over(across))
-    edges = pieces.select(doc, "_piece", "_follow", going.alias("_before"))
+    return pieces.select(doc, "_piece", "_follow", going.alias("_before"))
+
 
-    joined = in_piece(cut).join(edges, [doc, "_piece"], "left")
+def _label(path: str) -> Column:
+    """The path, numbered where its run is longer than one row."""
     n = F.when(F.col("_start").isNull(), F.col("_rn") + F.coalesce("_before", F.lit(0))).otherwise(
         F.col("_rn") - F.col("_start") + 1)
-    joined = joined.withColumn("_n", n)
-    longer = (F.col("_n") > 1) | F.coalesce(F.coalesce("_next", "_follow") == F.col(path), F.lit(False))
-    label = F.concat(F.col(path), F.lit(" (part "), F.col("_n").cast("string"), F.lit(")"))
-    return joined.withColumn(out, F.when(longer, label).otherwise(F.col(path))).select(
-        *[c for c in chunks.columns if c != out], out)
+    longer = (n > 1) | F.coalesce(F.coalesce("_next", "_follow") == F.col(path), F.lit(False))
+    return F.when(longer, F.concat(F.col(path), F.lit(" (part "), n.cast("string"), F.lit(")"))).otherwise(F.col(path))
+
+
+def part_suffix(chunks: DataFrame, doc: str = "file_name", order: str = "chunk_no", path: str = "path",
+                out: str = "position", span: int = PIECE) -> DataFrame:
+    """Number runs of equal consecutive paths: `` (part n)`` where a run is longer than 1."""
+    piece, inside, across = _pieces_of(doc, order, span)
+    cut = chunks.withColumn("_piece", piece)
+    edges = _edges(_in_piece(_only_cut(cut, doc), path, inside), doc, order, path, across)
+    joined = _in_piece(cut, path, inside).join(edges, [doc, "_piece"], "left")
+    return joined.withColumn(out, _label(path)).select(*[c for c in chunks.columns if c != out], out)
+
+
+def chunk_positions(chunks: DataFrame, doc: str = "file_name", order: str = "chunk_no", text: str = "text",
+                    path: str = "path", out: str = "position", number: str = "number", span: int = PIECE) -> DataFrame:
+    """Heading path, numbered position and place in the document (from 0) of each row of a chunk table.
+
+    The result of ``part_suffix(heading_paths(chunks))`` in one pass: rows with
+    their texts move once, by document and piece. Effects on the heading stack
+    are made before that move, and what a piece inherits (open headings, rows
+    so far, the run that goes on into it) is one row per piece, made from
+    narrow rows of documents with several pieces; usually there are none.
+    ``doc`` and ``order`` are not null and unique together; a null text has no
+    headings; an empty table gives an empty table.
+    """
+    piece, inside, across = _pieces_of(doc, order, span)
+    cut = _decided(chunks.withColumn("_piece", piece), text)
+    hot = _only_cut(cut.select(doc, order, "_piece", *_DECIDED), doc)
+    carried = _carried(hot, doc, order, across)
+    paths = _with_path(hot.join(carried, [doc, "_piece"]), doc, inside, path)
+    inherited = carried.join(_edges(_in_piece(paths, path, inside), doc, order, path, across), [doc, "_piece"])
+    placed = _in_piece(_with_path(cut.join(inherited, [doc, "_piece"], "left"), doc, inside, path), path, inside)
+    placed = placed.withColumns({out: _label(path), number: F.coalesce("_n_c", F.lit(0)) + F.col("_rn") - 1})
+    made = (path, out, number)
+    return placed.select(*[c for c in chunks.columns if c not in made], *made)

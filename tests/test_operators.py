@@ -1,6 +1,7 @@
 """Operators on small data against brute force."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from lorefield.functions.encoders import HashingEncoder
 from lorefield.operators import collections as C
 from lorefield.operators import evaluation, generation, masks, search, similarity, states
-from lorefield.operators.chunking import chunk_documents, heading_paths, part_suffix
+from lorefield.operators.chunking import chunk_documents, chunk_positions, heading_paths, part_suffix
 from lorefield.operators.merging import merge_files
 from lorefield.plans.dataset import corpus_to_qa
 from lorefield.plans.ingest import ingest_rows, reembed
@@ -166,6 +167,30 @@ def test_positions_match_stack_model(spark):
         assert len(got) == len(rows)
         for r in got:
             assert r["position"] == want[r["file_name"]][r["chunk_no"]], (span, docs[r["file_name"]], r)
+        # The same in one pass; places count from 0 whatever the order values are.
+        spread = df.withColumn("chunk_no", F.col("chunk_no") * 2 + 5).withColumn("position", F.lit("replaced"))
+        once = chunk_positions(spread, span=span).collect()
+        assert len(once) == len(rows)
+        for r in once:
+            assert (r["number"] * 2 + 5, r["position"]) == (r["chunk_no"], want[r["file_name"]][r["number"]]), (span, r)
+
+
+def test_chunk_positions_move_texts_once(spark, capsys):
+    df = spark.createDataFrame([("a", 0, "# A"), ("a", 1, None), ("a", 2, "x")], "file_name string, chunk_no int, text string")
+    out = chunk_positions(df)
+    assert [(r["number"], r["position"]) for r in out.orderBy("chunk_no").collect()] == [(0, "a"), (1, "a > # A (part 1)"), (2, "a > # A (part 2)")]
+    assert chunk_positions(df.limit(0)).count() == 0
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        chunk_positions(df).explain("formatted")
+        plan = capsys.readouterr().out
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    moved = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[[^\]]*\btext#", plan)
+    assert len(moved) == 1, plan
 
 
 def test_runs_in_one_hot_document(spark):

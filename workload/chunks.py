@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lorefield.functions.splitting import merge_small_chunks, split_text
-from lorefield.operators.chunking import chunk_documents, heading_paths, part_suffix
+from lorefield.functions.splitting import SEPARATORS, merge_small_chunks, split_text
+from lorefield.operators.chunking import chunk_documents, chunk_positions, heading_paths, part_suffix
 from lorefield.operators.merging import merge_files, with_source
 from lorefield.operators.states import valid_files
 from lorefield.session import scratch_path
@@ -52,6 +52,55 @@ def _(spark, d):
     return docs.select("doc_id", *[F.size(split_text("md", n, 800, 80)).alias(f"n_{n}") for n in names])
 
 
+# Documents in blocks of a fixed shape, so that SQL can say where each chunk ends: a block is a heading, an image and
+# 200 letters of the text, 300 characters in all; from three blocks on their letters follow once more, line by line.
+SHAPE_SQL = """WITH b0 AS (SELECT doc_id, regexp_replace(text, '[^A-Za-z0-9]+', '_', 'g') AS t FROM documents),
+ b1 AS (SELECT doc_id, list_transform(range(greatest(1, (length(t) + 199) // 200)), lambda i: rpad(substr(t, i * 200 + 1, 200), 200, 'x')) AS bodies FROM b0),
+ b AS (SELECT doc_id, list_transform(range(len(bodies)), lambda i: rpad('## part '||(i // 2)||chr(10)||'![p](http://a.example/'||i||'.png)'||chr(10)||bodies[i + 1], 300, 'x')) AS blocks,
+  CASE WHEN len(bodies) < 3 THEN [] ELSE list_transform(bodies, lambda x: rpad(x, 300, 'x')) END AS lines FROM b1)"""
+# Chunks of one element or of two neighbours.
+PAIRS_SQL = "list_transform(range((len({0}) + 1) // 2), lambda k: array_to_string({0}[2 * k + 1 : 2 * k + 2], {1}))"
+SHAPED_CHUNKS_SQL = SHAPE_SQL + """, u AS (SELECT doc_id, unnest(list_concat(blocks, lines)) AS text, unnest(range(len(blocks) + len(lines))) AS i, len(blocks) AS n FROM b),
+ p AS (SELECT *, 'doc'||doc_id||CASE WHEN i = 0 THEN '' ELSE ' > ## part '||((least(i, n) - 1) // 2) END AS path FROM u),
+ chunks AS (SELECT doc_id, i::INTEGER AS chunk_no, text, CASE WHEN i < n THEN 'http://a.example/'||i||'.png' ELSE '' END AS img_url,
+  CASE WHEN count(*) OVER (PARTITION BY doc_id, path) > 1 THEN path||' (part '||row_number() OVER (PARTITION BY doc_id, path ORDER BY i)||')' ELSE path END AS position FROM p)"""
+
+
+def shaped(spark, d):
+    """``doc_id, file_name, md``: the documents in blocks of a fixed shape."""
+    t = F.regexp_replace("text", "[^A-Za-z0-9]+", "_")
+    docs = texts(spark, d).select("doc_id", t.alias("t"))
+    n = F.greatest(F.lit(1), F.ceil(F.length("t") / 200).cast("int"))
+    bodies = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.rpad(F.substring("t", i * 200 + 1, F.lit(200)), 200, "x"))
+
+    def block(body, i):
+        return F.rpad(F.concat(F.lit("## part "), F.floor(i / 2).cast("string"), F.lit("\n![p](http://a.example/"), i.cast("string"),
+                               F.lit(".png)\n"), body), 300, "x")
+    docs = docs.select("doc_id", bodies.alias("bodies"))
+    lines = F.when(F.size("bodies") < 3, "").otherwise(F.concat(F.lit("\n\n"), F.array_join(F.transform("bodies", lambda b: F.rpad(b, 300, "x")), "\n")))
+    return docs.select("doc_id", F.concat(F.lit("doc"), F.col("doc_id").cast("string"), F.lit(".md")).alias("file_name"),
+                       F.concat(F.array_join(F.transform("bodies", block), "\n\n"), lines).alias("md"))
+
+
+@query("chunk_documents_shaped", SHAPED_CHUNKS_SQL + " SELECT * FROM chunks")
+def _(spark, d):
+    out = chunk_documents(shaped(spark, d), text="md", strategy="recursive", size=350, overlap=0, minimum=100)
+    return out.select("doc_id", "chunk_no", "text", "img_url", "position")
+
+
+# The chunks of every strategy: two elements fit into 800 characters, one into the halved size of 'overlap'.
+@query("split_text_shaped", SHAPE_SQL + f""", s AS (SELECT doc_id, list_concat({PAIRS_SQL.format("blocks", "chr(10)||chr(10)")}, {PAIRS_SQL.format("lines", "chr(10)")}) AS pairs,
+ list_concat(blocks, lines) AS singles FROM b),
+ c AS (SELECT doc_id, strategy, CASE WHEN strategy = 'overlap' THEN singles ELSE pairs END AS chunks FROM s, (SELECT unnest(['recursive', 'semantic', 'markdown', 'sentence',
+  'large_context', 'hierarchical', 'overlap', 'content_aware']) AS strategy))
+ SELECT doc_id, strategy, len(chunks)::INTEGER AS n_chunks, md5(array_to_string(chunks, '|')) AS content FROM c""")
+def _(spark, d):
+    docs = shaped(spark, d)
+    found = F.array(*[F.struct(F.lit(n).alias("strategy"), split_text("md", n, 800, 80).alias("c")) for n in SEPARATORS])
+    return docs.select("doc_id", F.explode(found).alias("s")).select(
+        "doc_id", "s.strategy", F.size("s.c").alias("n_chunks"), F.md5(F.array_join("s.c", "|")).alias("content"))
+
+
 @query("merge_small_chunks", """SELECT doc_id, md5(replace(text, ' ', '')) AS content, true AS long_enough FROM documents""")
 def _(spark, d):
     merged = texts(spark, d).select("doc_id", "text", merge_small_chunks(F.split("text", " "), 100).alias("c"))
@@ -86,12 +135,21 @@ def _headed(spark, d):
                   F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n### ")), F.lit("\n\n- end\n\nlast\n\nAppendix\n===\n\nmore"))
     rows = docs.select("doc_id", F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("file_name"),
                        F.posexplode_outer(F.split(md, "\n\n")).alias("chunk_no", "text"))
-    return heading_paths(rows)
+    return rows
 
 
 @query("heading_paths", HEADED_SQL + " SELECT doc_id, chunk_no, path FROM paths")
 def _(spark, d):
-    return _headed(spark, d).select("doc_id", "chunk_no", "path")
+    return heading_paths(_headed(spark, d)).select("doc_id", "chunk_no", "path")
+
+
+# Pieces of eight chunks: headings, runs and numbers cross from piece to piece.
+@query("chunk_positions", HEADED_SQL + """, i AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY chunk_no) AS n,
+ row_number() OVER (PARTITION BY doc_id ORDER BY chunk_no) - row_number() OVER (PARTITION BY doc_id, path ORDER BY chunk_no) AS island FROM paths)
+ SELECT doc_id, chunk_no, n - 1 AS number, path, CASE WHEN count(*) OVER (PARTITION BY doc_id, path, island) > 1
+ THEN path||' (part '||row_number() OVER (PARTITION BY doc_id, path, island ORDER BY chunk_no)||')' ELSE path END AS position FROM i""")
+def _(spark, d):
+    return chunk_positions(_headed(spark, d), span=8).select("doc_id", "chunk_no", "number", "path", "position")
 
 
 @query("part_suffix", """WITH e AS (SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY event_id)
@@ -115,7 +173,7 @@ def _(spark, d):
 
 @query("valid_chunk_files", HEADED_SQL + " SELECT 'doc'||doc_id AS file_name, count(*) AS n_chunks FROM c GROUP BY 1")
 def _(spark, d):
-    rows = _headed(spark, d).withColumnRenamed("path", "position")
+    rows = heading_paths(_headed(spark, d), out="position")
     return valid_files(rows.withColumns({"text_pure": F.col("text"), "img_url": F.lit("")}))
 
 

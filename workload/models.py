@@ -15,6 +15,7 @@ from lorefield.plans.dataset import corpus_to_qa
 from lorefield.plans.ingest import ingest_rows, ingest_table, reembed
 from lorefield.session import scratch_path
 from workload.base import doc_collection, documents, load, markdown, query, texts
+from workload.chunks import SHAPED_CHUNKS_SQL, shaped
 
 DIM = 64
 
@@ -169,3 +170,17 @@ def _(spark, d):
 def _(spark, d):
     docs = markdown(texts(spark, d)).select("file_name", F.col("md").alias("text"))
     return corpus_to_qa(docs, pair_model, rounds=2, delay=0.0, strategy="recursive", size=350, overlap=0, minimum=100)
+
+
+def heading_model(prompts):
+    """The end of the prompt's text as a pair; texts that end with padding get no pair."""
+    asked = (p.split("\nText: ", 1)[-1].rsplit("\n\nReply", 1)[0] for p in prompts)
+    return [f"- question: What is {len(t)}?\n- answer: {t[-60:]}" if t[-1] != "x" else "no idea" for t in asked]
+
+
+@query("corpus_to_qa_shaped", SHAPED_CHUNKS_SQL + """ SELECT doc_id, chunk_no, text, position, CASE WHEN right(text, 1) = 'x' THEN '' ELSE right(text, 60) END AS answer,
+ right(text, 1) <> 'x' AS valid FROM chunks""")
+def _(spark, d):
+    docs = shaped(spark, d).select("doc_id", "file_name", F.col("md").alias("text"))
+    out = corpus_to_qa(docs, heading_model, rounds=2, delay=0.0, strategy="recursive", size=350, overlap=0, minimum=100)
+    return out.select("doc_id", "chunk_no", "text", "position", "answer", "valid")

@@ -11,6 +11,7 @@ from lorefield.session import scratch_path
 from lorefield.plans.refresh import refresh_chunks
 from lorefield.streaming.jobs import incremental_chunks, log_state, streaming_ingest
 from workload.base import MD_SQL, documents, load, markdown, query, texts
+from workload.chunks import SHAPED_CHUNKS_SQL, shaped
 
 # Long runs of these marks are shortened before chunking.
 CLEAN_SQL = r"regexp_replace(regexp_replace(regexp_replace(md, '\*{3,}', '**', 'g'), '-{4,}', '---', 'g'), '={4,}', '===', 'g')"
@@ -194,6 +195,17 @@ def _(spark, d):
     return spark.read.parquet(f"{base}/chunks").drop("batch")
 
 
+@query("incremental_chunks_shaped", SHAPED_CHUNKS_SQL + " SELECT 'doc'||doc_id||'.md' AS file_name, chunk_no, text, img_url, position FROM chunks")
+def _(spark, d):
+    source, base = scratch_path(spark, "arriving"), scratch_path(spark, "chunked")
+    files = shaped(spark, d).select("file_name", F.col("md").alias("text"), F.md5("md").alias("checksum"))
+    files.write.parquet(source)
+    stream = spark.readStream.schema(files.schema).option("maxFilesPerTrigger", 4).parquet(source)
+    incremental_chunks(stream, f"{base}/chunks", f"{base}/log", f"{base}/checkpoint",
+                       strategy="recursive", size=350, overlap=0, minimum=100).awaitTermination()
+    return spark.read.parquet(f"{base}/chunks").select("file_name", "chunk_no", "text", "img_url", "position")
+
+
 # The stream gives the same chunks as one batch: nothing is left on either side.
 @query("incremental_equals_batch", "SELECT 0::BIGINT AS differences, count(*) AS n_files FROM documents")
 def _(spark, d):
