@@ -100,8 +100,9 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def captures(pages: DataFrame) -> DataFrame:
     """Web captures made of the pages: a full response each, a revisit before it and two after it.
 
-    Later revisits write the URL in another way; every fifth page has changed by
-    its last revisit, every third sends no etag, every seventh has no validator.
+    Revisits write the URL in another way and one header field twice; the first
+    after the response has a weak etag. Every fifth page has changed by its last
+    revisit, every third sends no etag, every seventh has no validator.
     """
     p = F.col("page_id")
     etag = F.when(p % 3 != 0, F.md5("html"))
@@ -110,7 +111,8 @@ def captures(pages: DataFrame) -> DataFrame:
     again = F.col("k") > 0
     stale = (F.col("k") == 2) & (p % 5 == 0)
     bare = again & (p % 7 == 0)
-    other = F.regexp_replace(F.regexp_replace("url", "^http:", "HTTP:"), "#.*$", "")
+    other = F.regexp_replace(F.regexp_replace("url", "^http(s?)://([^/?#]+)/", "HTTP$1://$2/%7ex/../%2e/"), "#.*$", "")
+    etag = F.when(F.col("k") == 1, F.concat(F.lit("W/"), etag)).otherwise(etag)
     return rows.select(
         (p * 4 + F.col("k")).alias("record_id"), F.when(again, F.concat(other, F.lit("#r"))).otherwise(F.col("url")).alias("url"),
         F.timestamp_seconds(F.lit(1_700_000_000) + p * 60 + F.col("seconds")).alias("captured_at"), again.alias("is_revisit"),
@@ -118,7 +120,7 @@ def captures(pages: DataFrame) -> DataFrame:
         F.when(bare, None).when(stale, "later").otherwise(F.concat(F.lit("day "), (p % 28).cast("string"))).alias("last_modified"),
         F.when(bare, None).otherwise(F.md5("html")).alias("digest"),
         F.create_map(F.lit("Date"), F.col("seconds").cast("string"), F.lit("Content-Length"), F.when(again, "0").otherwise(F.length("html").cast("string")),
-                     F.when(again, "Age").otherwise("Server"), F.lit("x")).alias("headers"))
+                     F.when(again, "Age").otherwise("Server"), F.lit("x"), F.when(again, "AGE").otherwise("SERVER"), F.lit("y")).alias("headers"))
 
 
 @_query
@@ -129,34 +131,51 @@ def op8_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FIXED = ", ".join(f"'{h}'" for h in FIXED_HEADERS)
+
+
+def _decoded_sql(part: str) -> str:
+    """Percent-encoding made uniform."""
+    code = "upper(x[1:2])"
+    char = f"chr(TRY_CAST('0x' || {code} AS INTEGER))"
+    return (f"array_to_string(list_transform(string_split({part}, '%'), lambda x, i: CASE WHEN i = 1 THEN x WHEN NOT regexp_matches(x, '^[0-9A-Fa-f]{{2}}') THEN '%' || x "
+            f"WHEN regexp_matches({char}, '^[A-Za-z0-9._~-]$') THEN {char} || x[3:] ELSE '%' || {code} || x[3:] END), '')")
+
+
 ORACLES["op8_revisits"] = rf"""
 WITH kinds(k, seconds) AS (VALUES (0, 0), (1, 3600), (2, 7200), (3, -3600)),
 captures AS (
   SELECT page_id * 4 + k AS record_id,
-    CASE WHEN k > 0 THEN regexp_replace(regexp_replace(url, '^http:', 'HTTP:'), '#.*$', '') || '#r' ELSE url END AS url,
+    CASE WHEN k > 0 THEN regexp_replace(regexp_replace(url, '^http(s?)://([^/?#]+)/', 'HTTP\1://\2/%7ex/../%2e/'), '#.*$', '') || '#r' ELSE url END AS url,
     1700000000 + page_id * 60 + seconds AS ts, k > 0 AS is_revisit,
-    CASE WHEN k > 0 AND page_id % 7 = 0 THEN NULL WHEN k = 2 AND page_id % 5 = 0 THEN 'changed' WHEN page_id % 3 <> 0 THEN md5(html) END AS etag,
+    CASE WHEN k > 0 AND page_id % 7 = 0 THEN NULL WHEN k = 2 AND page_id % 5 = 0 THEN 'changed' WHEN page_id % 3 <> 0 THEN CASE WHEN k = 1 THEN 'W/' ELSE '' END || md5(html) END AS etag,
     CASE WHEN k > 0 AND page_id % 7 = 0 THEN NULL WHEN k = 2 AND page_id % 5 = 0 THEN 'later' ELSE 'day ' || (page_id % 28) END AS last_modified,
     CASE WHEN k > 0 AND page_id % 7 = 0 THEN NULL ELSE md5(html) END AS digest,
-    CASE WHEN k > 0 THEN [('age', 'x'), ('content-length', '0'), ('date', seconds::VARCHAR)]
-         ELSE [('content-length', length(html)::VARCHAR), ('date', seconds::VARCHAR), ('server', 'x')] END AS fields
+    CASE WHEN k > 0 THEN [('age', 'y'), ('content-length', '0'), ('date', seconds::VARCHAR)]
+         ELSE [('content-length', length(html)::VARCHAR), ('date', seconds::VARCHAR), ('server', 'y')] END AS fields
   FROM pages, kinds),
 parts AS (
-  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(url, '{URL}', 1)), '^.*@', ''), ':(80|443)?$', '') AS host,
-    regexp_extract(url, '{URL}', 2) AS path,
-    array_to_string(list_sort(list_filter(string_split(substr(regexp_extract(url, '{URL}', 3), 2), '&'), lambda x: x <> '')), '&') AS query
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(url, '{URL}', 2)), '^.*@', ''),
+      CASE lower(regexp_extract(url, '{URL}', 1)) WHEN 'http' THEN ':(80)?$' WHEN 'https' THEN ':(443)?$' ELSE ':$' END, '') AS host,
+    {_decoded_sql(f"regexp_extract(url, '{URL}', 3)")} AS dotted,
+    array_to_string(list_sort(list_filter(string_split({_decoded_sql(f"substr(regexp_extract(url, '{URL}', 4), 2)")}, '&'), lambda x: x <> '')), '&') AS query
   FROM captures),
+pathed AS (
+  SELECT * EXCLUDE (dotted), CASE WHEN regexp_matches(dotted, '/\.\.?(/|$)') THEN '/' || array_to_string(list_concat(
+      list_reduce(list_prepend([]::VARCHAR[], list_transform(string_split(dotted, '/')[2:], lambda s: [s])), lambda acc, s:
+        CASE s[1] WHEN '..' THEN acc[1:len(acc) - 1] WHEN '.' THEN acc ELSE list_concat(acc, s) END),
+      CASE WHEN regexp_matches(dotted, '/\.\.?$') THEN [''] ELSE [] END), '/') ELSE dotted END AS path
+  FROM parts),
 named AS (
   SELECT * EXCLUDE (host, path, query), CASE WHEN host <> '' THEN
     host || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN query = '' THEN '' ELSE '?' || query END END AS canonical_url
-  FROM parts),
+  FROM pathed),
 full_ AS (SELECT canonical_url, ts, arg_max(struct_pack(record_id := record_id, etag := etag, last_modified := last_modified, digest := digest, fields := fields), record_id) AS hit
   FROM named WHERE NOT is_revisit GROUP BY ALL),
 found AS (SELECT r.*, f.hit FROM (SELECT * FROM named WHERE is_revisit) r
   ASOF LEFT JOIN full_ f ON r.canonical_url = f.canonical_url AND r.ts > f.ts),
 judged AS (
   SELECT *, CASE WHEN hit IS NULL THEN 'no_response'
-    WHEN CASE WHEN etag IS NOT NULL AND hit.etag IS NOT NULL THEN etag = hit.etag
+    WHEN CASE WHEN etag IS NOT NULL AND hit.etag IS NOT NULL THEN regexp_replace(etag, '^W/', '') = regexp_replace(hit.etag, '^W/', '')
               WHEN last_modified IS NOT NULL AND hit.last_modified IS NOT NULL THEN last_modified = hit.last_modified
               WHEN digest IS NOT NULL AND hit.digest IS NOT NULL THEN digest = hit.digest ELSE false END THEN 'resolved'
     ELSE 'mismatch' END AS status

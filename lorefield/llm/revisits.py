@@ -12,17 +12,46 @@ and what a range inherits from earlier ones is one row per URL and range.
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lorefield.functions.strings import once
+
 #: Header fields that a not-modified answer does not change.
 FIXED_HEADERS = ("connection", "content-encoding", "content-length", "content-range", "content-type", "keep-alive",
                  "proxy-authenticate", "proxy-connection", "te", "trailer", "transfer-encoding", "upgrade")
-URL = r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?"
+URL = r"^\s*([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?"
+ALL = 1 << 30
+
+
+def _decoded(part: Column) -> Column:
+    """Percent-encoded letters, digits and ``-._~`` as themselves, other codes in upper case; a ``%`` without a code stays."""
+    def piece(p: Column, i: Column) -> Column:
+        code = F.upper(F.substring(p, 1, 2))
+        char, rest = F.char(F.conv(code, 16, 10).cast("int")), F.substring(p, 3, ALL)
+        return (F.when(i == 0, p).when(~p.rlike("^[0-9A-Fa-f]{2}"), F.concat(F.lit("%"), p))
+                .when(char.rlike("^[A-Za-z0-9._~-]$"), F.concat(char, rest)).otherwise(F.concat(F.lit("%"), code, rest)))
+    return F.when(part.contains("%"), F.array_join(F.transform(F.split(part, "%"), piece), "")).otherwise(part)
+
+
+def _without_dots(path: Column) -> Column:
+    """``.`` and ``..`` segments resolved; none goes above the root."""
+    none = F.array().cast("array<string>")
+    segments = F.slice(F.split(path, "/"), 2, ALL)
+    kept = F.aggregate(segments, none, lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+                       .when(s == ".", acc).otherwise(F.concat(acc, F.array(s))))
+    kept = F.concat(kept, F.when(path.rlike(r"/\.\.?$"), F.array(F.lit(""))).otherwise(none))
+    return F.when(path.rlike(r"/\.\.?(/|$)"), F.concat(F.lit("/"), F.array_join(kept, "/"))).otherwise(path)
 
 
 def canonical_url(url: Column) -> Column:
-    """Host, path and sorted query: no scheme, user, default port or fragment; host in lower case; null if not absolute."""
-    host = F.regexp_replace(F.regexp_replace(F.lower(F.regexp_extract(url, URL, 1)), r"^.*@", ""), r":(80|443)?$", "")
-    path = F.regexp_extract(url, URL, 2)
-    query = F.substring(F.regexp_extract(url, URL, 3), 2, 1 << 30)
+    """Host, path and sorted query: no scheme, user, fragment or default port of the scheme; null if not absolute.
+
+    The host is in lower case, percent-encoding is made uniform and dot segments are resolved.
+    """
+    scheme = F.lower(F.regexp_extract(url, URL, 1))
+    named = F.regexp_replace(F.lower(F.regexp_extract(url, URL, 2)), r"^.*@", "")
+    port = F.when(scheme == "http", ":(80)?$").when(scheme == "https", ":(443)?$").otherwise(":$")
+    host = F.regexp_replace(named, port, F.lit(""))
+    path = _without_dots(_decoded(F.regexp_extract(url, URL, 3)))
+    query = _decoded(F.substring(F.regexp_extract(url, URL, 4), 2, ALL))
     ordered = F.array_join(F.array_sort(F.array_remove(F.split(query, "&"), "")), "&")
     whole = F.concat(host, F.when(path == "", "/").otherwise(path), F.when(ordered == "", "").otherwise(F.concat(F.lit("?"), ordered)))
     return F.when(host != "", whole)
@@ -30,8 +59,14 @@ def canonical_url(url: Column) -> Column:
 
 def _sorted_headers(headers: Column) -> Column:
     """Entries with lower-case names, in order; of equal names the last value by order counts."""
-    return F.array_sort(F.transform(F.map_entries(F.coalesce(headers, F.create_map().cast("map<string,string>"))),
-                                    lambda e: F.struct(F.lower(e["key"]).alias("name"), e["value"].alias("value"))))
+    entries = F.array_sort(F.transform(F.map_entries(F.coalesce(headers, F.create_map().cast("map<string,string>"))),
+                                       lambda e: F.struct(F.lower(e["key"]).alias("name"), e["value"].alias("value"))))
+    return once(entries, lambda all_: F.filter(all_, lambda e, i: F.coalesce(F.get(all_, i + 1)["name"] != e["name"], F.lit(True))))
+
+
+def _validator(name: str, value: Column) -> Column:
+    """Entity tags compare weakly: without their ``W/``."""
+    return F.regexp_replace(F.trim(value), "^W/", "") if name == "etag" else value
 
 
 def merged_headers(stored_fields: Column, fresh_fields: Column) -> Column:
@@ -50,8 +85,8 @@ def resolve_revisits(captures: DataFrame, ranges: int | None = None) -> DataFram
 
     ``status`` is ``resolved``; ``no_response`` without an earlier full response
     (or without a time or an absolute URL); ``mismatch`` when the first validator
-    that both records carry, of etag, last_modified and digest, differs, or when
-    they share none. Only resolved rows have merged ``headers`` (an array of
+    that both records carry, of etag (compared weakly), last_modified and digest,
+    differs, or when they share none. Only resolved rows have merged ``headers`` (an array of
     name and value). Of responses at one time the greatest ``record_id`` counts.
     Repeated rows give repeated rows, other columns are ignored; an empty table
     gives an empty table.
@@ -82,7 +117,7 @@ def resolve_revisits(captures: DataFrame, ranges: int | None = None) -> DataFram
     every = found.unionByName(lost.withColumn("hit", F.lit(None).cast(found.schema["hit"].dataType)))
     agree = F.lit(False)
     for name in ("digest", "last_modified", "etag"):
-        a, b = F.col(name), F.col(f"hit.{name}")
+        a, b = _validator(name, F.col(name)), _validator(name, F.col(f"hit.{name}"))
         agree = F.when(a.isNotNull() & b.isNotNull(), a == b).otherwise(agree)
     status = F.when(F.col("hit").isNull(), "no_response").when(agree, "resolved").otherwise("mismatch")
     return every.withColumn("status", status).select(

@@ -73,6 +73,14 @@ def test_extraction_edges(spark):
     assert extraction.extract_pages(pages.limit(0)).count() == 0
 
 
+def test_canonical_urls(spark):
+    want = {"HTTP://u@A.com:80/%7Ea/%2e%2E/b/./c/..": "a.com/b/", "https://a.com:80": "a.com:80/", "https://a.com:443?b&a%2D&": "a.com/?a-&b",
+            "http://a.com/../x//y/%zz%2f%": "a.com/x//y/%zz%2F%", "http://a.com/.": "a.com/", "ftp://a.com:21/..a/.b": "a.com:21/..a/.b",
+            "a.com/x": None, "": None, None: None}
+    df = spark.createDataFrame([(u,) for u in want], "url string")
+    assert {r.url: r.c for r in df.select("url", revisits.canonical_url(F.col("url")).alias("c")).collect()} == want
+
+
 def test_revisit_edges(spark):
     fields = ("record_id long, url string, captured_at timestamp, is_revisit boolean, etag string, last_modified string, digest string, "
               "headers map<string,string>, range string")
@@ -88,6 +96,14 @@ def test_revisit_edges(spark):
         got = sorted(((r.record_id, r.status, r.response_id) for r in revisits.resolve_revisits(rows, ranges).collect()))
         assert got == [(2, "resolved", 1), (3, "no_response", None), (4, "no_response", None), (5, "no_response", None),
                        (6, "no_response", None), (7, "mismatch", 1), (7, "mismatch", 1), (8, "mismatch", 1)]
+    weak = spark.createDataFrame([(1, "https://a.com:443/b/~c?x=%c3%a9", stamp + "1", False, '"e"', None, None, {"AGE": "1", "age": "0", "Age": None}),
+                                  (2, "https://a.com/./b/d/../%7Ec?x=%C3%A9", stamp + "2", True, 'W/"e"', None, None, {"Via": "1", "VIA": "2"}),
+                                  (3, "http://a.com:443/b/~c?x=%C3%A9", stamp + "2", True, 'W/"e"', None, None, None)],
+                                 fields.replace("captured_at timestamp", "captured_at string").replace(", range string", "")).withColumn(
+        "captured_at", F.col("captured_at").cast("timestamp"))
+    found = {r.record_id: r for r in revisits.resolve_revisits(weak).collect()}
+    assert (found[2].status, found[3].status) == ("resolved", "no_response")
+    assert [(h.name, h.value) for h in found[2].headers] == [("age", "1"), ("via", "2")]
     merged = {r.record_id: r.headers for r in revisits.resolve_revisits(rows).collect()}[2]
     assert [(h.name, h.value) for h in merged] == [("age", "2"), ("server", "s")]
     assert revisits.resolve_revisits(rows.limit(0)).count() == 0
