@@ -38,6 +38,11 @@ def fold_of(doc_id: str, parts: int) -> Column:
     return F.crc32(F.col(doc_id).cast("string")) % parts
 
 
+def turn_of(seed: int, *columns: str) -> Column:
+    """A number in [0, 1) from a hash of the columns, so that draws are the same however a table is laid out."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 11).cast("double") / F.lit(float(1 << 53))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

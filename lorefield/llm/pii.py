@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lorefield.llm.common import batch_rows, fresh
+from lorefield.llm.common import batch_rows, fresh, turn_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents whose windows the field is fitted to, on average; windows used, at most.
@@ -287,13 +287,13 @@ def fit_spans(examples: list[tuple[str, list]], epochs: int = 6, rate: float = 0
 
 
 def train_spans(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, most: int = SAMPLE_WINDOWS) -> SpanModel:
-    """Fit on windows of a random sample of ``docs(text)``: about ``sample_docs`` rows, at most ``most`` windows.
+    """Fit on windows of a sample of ``docs(text)``, drawn by hash: about ``sample_docs`` rows, at most ``most`` windows.
 
     A text gives its first 30 windows at most, so that one long text is not all
     that is learnt from: a bound of the fit, as the other two. Without any base span nothing is added to the base.
     """
     n = docs.count()
-    drawn = docs.select("text").where((F.rand(23) < sample_docs / max(n, 1)) & F.col("text").rlike("[0-9@]"))
+    drawn = docs.select("text").where((turn_of(23, "text") < sample_docs / max(n, 1)) & F.col("text").rlike("[0-9@]"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -303,7 +303,7 @@ def train_spans(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, most: int = SAM
                  pa.array([";".join(f"{k}:{a}:{b}" for k, a, b in s) for _, s in found], pa.string())], names=["window", "spans"])
 
     got = drawn.mapInArrow(cut, "window string, spans string").toArrow().to_pydict()
-    rows = sorted(set(zip(got["window"], got["spans"])), key=lambda r: zlib.crc32(r[0].encode("utf-8", "surrogatepass")))
+    rows = sorted(set(zip(got["window"], got["spans"])), key=lambda r: (zlib.crc32(r[0].encode("utf-8", "surrogatepass")), r))
     parse = [(t, [(k, int(a), int(b)) for k, a, b in (s.split(":") for s in spans.split(";") if s)]) for t, spans in rows]
     marked, plain = [e for e in parse if e[1]], [e for e in parse if not e[1]]
     if not marked:

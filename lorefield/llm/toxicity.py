@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lorefield.llm.common import batch_rows, fold_of
+from lorefield.llm.common import batch_rows, fold_of, turn_of
 
 #: Rows used for fitting, at most (positives) and on average (unlabelled).
 POSITIVES, UNLABELLED = 4000, 12000
@@ -59,6 +59,21 @@ class ToxicityModel:
                 for t in texts]
 
 
+def risk_slope(z: np.ndarray, pos: np.ndarray, prior: float) -> tuple[float, float, np.ndarray]:
+    """The positive and the negative part of the risk of scores ``z``, and the slope of a step in ``z``.
+
+    The slope is that of the whole risk, or that of the negative part turned
+    round where it is below zero.
+    """
+    n_pos, n_unl = pos.sum(), (~pos).sum()
+    p = 1 / (1 + np.exp(-z))
+    minus = np.logaddexp(0, z)  # loss of calling a row negative
+    gain = prior * np.logaddexp(0, -z)[pos].mean()
+    negative = minus[~pos].mean() - prior * minus[pos].mean()
+    down = np.where(pos, -prior / n_pos * p, p / n_unl)  # slope of the negative part
+    return gain, negative, down + np.where(pos, prior / n_pos * (p - 1), 0) if negative >= 0 else -down
+
+
 def fit_nnpu(positive: list, unlabelled: list, prior: float, epochs: int = 250, rate: float = 0.05,
              ridge: float = 1e-4, apart: float = 4.0) -> ToxicityModel:
     """Fit from lists of feature arrays.
@@ -87,11 +102,7 @@ def fit_nnpu(positive: list, unlabelled: list, prior: float, epochs: int = 250,
     mean_w, mean_bias, last = np.zeros(len(used)), 0.0, epochs // 3  # the steps turn around at the bound: the last ones are averaged
     for step in range(1, epochs + 1):
         z = np.clip(bias + np.bincount(owner, w[flat], len(rows)), -30, 30)
-        p = 1 / (1 + np.exp(-z))
-        minus = np.logaddexp(0, z)  # loss of calling a row negative
-        negative_risk = minus[~pos].mean() - prior * minus[pos].mean()
-        down = np.where(pos, -prior / n_pos * p, p / n_unl)  # slope of the negative part
-        slope = down + np.where(pos, prior / n_pos * (p - 1), 0) if negative_risk >= 0 else -down
+        slope = risk_slope(z, pos, prior)[2]
         grad = np.append(np.bincount(flat, slope[owner], len(used)) + ridge * w, slope.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         move = rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
@@ -107,8 +118,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, positives: int = POSITIVE
     """Fit on ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``.
 
     Labels are read of the rows outside the held-out fold only. At most
-    ``positives`` toxic ids (least hashes) and about ``unlabelled`` random rows
-    take part: a documented bound of the fit. The class prior is the toxic share
+    ``positives`` toxic ids (least hashes) and about ``unlabelled`` rows, drawn by
+    a hash of the row, take part: a documented bound of the fit. The model is the
+    same however the tables are laid out. The class prior is the toxic share
     of all labelled rows outside the held-out fold, drawn towards a tenth by ten
     rows. Without positives every text scores the prior.
     """
@@ -118,7 +130,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, positives: int = POSITIVE
     toxic = (rows.where("toxic = 1").select(F.col("doc_id").alias("toxic_id")).distinct()
              .orderBy(F.xxhash64("toxic_id"), "toxic_id").limit(positives))
     n = docs.count()
-    texts = (docs.select("doc_id", "text").withColumn("drawn", F.rand(17) < unlabelled / max(n, 1))
+    texts = (docs.select("doc_id", "text").withColumn("drawn", turn_of(17, "doc_id", "text") < unlabelled / max(n, 1))
              .join(F.broadcast(toxic), F.col("doc_id") == F.col("toxic_id"), "left")
              .where(F.col("toxic_id").isNotNull() | F.col("drawn"))
              .select(F.coalesce("text", F.lit("")).alias("text"), F.col("toxic_id").isNotNull().alias("toxic"), "drawn"))
@@ -131,8 +143,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, positives: int = POSITIVE
                                              names=["toxic", "drawn", "words"])
 
     got = texts.mapInArrow(featurised, "toxic boolean, drawn boolean, words binary").toArrow().to_pydict()
-    arrays = [np.frombuffer(x, np.int32) for x in got["words"]]
-    return fit_nnpu([x for x, y in zip(arrays, got["toxic"]) if y], [x for x, y in zip(arrays, got["drawn"]) if y], prior)
+    rows = sorted(zip(got["words"], got["toxic"], got["drawn"]))
+    return fit_nnpu([np.frombuffer(x, np.int32) for x, y, _ in rows if y], [np.frombuffer(x, np.int32) for x, _, y in rows if y], prior)
 
 
 def toxicity_score(model: ToxicityModel, text: Column) -> Column:
