@@ -20,11 +20,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lorefield.llm.common import BROADCAST_BYTES, same, stored
 
-#: Masks of the SQL form, 1: the word counts, 0: it is ignored. Equal spans, both end in 1.
-MASKS = ("1101100101", "1010011011")
-SPAN = len(MASKS[0])
-#: Masks of the operator: four words, or five around one that is ignored.
+#: Masks, 1: the word counts, 0: it is ignored; four words, or five around one that is ignored.
 SEEDS = ("1111", "111011", "110111")
+#: Items of fewer words are found only where all their words stand in a row.
+SPAN = 10
 #: A stretch scores 1 for an equal word and this much for another one.
 MISMATCH = -2
 #: Score that a stretch must reach; half the words of a shorter item.

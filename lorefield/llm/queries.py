@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lorefield.llm.clustering import CLUSTERS, DIMENSIONS, ROUNDS, SCALE, SEED as CLUSTER_SEED, cluster_vectors
 from lorefield.llm.common import read
-from lorefield.llm.decontaminate import MASKS, MISMATCH, SCORE, SPAN, benchmark_overlaps
+from lorefield.llm.decontaminate import MISMATCH, SCORE, SEEDS, SPAN, benchmark_overlaps
 from lorefield.llm.extraction import extract_pages
 from lorefield.llm.fingerprints import fingerprint_documents
 from lorefield.llm.language import identify_language
@@ -42,9 +42,10 @@ def _seed_sql(table: str, key: str) -> str:
     """Seeds of a table of word lists: the words that a mask looks at, written out."""
     return " UNION ALL ".join(
         f"SELECT {key}, i, {n} AS mask, concat_ws(' ', {', '.join(f'w[i + {k + 1}]' for k, bit in enumerate(m) if bit == '1')}) AS seed "
-        f"FROM {table}, unnest(range(len(w) - {SPAN - 1})) AS r(i)" for n, m in enumerate(MASKS))
+        f"FROM {table}, unnest(range(len(w) - {len(m) - 1})) AS r(i)" for n, m in enumerate(SEEDS))
 
 
+# The operator's seeds, and every hit's diagonal; the given items all have more words than the longest seed.
 # The best stretch of a diagonal ends at the first greatest rise over the lowest (latest) earlier sum of the scores.
 _WORDS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
 ORACLES["op2_decontaminate"] = f"""
@@ -61,7 +62,7 @@ runs AS (SELECT *, total - ceil(low / 1000000.0) AS run, ceil(low / 1000000.0) *
 best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, shift ORDER BY run DESC, j) = 1)
 SELECT doc_id, item_id, run::INTEGER AS score, ((run - ({MISMATCH}) * (j - first + 1)) / (1 - ({MISMATCH})))::INTEGER AS equal_words,
   first::INTEGER AS item_first, j::INTEGER AS item_last, (first + shift)::INTEGER AS doc_first
-FROM best WHERE 2 * run >= least({2 * SCORE}, length)
+FROM best WHERE CASE WHEN length < {SPAN} THEN run = length ELSE 2 * run >= least({2 * SCORE}, length) END
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY run DESC, first, first + shift, j DESC, equal_words DESC) = 1
 """
 

@@ -123,10 +123,6 @@ def test_decontamination(spark, table):
     def tokens(text):
         return [w for w in re.split(r"[^\w]+|_", text.lower()) if w]
 
-    def seeds(w):
-        return {(k, tuple(w[i + j] for j, c in enumerate(m) if c == "1")): i for k, m in enumerate(decontaminate.MASKS)
-                for i in range(len(w) - decontaminate.SPAN + 1)}
-
     random.seed(4)
     texts = dict(table)
     for k, (i, t) in enumerate(items.items()):  # passages with a word in nine replaced
@@ -136,13 +132,13 @@ def test_decontamination(spark, table):
     for d, t in texts.items():
         w = tokens(t)
         own = defaultdict(list)
-        for k, m in enumerate(decontaminate.MASKS):
-            for i in range(len(w) - decontaminate.SPAN + 1):
-                own[k, tuple(w[i + j] for j, c in enumerate(m) if c == "1")].append(i)
+        for i, x in enumerate(w):
+            own[x].append(i)
         for n, text in items.items():
             v = tokens(text)
-            shifts = {i - j for k, m in enumerate(decontaminate.MASKS) for j in range(len(v) - decontaminate.SPAN + 1)
-                      for i in own.get((k, tuple(v[j + x] for x, c in enumerate(m) if c == "1")), [])}
+            equal = Counter(i - j for j, x in enumerate(v) for i in own.get(x, []))
+            # Every diagonal with enough equal words for the score, whether a seed lies on it or not.
+            shifts = [s for s, c in equal.items() if 2 * c >= min(2 * decontaminate.SCORE, len(v))]
             for s in shifts:
                 best = here = 0
                 for j, x in enumerate(v):
