@@ -149,19 +149,19 @@ def column_sort(texts: list[bytes], places: np.ndarray, groups: np.ndarray) -> I
             yield column, order, common
 
 
-def repeated_strings(rows: list[tuple[int, int, int, bytes]], split: list[bool]) -> tuple[list, list]:
+def repeated_strings(rows: list[tuple[int, int, int, bytes]], split: list[bool]) -> Iterator[tuple[list, list]]:
     """Repeated strings of ``(minimizer, segment, place, bytes)`` rows.
 
-    Returns spans of string starts ``(segment, first, end)``, and for rows of
-    ``split`` groups one ``(fingerprint, times, segment, start)`` per different
-    string, with the place of a string that was seen once.
+    Yields column by column, for rows of ``split`` groups, one
+    ``(fingerprint, times, segment, start)`` per different string, with the
+    place of a string that was seen once; then all spans of string starts
+    ``(segment, first, end)``.
     """
     _, groups = np.unique(np.array([r[0] for r in rows], np.int64), return_inverse=True)
     places = np.array([r[2] for r in rows])
     texts = [r[3] for r in rows]
     shift = LENGTH - GRAM
     divided = np.array(split)
-    partial = []
     with TemporaryFile() as file:
         for column, order, common in column_sort(texts, places, groups):
             marks = np.zeros(len(rows), bool)
@@ -169,12 +169,15 @@ def repeated_strings(rows: list[tuple[int, int, int, bytes]], split: list[bool])
             marks[order[equal]] = marks[order[equal - 1]] = True
             marks.tofile(file)
             if divided.any():
+                partial = []
                 begin = np.flatnonzero(common < LENGTH)
                 times = np.diff(np.append(begin, len(order)))
                 for i, n in zip(order[begin].tolist(), times.tolist()):
                     at = column - shift + int(places[i])
                     if divided[i] and 0 <= at <= len(texts[i]) - LENGTH:
                         partial.append((xxhash.xxh3_128_digest(texts[i][at:at + LENGTH]), n, rows[i][1], at))
+                if partial:
+                    yield [], partial
         file.seek(0)
         marks = np.fromfile(file, bool, COLUMNS * len(rows)).reshape(COLUMNS, len(rows))[::-1].T
     spans = []
@@ -182,7 +185,7 @@ def repeated_strings(rows: list[tuple[int, int, int, bytes]], split: list[bool])
         edges = np.flatnonzero(np.diff(np.concatenate([[0], marks[i].view(np.int8), [0]])))
         own = edges - shift + places[i]
         spans += [(rows[i][1], int(a), int(b)) for a, b in zip(own[::2], own[1::2])]
-    return spans, partial
+    yield spans, []
 
 
 def _segments(docs: DataFrame) -> DataFrame:
@@ -250,24 +253,24 @@ def _repeated(candidates: DataFrame, docs: DataFrame) -> DataFrame:
         for b in batches:
             for m, s, p, parts, part, data in zip(*batch_rows(b, "minimizer", "segment", "place", "parts", "part", "bytes")):
                 if (m, part) != last and len(rows) >= TOGETHER:
-                    yield found(rows, split)
+                    yield from found(rows, split)
                     rows, split = [], []
                 if (m, part, s) != seen:  # equal rows of a table give a segment more than once
                     rows.append((m, s, p, data))
                     split.append(parts > 1)
                 last, seen = (m, part), (m, part, s)
         if rows:
-            yield found(rows, split)
+            yield from found(rows, split)
 
     def found(rows, split):
-        spans, partial = repeated_strings(rows, split)
-        return pa.RecordBatch.from_arrays(
-            [pa.array([s[0] for s in spans] + [p[2] for p in partial], pa.int64()),
-             pa.array([s[1] for s in spans] + [p[3] for p in partial], pa.int32()),
-             pa.array([s[2] for s in spans] + [p[3] + 1 for p in partial], pa.int32()),
-             pa.array([None] * len(spans) + [p[0] for p in partial], pa.binary()),
-             pa.array([0] * len(spans) + [p[1] for p in partial], pa.int64())],
-            names=["segment", "first", "end", "fingerprint", "times"])
+        for spans, partial in repeated_strings(rows, split):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([s[0] for s in spans] + [p[2] for p in partial], pa.int64()),
+                 pa.array([s[1] for s in spans] + [p[3] for p in partial], pa.int32()),
+                 pa.array([s[2] for s in spans] + [p[3] + 1 for p in partial], pa.int32()),
+                 pa.array([None] * len(spans) + [p[0] for p in partial], pa.binary()),
+                 pa.array([0] * len(spans) + [p[1] for p in partial], pa.int64())],
+                names=["segment", "first", "end", "fingerprint", "times"])
 
     sorted_ = stored(dealt.mapInArrow(sorted_groups, "segment bigint, first int, end int, fingerprint binary, times bigint"), "sorted")
     once = F.when(F.col("times") == 1, F.struct("segment", "first", "end"))
@@ -298,11 +301,12 @@ def remove_repeats(docs: DataFrame, together: int = TOGETHER) -> DataFrame:
     different = stored(kept.groupBy("minimizer", "segment").agg(
         F.sum("times").alias("n"), F.min(F.struct("doc_id", "text_key", "start")).alias("at"), F.first("strings").alias("strings"),
         F.first("place").alias("place")), "different")
-    groups = different.groupBy("minimizer").agg(F.count("*").alias("members")).where("members > 1")
+    # Stored sides are plain scans, so Spark can split a minimizer or a segment that very many rows share.
+    groups = stored(different.groupBy("minimizer").agg(F.count("*").alias("members")).where("members > 1"), "groups")
     candidates = different.join(groups, "minimizer").withColumn("parts", F.ceil(F.col("members") / together).cast("int"))
     whole = different.where("n > 1").select("segment", F.lit(0).alias("first"), F.col("strings").alias("end"))
     marks = whole.unionByName(_repeated(candidates, keyed))
-    by_segment = marks.groupBy(F.col("segment").alias("marked")).agg(F.collect_list(F.struct("first", "end")).alias("marks"))
+    by_segment = stored(marks.groupBy(F.col("segment").alias("marked")).agg(F.collect_list(F.struct("first", "end")).alias("marks")), "marked")
     spans = (kept.join(by_segment, F.col("segment") == F.col("marked"))
              .select("doc_id", "text_key", "start", F.explode("marks").alias("mark"))
              .select("doc_id", "text_key", (F.col("start") + F.col("mark.first")).alias("low"),
