@@ -64,6 +64,12 @@ def _leads(words: Column, start: Column, item: Column, item_start: Column, tag:
     return (tag >= len(SEEDS)) | ((at < 0) & ((start == 0) | (item_start == 0))) | (F.get(words, start + at) != F.get(item, item_start + at))
 
 
+def _beside(words: Column, start: Column, tag: Column) -> Column:
+    """The word that ``_leads`` compares, for sides that meet without their words; null where a hit leads in any case."""
+    at = F.get(F.array(*[F.lit(m.find("0")) for m in SEEDS]), tag)
+    return F.when(tag < len(SEEDS), F.get(words, start + at))
+
+
 def _best_stretch(doc: Column, item: Column, shift: Column) -> Column:
     """Best stretch along a diagonal: ``score, first, last`` (item positions) and ``equal`` words in it."""
     empty = F.struct(*[F.lit(0).alias(c) for c in ("run", "open", "hits", "score", "first", "last", "equal")])
@@ -98,8 +104,9 @@ def _stretches(docs: DataFrame, items: DataFrame, score: int, broadcast_bytes: i
     of_items = _seeds(items.select("item_id", "text"), "item_id", lengths).where(F.col("start") + span <= n).where(
         F.when(n >= SPAN, F.col("tag") < len(SEEDS)).otherwise((F.col("tag") >= len(SEEDS)) & (span == n)))
     posts = stored(of_items.select(F.xxhash64("item_id", "words").alias("test"), F.col("tag").alias("item_tag"),
-                                   F.col("start").alias("item_start"), F.col("seed").alias("item_seed")).distinct(), "seeds")
-    size = posts.count() * 48 + (tests.agg(F.sum(F.size("item_words") * 8 + 64)).first()[0] or 0)
+                                   F.col("start").alias("item_start"), F.col("seed").alias("item_seed"),
+                                   _beside(F.col("words"), F.col("start"), F.col("tag")).alias("item_beside")).distinct(), "seeds")
+    size = posts.count() * 56 + (tests.agg(F.sum(F.size("item_words") * 8 + 64)).first()[0] or 0)
     owned = docs.select(F.struct("doc_id", _text_key(F.col("text")).alias("text_key")).alias("owner"), "text")
     seeds = _seeds(owned, "owner", lengths)
     shift = (F.col("start") - F.col("item_start")).alias("shift")
@@ -108,7 +115,10 @@ def _stretches(docs: DataFrame, items: DataFrame, score: int, broadcast_bytes: i
         hits = (seeds.join(F.broadcast(posts), F.col("seed") == F.col("item_seed")).join(F.broadcast(tests), "test")
                 .where(leads).select("owner", "item_id", "words", "item_words", shift))
     else:
-        places = (seeds.select("owner", "start", "seed").join(posts, F.col("seed") == F.col("item_seed"))
+        # Of a run of hits on one diagonal the first is enough: all texts that hold a common passage make a row each, not one per word.
+        a, b = F.col("beside"), F.col("item_beside")
+        places = (seeds.select("owner", "start", "seed", _beside(F.col("words"), F.col("start"), F.col("tag")).alias("beside"))
+                  .join(posts, (F.col("seed") == F.col("item_seed")) & (a.isNull() | b.isNull() | (a != b)))
                   .select("owner", "test", shift).distinct())
         texts = owned.select(F.col("owner.doc_id").alias("own_id"), F.col("owner.text_key").alias("own_text"), word_hashes(F.col("text")).alias("words"))
         hits = places.join(texts, same(F.col("owner.doc_id"), F.col("own_id")) & (F.col("owner.text_key") == F.col("own_text"))).join(tests, "test")
