@@ -13,6 +13,7 @@ and what a range inherits from earlier ones is one row per URL and range.
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lorefield.functions.strings import once
+from lorefield.llm.common import stored
 
 #: Header fields that a not-modified answer does not change.
 FIXED_HEADERS = ("connection", "content-encoding", "content-length", "content-range", "content-type", "keep-alive",
@@ -50,11 +51,11 @@ def canonical_url(url: Column) -> Column:
     named = F.regexp_replace(F.lower(F.regexp_extract(url, URL, 2)), r"^.*@", "")
     port = F.when(scheme == "http", ":(80)?$").when(scheme == "https", ":(443)?$").otherwise(":$")
     host = F.regexp_replace(named, port, F.lit(""))
-    path = _without_dots(_decoded(F.regexp_extract(url, URL, 3)))
-    query = _decoded(F.substring(F.regexp_extract(url, URL, 4), 2, ALL))
+    path = once(once(once(F.regexp_extract(url, URL, 3), _decoded), _without_dots), lambda p: F.when(p == "", "/").otherwise(p))
+    query = once(F.substring(F.regexp_extract(url, URL, 4), 2, ALL), _decoded)
     ordered = F.array_join(F.array_sort(F.array_remove(F.split(query, "&"), "")), "&")
-    whole = F.concat(host, F.when(path == "", "/").otherwise(path), F.when(ordered == "", "").otherwise(F.concat(F.lit("?"), ordered)))
-    return F.when(host != "", whole)
+    asked = once(ordered, lambda q: F.when(q == "", "").otherwise(F.concat(F.lit("?"), q)))
+    return once(host, lambda h: F.when(h != "", F.concat(h, path, asked)))
 
 
 def _sorted_headers(headers: Column) -> Column:
@@ -95,7 +96,8 @@ def resolve_revisits(captures: DataFrame, ranges: int | None = None) -> DataFram
     rows = captures.select("record_id", canonical_url(F.col("url")).alias("canonical_url"), "captured_at",
                            F.coalesce("is_revisit", F.lit(False)).alias("is_revisit"), "etag", "last_modified", "digest",
                            _sorted_headers(F.col("headers")).alias("fields"))
-    rows = rows.withColumn("at", F.unix_micros(F.col("captured_at").cast("timestamp")))
+    # Written once: four steps below read it, and none makes the URLs and headers anew.
+    rows = stored(rows.withColumn("at", F.unix_micros(F.col("captured_at").cast("timestamp"))), "captures")
     placed = rows.where("canonical_url is not null and at is not null")
     wanted = ranges or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     bounds = sorted(set(placed.approxQuantile("at", [i / wanted for i in range(1, wanted)], 0.2 / wanted))) if wanted > 1 else []
