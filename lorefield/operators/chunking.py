@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from lorefield.functions.links import image_urls, mask_links, plain_keys, restore_links
 from lorefield.functions.splitting import split_text
 from lorefield.functions.strings import collapse_markdown_runs, once, stem, strip
+from lorefield.session import bound_batches
 
 # Priorities of heading-like lines; the first match counts.
 HEADINGS = (
@@ -100,6 +101,7 @@ def chunk_documents(df: DataFrame, text: str = "text", name: str = "file_name",
     ``text`` has links restored, ``text_pure`` keeps the masks, ``position`` is
     the heading path before the chunk's first line.
     """
+    bound_batches(df.sparkSession)
     others = [c for c in df.columns if c != text]
     cleaned = df.withColumn("_clean", collapse_markdown_runs(F.col(text)))
     masked = mask_links(cleaned, "_clean", "_masked", "_map").select(*others, "_masked", "_map")
