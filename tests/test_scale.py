@@ -1,10 +1,13 @@
 """What steps hold and move: bounds that do not grow with the tables."""
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lorefield.functions import splitting
+from lorefield.operators import kept, similarity
 from lorefield.session import TEXT_BYTES, TEXT_ROWS
+from lorefield.sources import matrices
 
 
 def test_split_text_bounds_what_a_task_holds(spark):
@@ -31,3 +34,76 @@ def test_chunks_leave_the_slices_as_arrow_data():
     out = splitting._by_slices(pa.array(["a", None, "b"] * splitting.SLICE), made)
     assert out.to_pylist() == [["a"] * 2, None, ["b"] * 2] * splitting.SLICE and len(most) == 2 * splitting.SLICE
     assert splitting._by_slices(pa.array([], pa.string()), made).to_pylist() == []
+
+
+def vectors(spark, n=120, dim=6):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=dim).tolist()) for i in range(n)]
+    rows += [(3, rows[7][1]), (3, rows[3][1]), (None, rows[9][1]), (500, [0.0] * dim), (501, [float("nan")] * dim)]
+    return spark.createDataFrame(rows, "id bigint, embedding array<double>")
+
+
+def shown(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_a_range_is_looked_up_where_other_masks_keep_cells(spark):
+    e = vectors(spark).where("id IS NOT NULL")
+    best = kept.kept_cells(e, e, k=4)
+    want = kept.kept_and([best, kept.kept_cells(e, e, 0.2, 0.9)])
+    got = kept.kept_and([best, kept.Range(e, e, 0.2, 0.9)])
+    assert shown(got) == shown(want) and got.count() > 100
+    assert shown(kept.kept_and([kept.Range(e, e, 0.2, 0.9), kept.Range(e, e, 0.5)])) == shown(
+        kept.kept_and([kept.kept_cells(e, e, 0.2, 0.9), kept.kept_cells(e, e, 0.5)]))
+    plan = kept.compose_kept((e, e), {"a": (e, e)}, {"a": {"k": 3}}, filters=["a"], temporary={"low": 0.1})
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in text and "LeftSemi" in text
+
+
+def test_cells_of_a_document_are_not_sent(spark):
+    e = vectors(spark, 20).where("id < 20").dropDuplicates(["id"])
+    doc = matrices.matrix_document(similarity.similarity_matrix(e, e), e.select("id"), e.select("id"), matrices.config_row(spark, "v", "v"))
+    text = doc._jdf.queryExecution().executedPlan().toString()
+    assert "BuildLeft" not in text and "BuildRight" in text
+    assert matrices.read_matrix_document(doc)[0].count() == 400
+
+
+def test_folds_over_several_tiles(spark, monkeypatch):
+    e = vectors(spark).where("id IS NOT NULL")
+    whole = [shown(f) for f in _folds(e)]
+    for rows, cells in ((1, 1), (7, 35), (64, 640)):
+        block = similarity.Block
+        x = block("", pa.array(range(120)), np.asarray([r["embedding"] for r in e.where("id < 120").dropDuplicates(["id"]).orderBy("id").collect()]))
+        x.rows /= np.sqrt((x.rows ** 2).sum(1))[:, None]
+        monkeypatch.setattr(similarity, "TILE_ROWS", rows)
+        monkeypatch.setattr(similarity, "TILE_CELLS", cells)
+        fold = similarity.Best(True, 5, "x")
+        list(fold.add(x, x))
+        best = {}
+        for r in pa.Table.from_batches(list(fold.end())).to_pylist():
+            best.setdefault(r["y_id"], []).append((-r["sim"], r["x_id"]))
+        sim = np.round(np.clip(x.rows @ x.rows.T, 0, 1), 12) + 0.0
+        for i in range(120):
+            assert [j for _, j in sorted(best[i])] == sorted(range(120), key=lambda j: (-sim[i, j], j))[:5]
+        assert sum(len(b) for b in similarity.Within(True, 0.2, 0.9).add(x, x)) == ((sim >= 0.2) & (sim <= 0.9)).sum()
+    assert whole == [shown(f) for f in _folds(e, broadcast_bytes=0, stripe_bytes=500)]
+
+
+def _folds(e, **limits):
+    return [similarity.similarity_topk(e, e, 4, **limits), similarity.similarity_within(e, e, 0.2, 0.9, **limits),
+            similarity.items_within(e, e, 0.2, 0.9, **limits)]
+
+
+def test_folded_rows_validate_like_the_matrix(spark):
+    e = vectors(spark)
+    for y in (e, e.limit(7)):
+        want = matrices.validate_matrix(similarity.similarity_matrix(e, y), e, e)
+        assert shown(matrices.validate_matrix(similarity.items_within(e, y), e, e)) == shown(want)
+
+
+def test_tasks_of_a_sent_side_grow_with_the_cells(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "TILE_CELLS", 100)
+    monkeypatch.setattr(similarity, "TASK_CELLS", 1000)
+    e = vectors(spark)
+    assert similarity.sweep_stats(e.withColumn("collection", F.lit("a")), e.withColumn("collection", F.lit("a"))).count() == 1
+    assert similarity.similarity_within(e, e, 0.2).rdd.getNumPartitions() >= 15
