@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lorefield.functions import splitting
-from lorefield.operators import kept, similarity
+from lorefield.operators import evaluation, kept, masks, similarity
 from lorefield.session import TEXT_BYTES, TEXT_ROWS
 from lorefield.sources import matrices
 
@@ -91,7 +91,7 @@ def test_folds_over_several_tiles(spark, monkeypatch):
 
 def _folds(e, **limits):
     return [similarity.similarity_topk(e, e, 4, **limits), similarity.similarity_within(e, e, 0.2, 0.9, **limits),
-            similarity.items_within(e, e, 0.2, 0.9, **limits)]
+            similarity.items_within(e.where("id <> 3"), e.where("id <> 3"), 0.2, 0.9, **limits)]
 
 
 def test_folded_rows_validate_like_the_matrix(spark):
@@ -107,3 +107,19 @@ def test_tasks_of_a_sent_side_grow_with_the_cells(spark, monkeypatch):
     e = vectors(spark)
     assert similarity.sweep_stats(e.withColumn("collection", F.lit("a")), e.withColumn("collection", F.lit("a"))).count() == 1
     assert similarity.similarity_within(e, e, 0.2).rdd.getNumPartitions() >= 15
+
+
+def test_paired_matrices_are_judged_where_pairs_are_formed(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    twice = vectors(spark, 30).where("id IS NOT NULL").coalesce(1).cache()
+    short = lambda e: e.withColumn("embedding", F.slice("embedding", 1, 3))
+    a, few = (twice, twice), (short(twice.where("id < 20")), short(twice))
+    want = evaluation.confusion_from_kept(kept.kept_cells(*a, 0.3), kept.kept_cells(*few, 0.35), kept.cell_count(*a))
+    assert shown(evaluation.confusion_of_ranges(a, few, (0.3, 1.0), (0.35, 1.0))) == shown(want)
+    for e in (twice.where("id <> 3"), twice):
+        a, b = (e, e), (short(e), short(e))
+        m, n = similarity.similarity_matrix(*a), similarity.similarity_matrix(*b)
+        diff = evaluation.matrix_difference(m, n).withColumn("sim", F.round("sim", 12))
+        want = evaluation.difference_confusion(masks.threshold_mask(m, 0.3), n, masks.threshold_mask(diff, 0.05))
+        assert shown(evaluation.difference_confusion_of_ranges(a, b, (0.3, 1.0), (0.05, 1.0))) == shown(want)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
