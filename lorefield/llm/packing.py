@@ -15,6 +15,7 @@ import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import lru_cache
 from struct import pack
 
 import numpy as np
@@ -28,10 +29,11 @@ CAPACITY = 2048
 END = 0
 #: Pieces of a generation; two are kept.
 PIECES_KEPT = 100_000
-#: Last character of which lower case and composition are the same to Python and to the tokenizer.
-LATIN = "\xff"
-#: The tokenizer's splitting rule (a fixed value of the vocabulary file) on lower-case Latin-1 text.
-PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^\sa-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
+#: The characters of which lower case and composition are the same to Python and to the tokenizer.
+LATIN = "latin-1"
+#: The tokenizer's splitting rule (a fixed value of the vocabulary file) on lower-case Latin-1 text. Letters come first,
+#: as most pieces are letters; the order matters only between endings and punctuation.
+PIECE = re.compile(r"[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|'(?:[stmd]|re|ve|ll)|[^\sa-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
 #: White space to Python, ordinary characters to the tokenizer's splitter.
 ODD_SPACE = "\x1c\x1d\x1e\x1f"
 
@@ -97,12 +99,28 @@ class WordTokens:
         low = text.lower()
         if any(c in text for c in ODD_SPACE) or any(s in low for s in self.special):
             return self.whole(text)
-        latin = text.isascii() or max(text) <= LATIN
+        latin = is_latin(text)
         known = self.known if latin else self.words
         known.age()
         return b"".join(map(known.__getitem__, PIECE.findall(low) if latin else text.split()))
 
 
+def is_latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode(LATIN)
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+@lru_cache(maxsize=1)
+def word_tokens(path: str) -> WordTokens:
+    """One per Python worker: later tasks find the vocabulary loaded and the frequent pieces known."""
+    return WordTokens(path)
+
+
 class Tightest:
     """Segment tree over remaining capacities: the least capacity with an open bin that is at least a given one."""
 
@@ -191,7 +209,7 @@ def plan_packing(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` and a rank of the piece among equal lengths of its task."""
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, task = WordTokens(tokenizer), TaskContext.get().partitionId()
+        words, task = word_tokens(tokenizer), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for b in batches:
             row, piece, start, length, crc, rank = [], [], [], [], [], []

@@ -1,6 +1,7 @@
 """Large families of near copies, and token ids put together from remembered pieces."""
 
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -98,6 +99,16 @@ def test_old_pieces_that_are_used_again_stay():
     assert made == list("abcdefghij") and pieces.before.keys() == set("aefghij")
 
 
+def test_a_worker_loads_the_vocabulary_once_and_cuts_as_the_tokenizer_does():
+    assert packing.word_tokens(TOKENIZER) is packing.word_tokens(TOKENIZER)
+    assert packing.is_latin("") and packing.is_latin("aÿ\xa0") and not packing.is_latin("aĀ")
+    rule = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]|[^\sa-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff0-9\xb2\xb3\xb9\xbc-\xbe]+")
+    rng = random.Random(8)
+    for _ in range(5000):
+        t = "".join(rng.choices(" ''stremvldlaé1²!,.\xa0", k=40))
+        assert packing.PIECE.findall(t) == rule.findall(t)
+
+
 def test_packing_of_all_tables_keeps_the_default_ids(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     own = Tokenizer.from_file(TOKENIZER)
