@@ -5,7 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lorefield.functions import splitting
-from lorefield.operators import evaluation, kept, masks, similarity
+from lorefield.operators import evaluation, kept, masks, pruned, search, similarity
 from lorefield.session import TEXT_BYTES, TEXT_ROWS
 from lorefield.sources import matrices
 
@@ -123,3 +123,58 @@ def test_paired_matrices_are_judged_where_pairs_are_formed(spark):
         want = evaluation.difference_confusion(masks.threshold_mask(m, 0.3), n, masks.threshold_mask(diff, 0.05))
         assert shown(evaluation.difference_confusion_of_ranges(a, b, (0.3, 1.0), (0.05, 1.0))) == shown(want)
     spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_matrices_are_subtracted_where_pairs_are_formed(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    twice = vectors(spark, 30).where("id IS NOT NULL").coalesce(1).cache()
+    short = lambda e: e.withColumn("embedding", F.slice("embedding", 1, 3))
+    once = twice.where("id <> 3")
+    for x, y in ((once, once), (twice, twice), (twice, once.where("id < 9"))):
+        a, b = (x, y), (short(x), short(y))
+        want = evaluation.matrix_difference(similarity.similarity_matrix(*a), similarity.similarity_matrix(*b))
+        assert shown(evaluation.matrix_difference_of_sides(a, b)) == shown(want)
+    text = evaluation.matrix_difference_of_sides((once, once), (short(once), short(once)))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text
+    one = similarity.paired(once, short(once))
+    whole = shown(similarity.paired_difference(one, one))
+    assert shown(similarity.paired_difference(one, one, broadcast_bytes=0, stripe_bytes=1000)) == whole
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_queries_are_copied_once_per_stripe(spark, monkeypatch):
+    monkeypatch.setattr(pruned, "CHUNK", 7)
+    e = vectors(spark).where("id IS NOT NULL AND id <> 3")
+    asked, index = e.withColumnRenamed("id", "query_id"), pruned.build_index(e, pivots=8, rings=6, slab_rows=4)
+    want = shown(search.vector_search(e, asked, 5))
+    for limits in ({}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "stripe_bytes": 2000}):
+        assert shown(pruned.search_index(index, asked, 5, **limits)) == want
+        assert shown(pruned.cells_within(index, e, 0.2, 0.9, **limits)) == shown(similarity.similarity_within(e, e, 0.2, 0.9))
+    parts, every = pruned._parts(index), pruned._asked(index, asked, "query_id", "embedding", np.inf)
+    first, several, n = pruned._spans(parts.rows, 60)
+    stripes = [np.flatnonzero((first <= s) & (s < first + several)) for s in range(n)]
+    assert n <= 4 < len(parts.number) and sorted(np.concatenate(stripes)) == list(range(len(parts.number)))
+    assert pruned._copies(every, parts, stripes, 0).count() == n * asked.count()
+    assert pruned.reached_parts(index, every).count() == len(parts.number) * asked.count()
+
+
+def test_large_parts_have_stripes_of_their_own():
+    first, several, n = pruned._spans(np.array([3, 4, 25, 2, 9, 10]), 10)
+    assert first.tolist() == [0, 0, 1, 4, 5, 6] and several.tolist() == [1, 1, 3, 1, 1, 1] and n == 7
+
+
+def test_held_hits_narrow_the_radius():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 8))
+    x[40:80] = x[40]
+    x /= np.sqrt((x ** 2).sum(1))[:, None]
+    want = np.round(x @ x.T, 12) + 0.0
+    for held in (1, 50, 10 ** 6):
+        pruned.HELD, before = held, pruned.HELD
+        slabs = ((0, True, pa.array(range(a, a + 60)), x[a:a + 60], np.zeros((60, 0))) for a in range(0, 300, 60))
+        asked = pa.array(range(300)), x, np.zeros((300, 0)), np.full(300, np.inf), np.ones((300, 1), bool)
+        got = {}
+        for r in pa.Table.from_batches(list(pruned._matched(asked, slabs, np.arange(8), False, 5, "id"))).to_pylist():
+            got.setdefault(r["query_id"], []).append(r["id"])
+        pruned.HELD = before
+        assert got == {i: sorted(range(300), key=lambda j: (-want[i, j], j))[:5] for i in range(300)}
