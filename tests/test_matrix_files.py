@@ -1,6 +1,7 @@
 """What the cells of a matrix take on disk, and that a smaller form holds the same cells."""
 
 import glob
+import math
 import os
 
 import numpy as np
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from lorefield.operators import evaluation, kept, similarity
+from lorefield.sources import matrices
 
 
 def size(path) -> int:
@@ -68,3 +70,26 @@ def test_runs_by_value_hold_every_cell_once(monkeypatch, run, square, tile):
         assert np.allclose([c[2] for c in cells[0]], [c[2] for c in cells[1]], atol=1e-12, rtol=0)
     if run < 1 << 22 and tile == 1 << 20:
         assert any(b["sim"] == sorted(b["sim"]) and len(b["sim"]) > 1 for b in ordered)
+
+
+def test_export_holds_every_value(spark, tmp_path):
+    values = [0.0, 1.0, 0.123456789012, 0.1 + 0.2, 1 / 3, -0.25, 1e300, -1e-13, math.inf, math.nan, None, 5e6]
+    matrix = spark.createDataFrame([(i, i + 1, v) for i, v in enumerate(values)], "y_id bigint, x_id bigint, sim double")
+    matrices.export_matrix(matrix, matrices.config_row(spark, "a", "b"), str(tmp_path / "m"))
+    cells, config = matrices.import_matrix(spark, str(tmp_path / "m"))
+    assert cells.schema.simpleString() == matrix.schema.simpleString()
+    assert repr(rows(cells)) == repr(rows(matrix))
+    assert config.first()["x_collection"] == "a"
+
+
+def test_earlier_exports_are_read(spark, tmp_path):
+    matrix = spark.createDataFrame([(0, 1, 0.5), (1, 0, None)], "y_id bigint, x_id bigint, sim double")
+    matrix.write.parquet(str(tmp_path / "m/cells"))
+    matrices.config_row(spark, "a", "b").write.parquet(str(tmp_path / "m/config"))
+    assert rows(matrices.import_matrix(spark, str(tmp_path / "m"))[0]) == rows(matrix)
+
+
+def test_export_takes_less_room(spark, tmp_path):
+    e = spark.read.parquet(f"{stored(spark, tmp_path, 4000)}/embeddings.parquet").withColumnRenamed("vec_id", "id")
+    matrices.export_matrix(similarity.similarity_matrix(e, e, by_value=True), matrices.config_row(spark, "a", "b"), str(tmp_path / "m"))
+    assert size(tmp_path / "m/cells") / 4000 ** 2 < 4.4
