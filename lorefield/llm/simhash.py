@@ -24,6 +24,7 @@ from lorefield.llm.components import connected_components
 POSITIONS = 8
 BITS_APART = 2
 SEED = 42
+LIST_BYTES = 64  # a row of a posting list's key, as broadcast
 
 
 def shingle_hashes(text: str, words: int) -> np.ndarray:
@@ -94,9 +95,10 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     posts = F.array(*[F.struct(F.lit(i).cast("tinyint").alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("bytes"))
                       for i, m in enumerate(_masks(shared))])
     index = fps.select("fp", F.explode(posts).alias("post")).select("fp", "post.*")
-    busy = (index.groupBy("choice", "bytes").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
-            .where("low < high").select("choice", "bytes"))
-    lists = (index.join(busy, ["choice", "bytes"]).groupBy("choice", "bytes")
+    busy = stored(index.groupBy("choice", "bytes").agg(F.min("fp").alias("low"), F.max("fp").alias("high"))
+                  .where("low < high").select("choice", "bytes"), "simhash-lists")
+    # Spark sizes the postings as the table before the explode: never broadcast, while the lists are by their count.
+    lists = (index.hint("merge").join(sent_if_small(busy, LIST_BYTES), ["choice", "bytes"]).groupBy("choice", "bytes")
              .agg(F.collect_set("fp").alias("members")).select("members"))
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

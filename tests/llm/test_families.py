@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lorefield.llm import packing, simhash
+from lorefield.llm.common import stored
 
 from .test_brute import groups, shingles
 
@@ -115,3 +116,15 @@ def test_packing_of_all_tables_keeps_the_default_ids(spark):
     rows = docs.select("doc_id", "text").collect()
     ids = own.encode_batch([r.text or "" for r in rows], add_special_tokens=False)
     assert lengths == {r.doc_id: len(e.ids) + 1 for r, e in zip(rows, ids)}
+
+
+def test_posting_lists_are_sent_by_their_count_only(spark, monkeypatch):
+    fps = np.random.default_rng(11).integers(-2**63, 2**63, 200)
+    table = stored(spark.createDataFrame([(int(v),) for v in np.concatenate([fps, fps ^ 1])], "fp bigint"), "fps")
+    sent = lambda links: "BroadcastExchange" in links._jdf.queryExecution().executedPlan().toString()
+    few = simhash.fingerprint_links(table)
+    assert sent(few) and few.count() == 200
+    # Lists that are too many as counted, though the table before the explode is small.
+    monkeypatch.setattr(simhash, "LIST_BYTES", 1 << 20, raising=False)
+    many = simhash.fingerprint_links(table)
+    assert not sent(many) and {tuple(r) for r in many.collect()} == {tuple(r) for r in few.collect()}
