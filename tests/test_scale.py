@@ -2,12 +2,14 @@
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from lorefield.functions import splitting
 from lorefield.operators import evaluation, kept, masks, pruned, search, similarity
 from lorefield.session import TEXT_BYTES, TEXT_ROWS
 from lorefield.sources import matrices
+from workload import QUERIES
 
 
 def test_split_text_bounds_what_a_task_holds(spark):
@@ -178,3 +180,27 @@ def test_held_hits_narrow_the_radius():
             got.setdefault(r["query_id"], []).append(r["id"])
         pruned.HELD = before
         assert got == {i: sorted(range(300), key=lambda j: (-want[i, j], j))[:5] for i in range(300)}
+
+
+@pytest.mark.parametrize("limits", [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "stripe_bytes": 1000}, {"broadcast_bytes": 6000, "stripe_bytes": 1000}])
+def test_rows_of_a_matrix_are_formed_with_its_pairs(spark, limits, monkeypatch):
+    monkeypatch.setattr(matrices, "BLOCK", 16)
+    monkeypatch.setattr(similarity, "TILE_CELLS", 100)
+    e = vectors(spark, 70).where("id IS NOT NULL").dropDuplicates(["id"]).withColumn("id", F.col("id") * 3 + 1)
+    few = e.where("id % 2 = 1")
+    x_at, y_at = matrices.placed(e, e.select("id")), matrices.placed(few, few.select("id"))
+    rows = similarity.similarity_matrix(x_at, y_at, block=matrices.BLOCK, **limits)
+    args = few.select("id"), e.select("id"), matrices.config_row(spark, "v", "v")
+    got, want = matrices.matrix_document(rows, *args), matrices.matrix_document(similarity.similarity_matrix(e, few), *args)
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}
+    # No cell is moved, and none is a row before it is read.
+    assert "collect_list" not in got._jdf.queryExecution().executedPlan().toString()
+    cells = matrices.read_matrix_document(got)[0].collect()
+    assert len(cells) == e.count() * few.count()
+
+
+def test_the_document_query_moves_no_cells(spark, tmp_path):
+    vectors(spark, 40).where("id IS NOT NULL").dropDuplicates(["id"]).selectExpr("id AS vec_id", "embedding", "id % 3 AS label").write.parquet(
+        str(tmp_path / "embeddings.parquet"))
+    df = QUERIES["matrix_document"](spark, str(tmp_path))
+    assert "collect_list" not in df._jdf.queryExecution().executedPlan().toString()
