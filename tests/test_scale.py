@@ -10,6 +10,7 @@ from lorefield.operators import evaluation, kept, masks, pruned, search, similar
 from lorefield.session import TEXT_BYTES, TEXT_ROWS
 from lorefield.sources import matrices
 from workload import QUERIES
+from workload.similarity import round6
 
 
 def test_split_text_bounds_what_a_task_holds(spark):
@@ -204,3 +205,16 @@ def test_the_document_query_moves_no_cells(spark, tmp_path):
         str(tmp_path / "embeddings.parquet"))
     df = QUERIES["matrix_document"](spark, str(tmp_path))
     assert "collect_list" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_values_are_rounded_as_by_decimals(spark):
+    rng = np.random.default_rng(3)
+    sims = np.round(rng.uniform(-1, 1, 5000), 12)
+    ties = np.round(np.arange(-2000, 2000) / 1e6 + 5e-7, 12)
+    values = [*sims, *ties, *(sims[:2500] - sims[2500:]), *(ties[1:] - ties[:-1] + 0.1234565), *rng.uniform(-2000, 2000, 500), *(rng.uniform(-1, 1, 500) * 1e-6),
+              0.0, -0.0, 0.5e-6, -0.5e-6, 1.4999999999e-6, 1e300, -1e19, float("nan"), float("inf"), float("-inf"), None]
+    df = spark.createDataFrame([(None if v is None else float(v),) for v in values], "v double")
+    got = df.select(F.col("v"), (round6("v") + F.lit(0.0)).alias("a"), (F.round("v", 6) + F.lit(0.0)).alias("b"))
+    assert got.where("NOT (a <=> b)").collect() == [] and got.count() == len(values)
+    plan = got.select("a")._jdf.queryExecution().optimizedPlan().toString()
+    assert "rint" in plan.lower()
