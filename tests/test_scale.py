@@ -218,3 +218,28 @@ def test_values_are_rounded_as_by_decimals(spark):
     assert got.where("NOT (a <=> b)").collect() == [] and got.count() == len(values)
     plan = got.select("a")._jdf.queryExecution().optimizedPlan().toString()
     assert "rint" in plan.lower()
+
+
+@pytest.mark.parametrize("limits", [{}, {"broadcast_bytes": 0, "stripe_bytes": 3000}])
+def test_pruned_cells_leave_in_runs_by_value(spark, limits, monkeypatch):
+    e = vectors(spark, 80).where("id IS NOT NULL")
+    index = pruned.build_index(e, pivots=4)
+    want = sorted(map(tuple, pruned.cells_within(index, e, 0.3, 0.9, **limits).collect()))
+    for run in (1, 40, 1 << 20):
+        monkeypatch.setattr(pruned, "ORDERED_CELLS", run)
+        assert sorted(map(tuple, pruned.cells_within(index, e, 0.3, 0.9, by_value=True, **limits).collect())) == want and len(want) > 100
+
+
+def test_a_run_of_hits_is_by_value(monkeypatch):
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(60, 6))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    ids, angles, reach = pa.array(range(60)), np.zeros((60, 0)), np.ones((60, 3), bool)
+    slabs = [(p, False, ids.slice(20 * p, 20), v[20 * p:20 * p + 20], np.zeros((20, 0))) for p in range(3)]
+    found = lambda **how: list(pruned._matched((ids, v, angles, np.full(60, np.arccos(0.2)), reach), iter(slabs), np.arange(6), True, None, "x_id", **how))
+    rows = lambda batches: sorted(tuple(r.values()) for b in batches for r in b.to_pylist())
+    plain = found()
+    monkeypatch.setattr(pruned, "ORDERED_CELLS", 300)
+    got = found(by_value=True)
+    assert rows(got) == rows(plain) and len(got) > 2
+    assert all(np.all(np.diff(b.column("score")) >= 0) for b in got[:-1]) and sum(b.num_rows for b in plain) > 600
