@@ -207,6 +207,16 @@ def test_the_document_query_moves_no_cells(spark, tmp_path):
     assert "collect_list" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("other", [3, None])
+def test_a_document_of_repeated_or_missing_ids_fails(spark, other):
+    e = vectors(spark, 20).where("id < 20").dropDuplicates(["id"])
+    e = e.unionByName(e.where("id = 4").withColumn("id", F.lit(other).cast(e.schema["id"].dataType)))
+    at, items = matrices.placed(e, e.select("id")), e.select("id")
+    doc = matrices.matrix_document(similarity.similarity_matrix(at, at, block=8), items, items, matrices.config_row(spark, "v", "v"))
+    with pytest.raises(Exception, match="differ in length"):
+        matrices.read_matrix_document(doc)[0].collect()
+
+
 def test_values_are_rounded_as_by_decimals(spark):
     rng = np.random.default_rng(3)
     sims = np.round(rng.uniform(-1, 1, 5000), 12)
